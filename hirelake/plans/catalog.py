@@ -556,3 +556,16 @@ def s15_csv_round_trip(spark, sf):
     export.write_csv(detail.select("job_id", "title", "salary_range", "salary_avg"), path)
     return (spark.read.schema("job_id string, title string, salary_range string, salary_avg double")
             .option("header", True).csv(path))
+
+
+# --------------------------------------------------- end to end
+
+@register("p1_pipeline_summary", q("SELECT * FROM summary"))
+def p1_pipeline_summary(spark, sf):
+    """Feeds landed as Bronze JSON, then the whole job; reads back Gold."""
+    from hirelake.plans.pipeline import run_pipeline
+    base = scratch_path(spark, "lake")
+    feeds.land_feeds(spark, sf, f"{base}/bronze")
+    run_pipeline(spark, ["adzuna", "jooble"], feeds.RUN_DATE, f"{base}/bronze",
+                 f"{base}/silver", f"{base}/gold", fail_on=None)
+    return lake.read_gold(spark, f"{base}/gold", "jobs_summary", feeds.RUN_DATE)

@@ -178,3 +178,31 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("country", "page",
                         F.when(is_empty, F.slice(results, 1, 0)).otherwise(results)
                         .alias("results"))
+
+
+def land_feeds(spark: SparkSession, sf_dir: str, bronze_root: str,
+               one_document_per_file: bool = True) -> None:
+    """Write both feeds as Bronze batch documents (S3 + S2) for RUN_DATE.
+
+    The nested feed lands twice: every order in the morning run and the
+    updated copies in the evening run.
+    """
+    from hirelake.operators.batches import build_batches
+    from hirelake.schemas import FLAT_RECORD, NESTED_RECORD
+    from hirelake.sources.lake import write_bronze
+
+    nested = nested_source_rows(spark, sf_dir).select("k", "job.*")
+    nested_cols = [f.name for f in NESTED_RECORD.fields]
+    updates = (nested_source_rows(spark, sf_dir).where(F.col("k") % UPDATE_EVERY == UPDATE_AT)
+               .select("k", F.col("job").withField(
+                   "title", F.concat(F.col("job.title"), F.lit(UPDATE_SUFFIX))).alias("job"))
+               .select("k", "job.*"))
+    flat = flat_source_rows(spark, sf_dir).select("k", "job.*")
+    flat_cols = [f.name for f in FLAT_RECORD.fields]
+    runs = [(NESTED_SOURCE, nested, nested_cols, FIRST_INGEST),
+            (NESTED_SOURCE, updates, nested_cols, UPDATE_INGEST),
+            (FLAT_SOURCE, flat, flat_cols, FIRST_INGEST)]
+    for source, df, cols, ingested_at in runs:
+        env = build_batches(df, source, ["k"], FEED_BATCH_ROWS, ingested_at, cols)
+        write_bronze(env.drop("batch_no"), bronze_root, source, RUN_DATE,
+                     one_document_per_file=one_document_per_file)
