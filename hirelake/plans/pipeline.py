@@ -26,31 +26,39 @@ from hirelake.sources.registry import SOURCES, source_spec
 log = logging.getLogger("hirelake.pipeline")
 
 
-def run_bronze(spark: SparkSession, source: str, dt: str, bronze_root: str):
-    """Read one source and day with its fixed schema and run the gates."""
-    df = lake.read_bronze(spark, bronze_root, source, dt)
+def run_bronze(spark: SparkSession, source: str, dt: str, bronze_root: str,
+               multi_line: bool = True):
+    """Read one source and day with its fixed schema and run the gates.
+
+    ``multi_line=True`` reads one batch document per file (the reference's
+    landing); ``False`` reads JSON Lines, many batches per file, which splits.
+    """
+    df = lake.read_bronze(spark, bronze_root, source, dt, multi_line=multi_line)
     counts = bronze.check_bronze(df, raw_path=lake.bronze_path(bronze_root, source, dt))
     log.info("Bronze %s %s: %s", source, dt, counts)
     return df, counts
 
 
-def build_source(spark: SparkSession, source: str, dt: str, bronze_root: str):
+def build_source(spark: SparkSession, source: str, dt: str, bronze_root: str,
+                 multi_line: bool = True):
     """Scan -> explode -> normalize for one source (no action)."""
     spec = source_spec(source)
-    jobs = bronze.explode_records(lake.read_bronze(spark, bronze_root, source, dt))
+    jobs = bronze.explode_records(lake.read_bronze(spark, bronze_root, source, dt,
+                                                   multi_line=multi_line))
     return spec.normalizer(jobs, to_date_path(dt))
 
 
 def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
                silver_root: str, severities: dict | None = None,
-               fail_on: str | None = quality.CRITICAL, offenders: bool = True) -> dict:
+               fail_on: str | None = quality.CRITICAL, offenders: bool = True,
+               multi_line: bool = True) -> dict:
     """Build, check and write one day of Silver in a single pass.
 
     The quality checks (Q1, Q3-Q5) and the removed-row counts are observed on
     the write. Offender lists (Q6) are read back from the written day, which
     costs a scan of two columns, and only when a domain check failed.
     """
-    frames = [build_source(spark, s, dt, bronze_root) for s in sources]
+    frames = [build_source(spark, s, dt, bronze_root, multi_line) for s in sources]
     metrics = SilverMetrics()
     df = silver_transform(frames, metrics)
     checks = Observation("silver_quality")
@@ -105,7 +113,8 @@ def run_pipeline(spark: SparkSession, sources: list[str], dt: str, bronze_root:
                  silver_root: str, gold_root: str, **silver_options) -> dict:
     """Bronze gate of every source, then Silver, then Gold."""
     dt = to_dt(dt)
-    gates = {s: run_bronze(spark, s, dt, bronze_root)[1] for s in sources}
+    multi_line = silver_options.get("multi_line", True)
+    gates = {s: run_bronze(spark, s, dt, bronze_root, multi_line)[1] for s in sources}
     silver_result = run_silver(spark, sources, dt, bronze_root, silver_root, **silver_options)
     gold_counts = run_gold(spark, dt, silver_root, gold_root)
     return {"bronze": gates, "silver": silver_result, "gold": gold_counts}
@@ -121,6 +130,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--silver-root", required=True)
     p.add_argument("--gold-root", required=True)
     p.add_argument("--master", default=None)
+    p.add_argument("--json-lines", action="store_true",
+                   help="Bronze files hold many batch documents, one per line")
     return p.parse_args(argv)
 
 
@@ -130,7 +141,8 @@ def main(argv=None) -> dict:
     spark = build_session(args.master, app_name="hirelake-pipeline")
     try:
         return run_pipeline(spark, args.sources, args.date, args.bronze_root,
-                            args.silver_root, args.gold_root)
+                            args.silver_root, args.gold_root,
+                            multi_line=not args.json_lines)
     finally:
         spark.stop()
 
