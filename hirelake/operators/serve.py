@@ -86,10 +86,11 @@ def filter_facet(target: DataFrame, column: str, values=None,
     source = target if source is None else source
     if column not in source.columns:
         return target
-    known = source.where(F.col(column).isNotNull()).select(F.col(column).alias("_facet")).distinct()
-    none_known = source.select(F.count(F.col(column))).scalar() == 0
-    hit = known.withColumn("_hit", F.lit(True))
-    return (target.join(hit, target[column] == hit["_facet"], "left")
+    known = (source.where(F.col(column).isNotNull())
+             .groupBy(F.col(column).alias("_facet")).agg(F.lit(True).alias("_hit")))
+    # EXISTS over the same distinct values: its exchange is reused, not recomputed.
+    none_known = ~known.exists()
+    return (target.join(known, target[column] == known["_facet"], "left")
             .where(F.col("_hit").isNotNull() | none_known)
             .drop("_facet", "_hit"))
 

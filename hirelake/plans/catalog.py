@@ -69,6 +69,25 @@ def gold_tables(spark, sf):
     return gold.jobs_summary(s), gold.salary_analysis(s), gold.jobs_detail(s)
 
 
+_SERVED: dict[tuple, str] = {}
+
+
+def served_gold(spark, sf):
+    """Gold as the serving layer sees it: stored tables, read back.
+
+    Built once per session and input folder into the shared checkpoint folder,
+    so serving queries read pruned Parquet instead of recomputing the chain.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    root = _SERVED.get(key)
+    if root is None:
+        root = scratch_path(spark, "served-gold")
+        for name, df in zip(lake.GOLD_TABLES, gold_tables(spark, sf)):
+            lake.write_gold(df, root, name, feeds.RUN_DATE)
+        _SERVED[key] = root
+    return tuple(lake.read_gold(spark, root, t, feeds.RUN_DATE) for t in lake.GOLD_TABLES)
+
+
 NORM_COLS = ["job_id", "title", "company_name", "location_name", "salary_min", "salary_max",
              "salary_is_predicted", "contract_time", "contract_type", "category_label",
              "category_tag", "latitude", "longitude", "job_url", "posted_at", "source",
@@ -330,7 +349,7 @@ UNION ALL SELECT DISTINCT 'category_label', category_label FROM summary WHERE ca
 UNION ALL SELECT DISTINCT 'contract_time', contract_time FROM salary_an WHERE contract_time IS NOT NULL
 UNION ALL SELECT DISTINCT 'source', source FROM detail WHERE source IS NOT NULL"""))
 def d1_facets(spark, sf):
-    summary, salary, detail = gold_tables(spark, sf)
+    summary, salary, detail = served_gold(spark, sf)
     parts = [serve.facet_values(df, c).select(F.lit(c).alias("facet"), F.col(c).alias("value"))
              for df, c in [(summary, "ingestion_date"), (summary, "category_label"),
                            (salary, "contract_time"), (detail, "source")]]
@@ -346,7 +365,7 @@ WHERE ingestion_date IN ('{INGESTION_DATE}') AND category_label IN ({_in(FILTER_
   AND contract_time IN ({_in(FILTER_CONTRACT_TIMES)})
   AND source IN (SELECT DISTINCT source FROM detail WHERE source IS NOT NULL)"""))
 def d2_d5_filters(spark, sf):
-    summary, salary, detail = gold_tables(spark, sf)
+    summary, salary, detail = served_gold(spark, sf)
     v = serve.apply_filters(summary, salary, detail, dates=[INGESTION_DATE],
                             categories=FILTER_CATEGORIES, contract_times=FILTER_CONTRACT_TIMES,
                             sources=None)
@@ -360,7 +379,7 @@ WHERE ingestion_date IN (SELECT ingestion_date FROM summary WHERE ingestion_date
   AND contract_time IN (SELECT contract_time FROM salary_an WHERE contract_time IS NOT NULL)
   AND source IS NOT NULL"""))
 def d6_default_filters(spark, sf):
-    summary, salary, detail = gold_tables(spark, sf)
+    summary, salary, detail = served_gold(spark, sf)
     v = serve.apply_filters(summary, salary, detail)
     return v.detail.select("job_id", "category_label", "contract_time", "source")
 
@@ -372,7 +391,7 @@ SELECT CASE WHEN count(*) = 0 THEN (SELECT count(*) FROM detail) ELSE sum(total_
   round(CASE WHEN count(*) = 0 THEN 0 ELSE avg(median_salary) END, 6) AS median_salary
 FROM summary WHERE category_label IN ({_in(FILTER_CATEGORIES)})"""))
 def d7_d9_kpis(spark, sf):
-    summary, salary, detail = gold_tables(spark, sf)
+    summary, salary, detail = served_gold(spark, sf)
     v = serve.apply_filters(summary, salary, detail, categories=FILTER_CATEGORIES)
     return serve.kpis(v.summary, v.detail).select(
         "total_jobs", "total_categories", _r6("avg_salary"), _r6("median_salary"))
@@ -382,7 +401,7 @@ def d7_d9_kpis(spark, sf):
 SELECT category_label, sum(total_jobs) AS total_jobs FROM summary WHERE category_label IS NOT NULL
 GROUP BY category_label ORDER BY total_jobs DESC, category_label LIMIT 10"""))
 def d10_top_categories(spark, sf):
-    summary, _, _ = gold_tables(spark, sf)
+    summary, _, _ = served_gold(spark, sf)
     return serve.top_categories(summary)
 
 
@@ -393,7 +412,7 @@ SELECT * FROM (
   UNION ALL SELECT 'UNKNOWN', round(coalesce(sum(total_jobs * pct_unknown), 0), 6) FROM summary)
 WHERE estimated_jobs > 0"""))
 def d11_contract_distribution(spark, sf):
-    summary, _, _ = gold_tables(spark, sf)
+    summary, _, _ = served_gold(spark, sf)
     return serve.contract_distribution(summary).select("contract_type", _r6("estimated_jobs"))
 
 
@@ -403,7 +422,7 @@ SELECT category_label, sum(total_jobs) AS total_jobs, round(avg(avg_salary), 6)
   round(avg(median_salary), 6) AS median_salary
 FROM summary WHERE category_label IS NOT NULL GROUP BY category_label"""))
 def d12_category_breakdown(spark, sf):
-    summary, _, _ = gold_tables(spark, sf)
+    summary, _, _ = served_gold(spark, sf)
     b = serve.category_breakdown(summary)
     return b.select("category_label", "total_jobs", _r6("avg_salary"), "min_salary",
                     "max_salary", _r6("median_salary"))
@@ -413,7 +432,7 @@ def d12_category_breakdown(spark, sf):
 SELECT job_id, title, job_search_text FROM detail
 WHERE regexp_matches(job_search_text, '{SEARCH_KEYWORD.lower()}', 'i')"""))
 def d13_keyword_search(spark, sf):
-    _, _, detail = gold_tables(spark, sf)
+    _, _, detail = served_gold(spark, sf)
     return serve.keyword_search(detail, SEARCH_KEYWORD).select("job_id", "title",
                                                                "job_search_text")
 
@@ -424,7 +443,7 @@ WHERE regexp_matches(lower(concat_ws(' ', coalesce(title, ''), coalesce(company_
   coalesce(category_label, ''), coalesce(location_name, ''), coalesce(contract_time, ''),
   coalesce(contract_type, ''))), '{FALLBACK_KEYWORD.lower()}', 'i')"""))
 def d14_search_fallback(spark, sf):
-    _, _, detail = gold_tables(spark, sf)
+    _, _, detail = served_gold(spark, sf)
     return serve.keyword_search(detail.drop("job_search_text"), FALLBACK_KEYWORD).select(
         "job_id", "title")
 
@@ -432,14 +451,14 @@ def d14_search_fallback(spark, sf):
 @register("d15_salary_bounds", q("""
 SELECT min(salary_avg) AS salary_avg_min, max(salary_avg) AS salary_avg_max FROM detail"""))
 def d15_salary_bounds(spark, sf):
-    _, _, detail = gold_tables(spark, sf)
+    _, _, detail = served_gold(spark, sf)
     return serve.salary_bounds(detail)
 
 
 @register("d15_d16_salary_range", q(f"""
 SELECT job_id, salary_avg FROM detail WHERE salary_avg BETWEEN {SALARY_LO} AND {SALARY_HI}"""))
 def d15_d16_salary_range(spark, sf):
-    _, _, detail = gold_tables(spark, sf)
+    _, _, detail = served_gold(spark, sf)
     return serve.salary_range_filter(detail, SALARY_LO, SALARY_HI).select("job_id", "salary_avg")
 
 
@@ -465,7 +484,7 @@ UNION ALL SELECT * FROM (SELECT 'Lowest Salary',
   row_number() OVER (ORDER BY salary_avg ASC NULLS LAST, job_id) AS rank,
   job_id, posted_date, salary_avg FROM detail) WHERE rank <= 10"""))
 def d18_d19_top_jobs(spark, sf):
-    _, _, detail = gold_tables(spark, sf)
+    _, _, detail = served_gold(spark, sf)
     parts = [_ranked_top(detail, how) for how in
              (serve.SORT_NEWEST, serve.SORT_HIGHEST, serve.SORT_LOWEST)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -475,7 +494,7 @@ def d18_d19_top_jobs(spark, sf):
 SELECT contract_time, 'avg_salary_min' AS salary_type, avg_salary_min AS salary FROM salary_an
 UNION ALL SELECT contract_time, 'avg_salary_max', avg_salary_max FROM salary_an"""))
 def d22_salary_melt(spark, sf):
-    _, salary, _ = gold_tables(spark, sf)
+    _, salary, _ = served_gold(spark, sf)
     return serve.salary_melt(salary)
 
 
@@ -483,7 +502,7 @@ def d22_salary_melt(spark, sf):
 SELECT contract_time, median_salary,
   row_number() OVER (ORDER BY median_salary DESC NULLS LAST, contract_time) AS rank FROM salary_an"""))
 def d23_median_rank(spark, sf):
-    _, salary, _ = gold_tables(spark, sf)
+    _, salary, _ = served_gold(spark, sf)
     ranked = serve.median_ranking(salary).select("contract_time", "median_salary")
     # one row per contract time: a bounded frame
     return ranked.withColumn("rank", F.row_number().over(
@@ -493,7 +512,7 @@ def d23_median_rank(spark, sf):
 @register("d24_jobs_by_contract", q("""
 SELECT contract_time, job_count FROM salary_an WHERE job_count > 0"""))
 def d24_jobs_by_contract(spark, sf):
-    _, salary, _ = gold_tables(spark, sf)
+    _, salary, _ = served_gold(spark, sf)
     return serve.jobs_by_contract(salary)
 
 
@@ -504,7 +523,7 @@ def d24_jobs_by_contract(spark, sf):
 SELECT category_label, 'avg_salary' AS salary_type, round(avg_salary, 6) AS salary FROM top
 UNION ALL SELECT category_label, 'median_salary', round(median_salary, 6) FROM top"""))
 def d26_salary_by_category(spark, sf):
-    summary, _, _ = gold_tables(spark, sf)
+    summary, _, _ = served_gold(spark, sf)
     return serve.salary_by_top_categories(summary).select(
         "category_label", "salary_type", _r6("salary"))
 
@@ -543,7 +562,7 @@ def s8_silver_round_trip(spark, sf):
 @register("s10_gold_round_trip", q("SELECT * FROM summary"))
 def s10_gold_round_trip(spark, sf):
     root = scratch_path(spark, "gold")
-    summary, _, _ = gold_tables(spark, sf)
+    summary, _, _ = served_gold(spark, sf)
     lake.write_gold(summary, root, "jobs_summary", feeds.RUN_DATE)
     return lake.read_gold(spark, root, "jobs_summary", feeds.RUN_DATE)
 
@@ -552,7 +571,7 @@ def s10_gold_round_trip(spark, sf):
 SELECT job_id, title, salary_range, CAST(salary_avg AS DOUBLE) AS salary_avg FROM detail"""))
 def s15_csv_round_trip(spark, sf):
     path = scratch_path(spark, "csv")
-    _, _, detail = gold_tables(spark, sf)
+    _, _, detail = served_gold(spark, sf)
     export.write_csv(detail.select("job_id", "title", "salary_range", "salary_avg"), path)
     return (spark.read.schema("job_id string, title string, salary_range string, salary_avg double")
             .option("header", True).csv(path))
