@@ -37,18 +37,20 @@ def gate_counts(df: DataFrame, required=REQUIRED_ENVELOPE_KEYS) -> DataFrame:
     return df.agg(*aggs)
 
 
-def envelope_keys(spark: SparkSession, path: str) -> DataFrame:
+def envelope_keys(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Top-level keys really present in the raw JSON documents under ``path``.
 
-    With a fixed read schema every column exists, so B2 must look at the text.
+    With a fixed read schema every column exists, so B2 must look at the text:
+    one document per file (``multi_line``) or one per line (JSON Lines).
     """
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    raw = (spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True)
+           .text(path))
     return (raw.select(F.explode(F.json_object_keys(F.col("value"))).alias("key"))
             .distinct())
 
 
 def check_bronze(df: DataFrame, raw_path: str | None = None,
-                 required=REQUIRED_ENVELOPE_KEYS) -> dict:
+                 required=REQUIRED_ENVELOPE_KEYS, multi_line: bool = True) -> dict:
     """Run B1 (rows), B2 (required keys), B3 (NULL records) in order.
 
     One aggregate answers all three. Only when a required column is entirely
@@ -63,7 +65,7 @@ def check_bronze(df: DataFrame, raw_path: str | None = None,
     suspects = [c for c in required if c in df.columns and row[f"nonnull_{c}"] == 0]
     if suspects and raw_path is not None:
         spark = df.sparkSession
-        present = {r["key"] for r in envelope_keys(spark, raw_path)
+        present = {r["key"] for r in envelope_keys(spark, raw_path, multi_line)
                    .where(F.col("key").isin(suspects)).collect()}
         missing += [c for c in suspects if c not in present]
     if missing:

@@ -34,7 +34,8 @@ def run_bronze(spark: SparkSession, source: str, dt: str, bronze_root: str,
     landing); ``False`` reads JSON Lines, many batches per file, which splits.
     """
     df = lake.read_bronze(spark, bronze_root, source, dt, multi_line=multi_line)
-    counts = bronze.check_bronze(df, raw_path=lake.bronze_path(bronze_root, source, dt))
+    counts = bronze.check_bronze(df, raw_path=lake.bronze_path(bronze_root, source, dt),
+                                 multi_line=multi_line)
     log.info("Bronze %s %s: %s", source, dt, counts)
     return df, counts
 

@@ -83,3 +83,15 @@ def test_explode_keeps_envelope_and_drops_null_and_empty(spark):
 def test_unknown_source(spark, tmp_dir):
     with pytest.raises(ValueError, match="Unknown source"):
         lake.read_bronze(spark, tmp_dir, "nope", "2026-05-20")
+
+
+def test_missing_key_in_json_lines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "source=jooble", "dt=2026-05-20")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.json"), "w") as f:
+        for i in range(3):
+            f.write(json.dumps({"records": [{"id": str(i)}], "source": "jooble",
+                                "batch_id": str(i)}) + "\n")
+    df = lake.read_bronze(spark, tmp_dir, "jooble", "2026-05-20", multi_line=False)
+    with pytest.raises(bronze.BronzeCheckError, match="schema validation"):
+        bronze.check_bronze(df, raw_path=path, multi_line=False)
