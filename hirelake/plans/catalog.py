@@ -82,7 +82,11 @@ def served_gold(spark, sf):
     root = _SERVED.get(key)
     if root is None:
         root = scratch_path(spark, "served-gold")
-        for name, df in zip(lake.GOLD_TABLES, gold_tables(spark, sf)):
+        lake.write_silver(silver_table(spark, sf), f"{root}/silver", feeds.RUN_DATE)
+        stored = lake.read_silver(spark, f"{root}/silver", feeds.RUN_DATE)
+        for name, df in zip(lake.GOLD_TABLES, (gold.jobs_summary(stored),
+                                               gold.salary_analysis(stored),
+                                               gold.jobs_detail(stored))):
             lake.write_gold(df, root, name, feeds.RUN_DATE)
         _SERVED[key] = root
     return tuple(lake.read_gold(spark, root, t, feeds.RUN_DATE) for t in lake.GOLD_TABLES)

@@ -27,7 +27,8 @@ URL_BASE = "https://jobs.invalid"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from hirelake.session import spread_small_input
+    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _null_when(cond: Column, value: Column) -> Column:
