@@ -258,6 +258,11 @@ def result_count(detail: DataFrame) -> int:
     return detail.count()
 
 
+def result_count_frame(detail: DataFrame) -> DataFrame:
+    """D17 as a one-row frame (``result_count``), for composition."""
+    return detail.agg(F.count(F.lit(1)).alias("result_count"))
+
+
 # ---------------------------------------------------------- salary tab
 
 def salary_melt(salary: DataFrame) -> DataFrame:

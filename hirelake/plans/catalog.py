@@ -583,12 +583,111 @@ def s15_csv_round_trip(spark, sf):
 
 # --------------------------------------------------- end to end
 
+_LANDED: dict[tuple, str] = {}
+
+
+def landed_bronze(spark, sf):
+    """The feeds landed once per session and input folder as Bronze batch
+    documents (one per file) in the shared checkpoint folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDED:
+        root = scratch_path(spark, "bronze")
+        feeds.land_feeds(spark, sf, root)
+        _LANDED[key] = root
+    return _LANDED[key]
+
+
 @register("p1_pipeline_summary", q("SELECT * FROM summary"))
 def p1_pipeline_summary(spark, sf):
     """Feeds landed as Bronze JSON, then the whole job; reads back Gold."""
     from hirelake.plans.pipeline import run_pipeline
     base = scratch_path(spark, "lake")
-    feeds.land_feeds(spark, sf, f"{base}/bronze")
-    run_pipeline(spark, ["adzuna", "jooble"], feeds.RUN_DATE, f"{base}/bronze",
+    run_pipeline(spark, ["adzuna", "jooble"], feeds.RUN_DATE, landed_bronze(spark, sf),
                  f"{base}/silver", f"{base}/gold", fail_on=None)
     return lake.read_gold(spark, f"{base}/gold", "jobs_summary", feeds.RUN_DATE)
+
+
+ROUND_TRIP_COLS = [c for c in NORM_COLS if c != "batch_id"]
+ROUND_TRIP_SQL = ", ".join(c if c != "posted_at" else TS for c in ROUND_TRIP_COLS)
+
+
+@register("s1_s2_bronze_round_trip", q(f"SELECT {ROUND_TRIP_SQL} FROM all_norm"))
+def s1_s2_bronze_round_trip(spark, sf):
+    """Feeds written as Bronze JSON (S2) and read back with the fixed schemas
+    (S1), exploded (B6) and normalized (N13)."""
+    from hirelake.plans.pipeline import build_source
+    root = landed_bronze(spark, sf)
+    frames = [build_source(spark, s, feeds.RUN_DATE, root) for s in ("adzuna", "jooble")]
+    return _ts(silver.union_sources(frames)).select(*ROUND_TRIP_COLS)
+
+
+@register("b5_bronze_job", q(f"""
+, counts AS (
+  SELECT 'adzuna' AS source,
+    CAST(ceil((SELECT count(*) FROM nested_src) / {feeds.FEED_BATCH_ROWS}.0)
+       + ceil((SELECT count(*) FROM nested_src WHERE k % {feeds.UPDATE_EVERY} = {feeds.UPDATE_AT})
+              / {feeds.FEED_BATCH_ROWS}.0) AS BIGINT) AS n
+  UNION ALL SELECT 'jooble', CAST(ceil(count(*) / {feeds.FEED_BATCH_ROWS}.0) AS BIGINT) FROM flat_src)
+SELECT source, n AS rows, CAST(0 AS BIGINT) AS null_records, n AS nonnull_records,
+  n AS nonnull_batch_id, n AS nonnull_source, n AS nonnull_ingested_at FROM counts"""))
+def b5_bronze_job(spark, sf):
+    """The Bronze gate over the landed files of each source (one aggregate
+    per source; it raises if a gate fails)."""
+    from hirelake.plans.pipeline import run_bronze
+    root = landed_bronze(spark, sf)
+    parts = []
+    for source in ("adzuna", "jooble"):
+        df, _ = run_bronze(spark, source, feeds.RUN_DATE, root)
+        parts.append(bronze.gate_counts(df).select(F.lit(source).alias("source"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+@register("streaming_incremental_summary", q("SELECT * FROM summary"))
+def streaming_incremental_summary(spark, sf):
+    """The incremental runner (file stream over Bronze, availableNow) builds the
+    day; Gold read back equals the batch job's."""
+    from hirelake.streaming import incremental_pipeline
+    base = scratch_path(spark, "stream")
+    incremental_pipeline(spark, ["adzuna", "jooble"], landed_bronze(spark, sf),
+                         f"{base}/silver", f"{base}/gold", f"{base}/checkpoints", fail_on=None)
+    return lake.read_gold(spark, f"{base}/gold", "jobs_summary", feeds.RUN_DATE)
+
+
+# ------------------------------------------- serving projections
+
+@register("d17_result_count", q(f"""
+SELECT count(*) AS result_count FROM detail
+WHERE regexp_matches(job_search_text, '{SEARCH_KEYWORD.lower()}', 'i')
+  AND salary_avg BETWEEN {SALARY_LO} AND {SALARY_HI}"""))
+def d17_result_count(spark, sf):
+    _, _, detail = served_gold(spark, sf)
+    found = serve.salary_range_filter(serve.keyword_search(detail, SEARCH_KEYWORD),
+                                      SALARY_LO, SALARY_HI)
+    return serve.result_count_frame(found)
+
+
+@register("d20_card_fields", q("""
+SELECT title, company_name, location_name, category_label, contract_time, contract_type,
+  posted_date, salary_range, source
+FROM detail ORDER BY posted_date DESC NULLS LAST, job_id LIMIT 10"""))
+def d20_card_fields(spark, sf):
+    _, _, detail = served_gold(spark, sf)
+    return serve.card_fields(serve.top_jobs(detail, serve.SORT_NEWEST, 10))
+
+
+@register("d21_job_table", q(f"""
+SELECT job_id, title, company_name, category_label, location_name, contract_time, contract_type,
+  posted_date, salary_min, salary_max, salary_avg, salary_range, salary_is_predicted, source,
+  ingestion_date
+FROM detail WHERE regexp_matches(job_search_text, '{FALLBACK_KEYWORD.lower()}', 'i')"""))
+def d21_job_table(spark, sf):
+    _, _, detail = served_gold(spark, sf)
+    return serve.job_table(serve.keyword_search(detail, FALLBACK_KEYWORD))
+
+
+@register("d25_salary_table", q("""
+SELECT contract_time, job_count, avg_salary_min, avg_salary_max, median_salary, max_salary,
+  min_salary FROM salary_an"""))
+def d25_salary_table(spark, sf):
+    _, salary, _ = served_gold(spark, sf)
+    return serve.salary_table(salary)
