@@ -66,33 +66,36 @@ def facet_values(df: DataFrame, column: str) -> DataFrame:
             .orderBy(column))
 
 
+def has_values(df: DataFrame, column: str) -> bool:
+    """Whether a facet has any non-NULL value: a one-row probe (``take(1)``)."""
+    return len(df.where(F.col(column).isNotNull()).select(column).take(1)) > 0
+
+
 def filter_facet(target: DataFrame, column: str, values=None,
                  source: DataFrame | None = None) -> DataFrame:
     """Keep rows whose ``column`` is among the chosen values.
 
     ``values`` is a list: ``[]`` means no filter; a non-empty list is an
     ``isin`` that reaches the Parquet scan. ``None`` means the dashboard
-    default, every known value of ``source`` (default: ``target``) chosen: a
-    semi join with those distinct values, which hides NULL rows and rows whose
-    value ``source`` lacks; if ``source`` has no value at all, nothing is
-    filtered. The distinct values are small, and AQE broadcasts them once their
-    real size is known.
+    default, every known value of ``source`` (default: ``target``) chosen:
+    NULL rows, and rows whose value ``source`` lacks, are hidden; if ``source``
+    has no value at all, nothing is filtered. A one-row probe tells that case
+    apart; otherwise the filter is a left-semi join with the distinct known
+    values (few, so AQE broadcasts them once their size is known), or just
+    ``isNotNull`` when the values come from ``target`` itself.
     """
     if column not in target.columns:
         return target
     if values is not None:
         values = list(values)
         return target.where(F.col(column).isin(values)) if values else target
-    source = target if source is None else source
-    if column not in source.columns:
+    src = target if source is None else source
+    if column not in src.columns or not has_values(src, column):
         return target
-    known = (source.where(F.col(column).isNotNull())
-             .groupBy(F.col(column).alias("_facet")).agg(F.lit(True).alias("_hit")))
-    # EXISTS over the same distinct values: its exchange is reused, not recomputed.
-    none_known = ~known.exists()
-    return (target.join(known, target[column] == known["_facet"], "left")
-            .where(F.col("_hit").isNotNull() | none_known)
-            .drop("_facet", "_hit"))
+    if src is target:
+        return target.where(F.col(column).isNotNull())
+    known = src.where(F.col(column).isNotNull()).select(column).distinct()
+    return target.join(known, on=column, how="left_semi")
 
 
 @dataclass
