@@ -17,6 +17,10 @@ from hirelake.functions.time import to_dt
 from hirelake.sources.registry import source_spec
 
 GOLD_TABLES = ("jobs_summary", "salary_analysis", "jobs_detail")
+# Upper bound of rows per Parquet file for the row-per-job tables (Silver,
+# jobs_detail): a large day is split into bounded files however few tasks
+# write it.
+MAX_RECORDS_PER_FILE = 2_000_000
 # Gold tables small enough to store as one file: one row per group of a
 # bounded key (category x day, contract time).
 SMALL_GOLD_TABLES = ("jobs_summary", "salary_analysis")
@@ -53,11 +57,13 @@ def read_bronze(spark: SparkSession, root: str, source: str, dt: str,
             .json(bronze_path(root, source, dt)))
 
 
-def _write_partitioned(df: DataFrame, path: str, dt: str, files: int | None = None) -> None:
+def _write_partitioned(df: DataFrame, path: str, dt: str, files: int | None = None,
+                       max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     out = df.withColumn("dt", F.lit(to_dt(dt)))
     if files:
         out = out.coalesce(files)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("dt").parquet(path))
 
 
