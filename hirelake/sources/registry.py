@@ -38,3 +38,13 @@ def source_spec(name: str) -> SourceSpec:
     if name not in SOURCES:
         raise ValueError(f"Unknown source: {name}. Available: {list(SOURCES)}")
     return SOURCES[name]
+
+
+def flatten_source_pages(pages: DataFrame, source: str, max_pages: int | None = None,
+                         country: str = "country", page: str = "page") -> DataFrame:
+    """S4/S5 for a registered feed: its page array, and the country tag when
+    the feed has one."""
+    from hirelake.operators.batches import flatten_pages
+    spec = source_spec(source)
+    return flatten_pages(pages, spec.page_array, max_pages=max_pages,
+                         country_tag=spec.country_tag, country=country, page=page)

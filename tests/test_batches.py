@@ -44,3 +44,13 @@ def test_pages_stop_at_first_empty_page(spark):
                   r["record"]["_source_country"]) for r in out.collect())
     assert got == [("gb", 1, 0, "1", "gb"), ("gb", 1, 1, "2", "gb"), ("gb", 2, 0, "3", "gb"),
                    ("us", 1, 0, "5", "us"), ("us", 2, 0, "6", "us"), ("vn", 1, 0, "4", "vn")]
+
+
+def test_registry_pages(spark):
+    from hirelake.sources.registry import flatten_source_pages
+    pages = spark.createDataFrame(
+        [("remote", 1, [{"id": "1"}]), ("remote", 2, [])],
+        "country string, page int, jobs array<struct<id:string>>")
+    out = flatten_source_pages(pages, "jooble")
+    assert [r["record"]["id"] for r in out.collect()] == ["1"]
+    assert "_source_country" not in out.schema["record"].dataType.fieldNames()
