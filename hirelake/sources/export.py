@@ -4,7 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Fixed names of the three downloads (the filtered serving tables).
+VIEW_FILES = {"detail": "jobs_detail_filtered", "summary": "jobs_summary_filtered",
+              "salary": "salary_analysis_filtered"}
+
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    """Header line, no index column; one folder of part files per view."""
+    """Header line, no index column; one folder of part files per view.
+
+    Written in parallel by the frame's tasks; NULL is an empty field.
+    """
     df.write.mode(mode).option("header", header).csv(path)
+
+
+def export_views(views, folder: str) -> dict[str, str]:
+    """The three filtered views (``serve.Views``) as CSV folders under
+    ``folder``; returns view -> path."""
+    paths = {}
+    for attr, name in VIEW_FILES.items():
+        path = f"{folder.rstrip('/')}/{name}"
+        write_csv(getattr(views, attr), path)
+        paths[attr] = path
+    return paths

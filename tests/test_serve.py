@@ -128,3 +128,14 @@ def test_salary_views(tables):
     assert len(by_cat) == 4
     with pytest.raises(serve.MissingColumns):
         serve.salary_melt(salary.drop("avg_salary_min"))
+
+
+def test_export_views(spark, tables, tmp_dir):
+    from hirelake.sources.export import export_views
+    summary, salary, detail = tables
+    v = serve.apply_filters(summary, salary, detail, categories=["IT"])
+    paths = export_views(v, tmp_dir)
+    assert set(paths) == {"detail", "summary", "salary"}
+    back = spark.read.option("header", True).csv(paths["summary"])
+    assert back.count() == 2 and "total_jobs" in back.columns
+    assert spark.read.option("header", True).csv(paths["detail"]).count() == v.detail.count()
