@@ -389,7 +389,8 @@ def d6_default_filters(spark, sf):
 
 
 @register("d7_d9_kpis", q(f"""
-SELECT CASE WHEN count(*) = 0 THEN (SELECT count(*) FROM detail) ELSE sum(total_jobs) END AS total_jobs,
+SELECT CAST(CASE WHEN count(*) = 0 THEN (SELECT count(*) FROM detail) ELSE sum(total_jobs) END AS BIGINT)
+    AS total_jobs,
   count(DISTINCT category_label) AS total_categories,
   round(CASE WHEN count(*) = 0 THEN 0 ELSE avg(avg_salary) END, 6) AS avg_salary,
   round(CASE WHEN count(*) = 0 THEN 0 ELSE avg(median_salary) END, 6) AS median_salary
@@ -402,7 +403,8 @@ def d7_d9_kpis(spark, sf):
 
 
 @register("d10_top_categories", q("""
-SELECT category_label, sum(total_jobs) AS total_jobs FROM summary WHERE category_label IS NOT NULL
+SELECT category_label, CAST(sum(total_jobs) AS BIGINT) AS total_jobs FROM summary
+WHERE category_label IS NOT NULL
 GROUP BY category_label ORDER BY total_jobs DESC, category_label LIMIT 10"""))
 def d10_top_categories(spark, sf):
     summary, _, _ = served_gold(spark, sf)
@@ -421,7 +423,8 @@ def d11_contract_distribution(spark, sf):
 
 
 @register("d12_category_breakdown", q("""
-SELECT category_label, sum(total_jobs) AS total_jobs, round(avg(avg_salary), 6) AS avg_salary,
+SELECT category_label, CAST(sum(total_jobs) AS BIGINT) AS total_jobs,
+  round(avg(avg_salary), 6) AS avg_salary,
   min(min_salary) AS min_salary, max(max_salary) AS max_salary,
   round(avg(median_salary), 6) AS median_salary
 FROM summary WHERE category_label IS NOT NULL GROUP BY category_label"""))
@@ -479,13 +482,13 @@ def _ranked_top(detail, how, n=10):
 
 @register("d18_d19_top_jobs", q("""
 SELECT * FROM (SELECT 'Newest' AS sort_by,
-  row_number() OVER (ORDER BY posted_date DESC NULLS LAST, job_id) AS rank,
+  CAST(row_number() OVER (ORDER BY posted_date DESC NULLS LAST, job_id) AS INTEGER) AS rank,
   job_id, posted_date, salary_avg FROM detail) WHERE rank <= 10
 UNION ALL SELECT * FROM (SELECT 'Highest Salary',
-  row_number() OVER (ORDER BY salary_avg DESC NULLS LAST, job_id) AS rank,
+  CAST(row_number() OVER (ORDER BY salary_avg DESC NULLS LAST, job_id) AS INTEGER) AS rank,
   job_id, posted_date, salary_avg FROM detail) WHERE rank <= 10
 UNION ALL SELECT * FROM (SELECT 'Lowest Salary',
-  row_number() OVER (ORDER BY salary_avg ASC NULLS LAST, job_id) AS rank,
+  CAST(row_number() OVER (ORDER BY salary_avg ASC NULLS LAST, job_id) AS INTEGER) AS rank,
   job_id, posted_date, salary_avg FROM detail) WHERE rank <= 10"""))
 def d18_d19_top_jobs(spark, sf):
     _, _, detail = served_gold(spark, sf)
@@ -504,7 +507,8 @@ def d22_salary_melt(spark, sf):
 
 @register("d23_median_rank", q("""
 SELECT contract_time, median_salary,
-  row_number() OVER (ORDER BY median_salary DESC NULLS LAST, contract_time) AS rank FROM salary_an"""))
+  CAST(row_number() OVER (ORDER BY median_salary DESC NULLS LAST, contract_time) AS INTEGER) AS rank
+FROM salary_an"""))
 def d23_median_rank(spark, sf):
     _, salary, _ = served_gold(spark, sf)
     ranked = serve.median_ranking(salary).select("contract_time", "median_salary")
@@ -541,7 +545,7 @@ MAX_PAGES = 12
 , first_empty AS (SELECT country, min(page) AS fe FROM pages WHERE is_empty GROUP BY country),
 kept AS (
   SELECT r.country, r.page, r.k,
-    row_number() OVER (PARTITION BY r.country, r.page ORDER BY r.k) - 1 AS pos
+    CAST(row_number() OVER (PARTITION BY r.country, r.page ORDER BY r.k) - 1 AS INTEGER) AS pos
   FROM page_rows r LEFT JOIN first_empty f ON r.country = f.country
   WHERE (f.fe IS NULL OR r.page < f.fe) AND r.page <= {MAX_PAGES})
 SELECT country, page, pos, k, country AS source_country FROM kept"""))

@@ -11,6 +11,9 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+# Spark type -> DuckDB type of the same values
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
 def _norm(v):
@@ -52,4 +55,6 @@ def test_query_matches_oracle(spark, con, name):
     rows = df.collect()
     res = con.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(res.columns)
+    duck_types = dict(zip(res.columns, map(str, res.types)))
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == duck_types
     assert _canon(df.columns, rows) == _canon(res.columns, res.fetchall())
