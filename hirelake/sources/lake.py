@@ -17,6 +17,10 @@ from hirelake.functions.time import to_dt
 from hirelake.sources.registry import source_spec
 
 GOLD_TABLES = ("jobs_summary", "salary_analysis", "jobs_detail")
+# Columns the serving filters use most; jobs_detail files are sorted by them
+# within each write task (no shuffle), so Parquet min/max statistics let an
+# `isin` facet filter skip whole row groups.
+DETAIL_CLUSTER = ("category_label", "contract_time", "source")
 # Upper bound of rows per Parquet file for the row-per-job tables (Silver,
 # jobs_detail): a large day is split into bounded files however few tasks
 # write it.
@@ -93,7 +97,9 @@ def gold_path(root: str, table: str) -> str:
 def write_gold(df: DataFrame, root: str, table: str, dt: str) -> None:
     """Overwrite one day of a Gold table. The two aggregates go to one
     file; jobs_detail, one row per job, is written by as many tasks as it has
-    partitions."""
+    partitions, each sorted by the facet columns."""
+    if table == "jobs_detail":
+        df = df.sortWithinPartitions(*[c for c in DETAIL_CLUSTER if c in df.columns])
     _write_partitioned(df, gold_path(root, table), dt,
                        files=1 if table in SMALL_GOLD_TABLES else None)
 

@@ -95,3 +95,16 @@ def test_missing_key_in_json_lines(spark, tmp_dir):
     df = lake.read_bronze(spark, tmp_dir, "jooble", "2026-05-20", multi_line=False)
     with pytest.raises(bronze.BronzeCheckError, match="schema validation"):
         bronze.check_bronze(df, raw_path=path, multi_line=False)
+
+
+def test_corrupt_document_fails_records_gate(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "source=adzuna", "dt=2026-05-20")
+    os.makedirs(path)
+    with open(os.path.join(path, "good.json"), "w") as f:
+        json.dump({"records": [{"id": "1"}], "source": "adzuna", "batch_id": "1",
+                   "ingested_at": "t"}, f)
+    with open(os.path.join(path, "bad.json"), "w") as f:
+        f.write('{"records": [{"id": "2"}, "source": ')
+    df = lake.read_bronze(spark, tmp_dir, "adzuna", "2026-05-20")
+    with pytest.raises(bronze.BronzeCheckError, match="Bronze records corrupted"):
+        bronze.check_bronze(df, raw_path=path)
