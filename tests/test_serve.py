@@ -139,3 +139,15 @@ def test_export_views(spark, tables, tmp_dir):
     back = spark.read.option("header", True).csv(paths["summary"])
     assert back.count() == 2 and "total_jobs" in back.columns
     assert spark.read.option("header", True).csv(paths["detail"]).count() == v.detail.count()
+
+
+def test_dashboard_views(spark, tables):
+    from hirelake.plans.serving import dashboard
+    summary, salary, detail = tables
+    views = dashboard(summary, salary, detail, keyword="engineer", salary_range=(0.0, 1000.0),
+                      sort=serve.SORT_HIGHEST, cards=5)
+    assert views["result_count"].first()["result_count"] == 1
+    assert [r["title"] for r in views["job_cards"].collect()] == ["Data Engineer"]
+    # default filters hide the summary row without a category (3 jobs)
+    assert views["kpis"].first()["total_jobs"] == 19
+    assert views["salary_table"].count() == 3
