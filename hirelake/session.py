@@ -99,7 +99,9 @@ def spread_small_input(df):
     round-robin shuffle of it is cheap; large inputs, which already have many
     splits, are returned unchanged.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(parallelism) if splits < parallelism else df
