@@ -144,10 +144,10 @@ def kpis(summary: DataFrame, detail: DataFrame) -> DataFrame:
                       F.lit(None).cast("string").alias("_label"),
                       F.lit(None).cast("double").alias("_avg"),
                       F.lit(None).cast("double").alias("_med"))
-    n_summary = F.sum("_s")
+    n_summary = F.coalesce(F.sum("_s"), F.lit(0))  # an empty union sums to NULL
     return s.unionByName(d).agg(
-        F.when(n_summary == 0, F.sum("_d")).otherwise(F.sum("_jobs")).cast("long")
-        .alias("total_jobs"),
+        F.when(n_summary == 0, F.coalesce(F.sum("_d"), F.lit(0)))
+        .otherwise(F.sum("_jobs")).cast("long").alias("total_jobs"),
         F.count_distinct("_label").alias("total_categories"),
         F.when(n_summary == 0, F.lit(0.0)).otherwise(F.avg("_avg")).alias("avg_salary"),
         F.when(n_summary == 0, F.lit(0.0)).otherwise(F.avg("_med")).alias("median_salary"))

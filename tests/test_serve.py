@@ -73,6 +73,9 @@ def test_kpis(spark, tables):
     assert k["avg_salary"] == pytest.approx(350.0 / 3)
     empty = serve.kpis(summary.limit(0), detail).first()
     assert (empty["total_jobs"], empty["total_categories"], empty["avg_salary"]) == (4, 0, 0.0)
+    none = serve.kpis(summary.limit(0), detail.limit(0)).first()
+    assert (none["total_jobs"], none["total_categories"], none["avg_salary"],
+            none["median_salary"]) == (0, 0, 0.0, 0.0)
 
 
 def test_overview_views(tables):
