@@ -84,7 +84,9 @@ class SilverMetrics:
         ids, out = self.ids.get, self.output.get
         rows_in, nulls, rows_out = ids["input_rows"], ids["null_job_ids"], out["silver_rows"]
         return {"input_rows": rows_in, "null_job_ids": nulls,
-                "duplicates_removed": rows_in - nulls - rows_out, "silver_rows": rows_out}
+                "duplicates_removed": rows_in - nulls - rows_out, "silver_rows": rows_out,
+                # missing or unparsable timestamps: try_cast gave NULL instead of failing
+                "posted_at_null": out["posted_at_null"]}
 
 
 def silver_transform(frames: DataFrame | Iterable[DataFrame],
@@ -102,7 +104,8 @@ def silver_transform(frames: DataFrame | Iterable[DataFrame],
     df = scale_salaries(df)
     df = add_entity_ids(df)
     if metrics is not None:
-        df = df.observe(metrics.output, F.count(F.lit(1)).alias("silver_rows"))
+        df = df.observe(metrics.output, F.count(F.lit(1)).alias("silver_rows"),
+                        F.count_if(F.col("posted_at").isNull()).alias("posted_at_null"))
     cols = SILVER_COLUMNS + (LINEAGE_COLUMNS if keep_lineage else [])
     return df.select(*[c for c in cols if c in df.columns])
 

@@ -70,7 +70,7 @@ def test_null_ids_dropped_with_observed_count(spark):
     out = silver.silver_transform(df, m)
     assert out.count() == 1
     assert m.as_dict() == {"input_rows": 3, "null_job_ids": 1, "duplicates_removed": 1,
-                           "silver_rows": 1}
+                           "silver_rows": 1, "posted_at_null": 1}
 
 
 def test_dedup_keeps_latest_copy_deterministically(spark):
