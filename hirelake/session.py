@@ -91,19 +91,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{os.urandom(6).hex()}"
 
-
-def spread_small_input(df):
-    """Spread an input that has fewer splits than the cluster has cores.
-
-    A single-file table with one Parquet row group is read by one task, and
-    everything up to the first shuffle runs there. Such an input is small by
-    construction (fewer splits than cores, so at most a few hundred MB), so one
-    round-robin shuffle of it is cheap; large inputs, which already have many
-    splits, are returned unchanged.
-    """
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(parallelism) if splits < parallelism else df
