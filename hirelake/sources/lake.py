@@ -49,16 +49,20 @@ def write_bronze(envelopes: DataFrame, root: str, source: str, dt: str,
 
 
 def read_bronze(spark: SparkSession, root: str, source: str, dt: str,
-                multi_line: bool = True) -> DataFrame:
+                multi_line: bool = True, with_file: bool = False) -> DataFrame:
     """Every batch of one source and day, with the source's fixed schema.
 
     ``multiLine`` reads one JSON document per file (as the landing writes them);
-    a missing folder raises PATH_NOT_FOUND.
+    a missing folder raises PATH_NOT_FOUND. ``with_file`` adds ``source_file``
+    (the document's path) so a bad record can be traced to its batch file.
     """
     spec = source_spec(source)
-    return (spark.read.schema(spec.envelope_schema)
-            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-            .json(bronze_path(root, source, dt)))
+    df = (spark.read.schema(spec.envelope_schema)
+          .option("multiLine", multi_line).option("mode", "PERMISSIVE")
+          .json(bronze_path(root, source, dt)))
+    if with_file:
+        df = df.withColumn("source_file", F.col("_metadata.file_path"))
+    return df
 
 
 def _write_partitioned(df: DataFrame, path: str, dt: str, files: int | None = None,

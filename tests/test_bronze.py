@@ -108,3 +108,13 @@ def test_corrupt_document_fails_records_gate(spark, tmp_dir):
     df = lake.read_bronze(spark, tmp_dir, "adzuna", "2026-05-20")
     with pytest.raises(bronze.BronzeCheckError, match="Bronze records corrupted"):
         bronze.check_bronze(df, raw_path=path)
+
+
+def test_source_file_lineage(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "source=adzuna", "dt=2026-05-20")
+    os.makedirs(path)
+    with open(os.path.join(path, "batch_7.json"), "w") as f:
+        json.dump({"records": [{"id": "1"}], "source": "adzuna", "batch_id": "7",
+                   "ingested_at": "t"}, f)
+    df = lake.read_bronze(spark, tmp_dir, "adzuna", "2026-05-20", with_file=True)
+    assert df.first()["source_file"].endswith("batch_7.json")
