@@ -111,13 +111,14 @@ def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
 
 
 def run_pipeline(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
-                 silver_root: str, gold_root: str, **silver_options) -> dict:
+                 silver_root: str, gold_root: str, exact_median: bool = False,
+                 **silver_options) -> dict:
     """Bronze gate of every source, then Silver, then Gold."""
     dt = to_dt(dt)
     multi_line = silver_options.get("multi_line", True)
     gates = {s: run_bronze(spark, s, dt, bronze_root, multi_line)[1] for s in sources}
     silver_result = run_silver(spark, sources, dt, bronze_root, silver_root, **silver_options)
-    gold_counts = run_gold(spark, dt, silver_root, gold_root)
+    gold_counts = run_gold(spark, dt, silver_root, gold_root, exact_median)
     return {"bronze": gates, "silver": silver_result, "gold": gold_counts}
 
 
@@ -133,6 +134,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--master", default=None)
     p.add_argument("--json-lines", action="store_true",
                    help="Bronze files hold many batch documents, one per line")
+    p.add_argument("--exact-median", action="store_true",
+                   help="exact lower median (percentile_disc) instead of percentile_approx")
     return p.parse_args(argv)
 
 
@@ -143,6 +146,7 @@ def main(argv=None) -> dict:
     try:
         return run_pipeline(spark, args.sources, args.date, args.bronze_root,
                             args.silver_root, args.gold_root,
+                            exact_median=args.exact_median,
                             multi_line=not args.json_lines)
     finally:
         spark.stop()

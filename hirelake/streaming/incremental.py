@@ -36,7 +36,8 @@ def _day_stream(spark: SparkSession, bronze_root: str, source: str) -> DataFrame
 
 def incremental_pipeline(spark: SparkSession, sources: list[str], bronze_root: str,
                          silver_root: str, gold_root: str, checkpoint_root: str,
-                         multi_line: bool = True, **silver_options) -> list[str]:
+                         multi_line: bool = True, exact_median: bool = False,
+                         **silver_options) -> list[str]:
     """Process all Bronze documents not seen before; return the rebuilt days.
 
     Runs with ``availableNow`` (take what is there, then stop): schedule it as
@@ -50,7 +51,7 @@ def incremental_pipeline(spark: SparkSession, sources: list[str], bronze_root: s
         for dt in days:
             run_silver(spark, sources, dt, bronze_root, silver_root,
                        multi_line=multi_line, **silver_options)
-            run_gold(spark, dt, silver_root, gold_root)
+            run_gold(spark, dt, silver_root, gold_root, exact_median)
             rebuilt.append(dt)
 
     streams = [_day_stream(spark, bronze_root, s) for s in sources]

@@ -45,11 +45,20 @@ def test_entry_runs(spark):
     assert "median_salary" in df.columns
 
 
+# rows-only: the approximate median depends on partitioning (see catalog)
+ROWS_ONLY = {"g10_approx_median"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) == set(entry.queries()) - ROWS_ONLY
+
+
+def test_rows_only_queries_run(spark):
+    for name in ROWS_ONLY:
+        assert entry.queries()[name](spark, SF_SMALL).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = df.collect()

@@ -23,10 +23,10 @@ def test_incremental_runs_match_batch(spark, tmp_dir):
                          [c for c in flat.columns if c != "k"])
     lake.write_bronze(fenv.drop("batch_no"), bronze, "jooble", feeds.RUN_DATE)
     assert incremental_pipeline(spark, ["adzuna", "jooble"], bronze, silver, gold, ckpt,
-                                fail_on=None) == [feeds.RUN_DATE]
+                                exact_median=True, fail_on=None) == [feeds.RUN_DATE]
     # nothing new: nothing rebuilt
     assert incremental_pipeline(spark, ["adzuna", "jooble"], bronze, silver, gold, ckpt,
-                                fail_on=None) == []
+                                exact_median=True, fail_on=None) == []
     # evening batches arrive: the day is rebuilt and keeps the later copies
     upd = (feeds.nested_source_rows(spark, SF_SMALL)
            .where(F.col("k") % feeds.UPDATE_EVERY == feeds.UPDATE_AT)
@@ -36,7 +36,7 @@ def test_incremental_runs_match_batch(spark, tmp_dir):
     uenv = build_batches(upd, "adzuna", ["k"], 100, feeds.UPDATE_INGEST, cols)
     lake.write_bronze(uenv.drop("batch_no"), bronze, "adzuna", feeds.RUN_DATE)
     assert incremental_pipeline(spark, ["adzuna", "jooble"], bronze, silver, gold, ckpt,
-                                fail_on=None) == [feeds.RUN_DATE]
+                                exact_median=True, fail_on=None) == [feeds.RUN_DATE]
     expected = CATALOG["g7_jobs_summary"].run(spark, SF_SMALL)
     got = lake.read_gold(spark, gold, "jobs_summary", feeds.RUN_DATE).select(*expected.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
