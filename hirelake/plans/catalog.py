@@ -309,6 +309,18 @@ def q7_report(spark, sf):
     return quality.quality_report(silver_table(spark, sf))
 
 
+@register("q8_severity_report", q(f"""
+SELECT "check", "column",
+  CASE WHEN "check" = 'contract_type_domain' THEN 'critical' ELSE severity END AS severity, failed
+FROM ({QUALITY_ROWS_SQL})"""))
+def q8_severity_report(spark, sf):
+    """Q8: the report with contract_type_domain raised to critical (the job
+    would stop on it with fail_on="critical")."""
+    return quality.quality_report(silver_table(spark, sf),
+                                  severities={"contract_type_domain": quality.CRITICAL},
+                                  include_duplicates=False)
+
+
 # ------------------------------------------------------------------- Gold (G)
 
 @register("g6_jobs_detail", q(f"SELECT {DETAIL_SQL} FROM detail"))
