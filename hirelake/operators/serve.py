@@ -210,13 +210,24 @@ def salary_bounds(detail: DataFrame) -> DataFrame:
                       F.max("salary_avg").alias("salary_avg_max"))
 
 
-def salary_range_filter(detail: DataFrame, lo: float | None, hi: float | None) -> DataFrame:
-    """Lo <= salary_avg <= hi; NULL averages drop. ``None`` bounds: no filter."""
+def salary_range_filter(detail: DataFrame, lo, hi) -> DataFrame:
+    """Lo <= salary_avg <= hi; NULL averages drop. ``None`` bounds: no filter.
+
+    Bounds are numbers or Columns, e.g. the D15 bounds as scalar subqueries
+    (the slider's default), so nothing is collected to the driver.
+    """
     if lo is None or hi is None or "salary_avg" not in detail.columns:
         return detail
     return detail.where(F.col("salary_avg").between(lo, hi))
 
 
+def default_salary_range(detail: DataFrame) -> DataFrame:
+    """D15 + D16 as the dashboard opens: the slider spans the full bounds."""
+    bounds = salary_bounds(detail)
+    return salary_range_filter(detail, bounds.select("salary_avg_min").scalar(),
+                               bounds.select("salary_avg_max").scalar())
+
+
 def sort_options(detail: DataFrame) -> list[str]:
     """The sort choices offered for a frame; the first is preselected."""
     opts = [SORT_NEWEST] if "posted_date" in detail.columns else []

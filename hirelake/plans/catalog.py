@@ -500,6 +500,14 @@ def d15_d16_salary_range(spark, sf):
     return serve.salary_range_filter(detail, SALARY_LO, SALARY_HI).select("job_id", "salary_avg")
 
 
+@register("d16_default_salary_range", q("""
+SELECT job_id, salary_avg FROM detail
+WHERE salary_avg BETWEEN (SELECT min(salary_avg) FROM detail) AND (SELECT max(salary_avg) FROM detail)"""))
+def d16_default_salary_range(spark, sf):
+    _, _, detail = served_gold(spark, sf)
+    return serve.default_salary_range(detail).select("job_id", "salary_avg")
+
+
 def _ranked_top(detail, how, n=10):
     top = serve.top_jobs(detail, how, n).select("job_id", "posted_date", "salary_avg")
     order = {serve.SORT_NEWEST: [F.desc_nulls_last("posted_date")],

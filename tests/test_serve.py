@@ -154,3 +154,9 @@ def test_dashboard_views(spark, tables):
     # default filters hide the summary row without a category (3 jobs)
     assert views["kpis"].first()["total_jobs"] == 19
     assert views["salary_table"].count() == 3
+
+
+def test_default_salary_range(tables):
+    _, _, detail = tables
+    got = sorted(r["job_id"] for r in serve.default_salary_range(detail).collect())
+    assert got == ["1", "3", "4"]  # every job with a salary average
