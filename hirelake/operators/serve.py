@@ -1,4 +1,5 @@
-"""Serving analytics over the Gold tables (D1-D27), as lazy DataFrame functions.
+"""Serving analytics over the Gold tables (D1-D27), as lazy DataFrame functions
+(a default facet filter runs one ``take(1)`` probe when it is built).
 
 The dashboard's pandas rules are kept: group keys drop NULL, sums and means
 skip NULL, sorts put NULL last in both directions, ``between`` includes both

@@ -22,7 +22,8 @@ def dashboard(summary: DataFrame, salary: DataFrame, detail: DataFrame, *,
 
     Filters follow the sidebar (``None`` = every known value chosen, ``[]`` =
     no filter). The explorer applies the keyword, then the salary range
-    (``(lo, hi)``), then the sort. Nothing runs until a view is used.
+    (``(lo, hi)``), then the sort. Default facets (``None``) run a one-row
+    probe each while the views are built; the views themselves run when used.
     """
     v = serve.apply_filters(summary, salary, detail, dates=dates, categories=categories,
                             contract_times=contract_times, sources=sources)
