@@ -41,3 +41,14 @@ def test_arguments():
                     "--silver-root", "s", "--gold-root", "g"])
     with pytest.raises(SystemExit):
         parse_args(["--bronze-root", "b", "--silver-root", "s", "--gold-root", "g"])
+
+
+def test_gold_salary_by_date(spark, tmp_dir):
+    from hirelake.plans import catalog
+    from hirelake.plans.pipeline import run_gold
+    silver = os.path.join(tmp_dir, "silver")
+    lake.write_silver(catalog.silver_table(spark, SF_SMALL), silver, feeds.RUN_DATE)
+    run_gold(spark, feeds.RUN_DATE, silver, os.path.join(tmp_dir, "gold"), salary_by_date=True)
+    sal = lake.read_gold(spark, os.path.join(tmp_dir, "gold"), "salary_analysis")
+    assert sal.columns[0] == "ingestion_date"
+    assert {r["ingestion_date"] for r in sal.collect()} == {feeds.INGESTION_DATE}
