@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from hirelake.llm import exact_dedup, line_dedup, mixing
+from hirelake.llm import exact_dedup, line_dedup, mixing, token_counts, toxicity
 
-QUERIES = {
-    "op2_exact_dedup": (exact_dedup.run, exact_dedup.SQL),
-    "op5_line_dedup": (line_dedup.run, line_dedup.SQL),
-    "op9_mixing": (mixing.run, mixing.SQL),
+_MODULES = {
+    "op1_token_counts": token_counts,
+    "op2_exact_dedup": exact_dedup,
+    "op5_line_dedup": line_dedup,
+    "op9_mixing": mixing,
+    "op10_toxicity": toxicity,
 }
+
+QUERIES = {name: (module.run, module.SQL) for name, module in _MODULES.items()}

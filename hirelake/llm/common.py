@@ -7,7 +7,10 @@ character, so scanning bytes is the same as scanning characters.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import hirelake
 from hirelake.session import scratch_path
 
 WS = r"[\x20\x09-\x0D]+"
@@ -31,8 +35,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the whole texts that one Python task holds at a time."""
+    """Before Python tasks over whole texts: bound the texts that one holds at a
+    time, and send this package along, once a session, as --py-files would."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    sc = spark.sparkContext
+    if getattr(sc, "_hirelake_sent", None) is None:
+        root = Path(hirelake.__file__).parent
+        out = Path(tempfile.mkdtemp(prefix="hirelake-")) / "hirelake.zip"
+        with zipfile.ZipFile(out, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(out))
+        sc._hirelake_sent = str(out)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
