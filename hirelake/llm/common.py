@@ -123,9 +123,9 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of a batch of texts: document, byte span and 64-bit hash."""
+    """The words of a batch of texts: document, byte span and (if asked) 64-bit hash."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, hashed: bool = True):
         self.data, self.offsets = utf8(column)
         data, n = self.data, len(self.data)
         solid = ~_IS_WS[data]
@@ -142,6 +142,11 @@ class Words:
         self.ends = np.flatnonzero(ends) + 1
         self.doc = np.searchsorted(self.offsets[1:], self.starts, side="right")
         self.bounds = np.searchsorted(self.doc, np.arange(len(self.offsets)))
+        if hashed:
+            self._hash(lower)
+
+    def _hash(self, lower: bool) -> None:
+        data = self.data
         self.hash = np.empty(len(self.starts), dtype=np.uint64)
         table = _LOWER if lower else _BYTE
         i = 0
