@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hirelake.llm import exact_dedup, line_dedup, mixing, pieces, pii, token_counts, toxicity
+from hirelake.llm import exact_dedup, line_dedup, mixing, neighbours, pieces, pii, token_counts, toxicity
 
 _MODULES = {
     "op1_token_counts": token_counts,
     "op2_exact_dedup": exact_dedup,
+    "op3_nearest": neighbours,
     "op4_pii": pii,
     "op5_line_dedup": line_dedup,
     "op6_sentencepiece": pieces,
