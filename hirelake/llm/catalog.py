@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from hirelake.llm import exact_dedup, line_dedup, mixing, neighbours, pieces, pii, token_counts, toxicity
+from hirelake.llm import (exact_dedup, jaccard, line_dedup, mixing, neighbours, pieces, pii,
+                          substring_dedup, token_counts, toxicity)
 
 _MODULES = {
     "op1_token_counts": token_counts,
@@ -11,6 +12,8 @@ _MODULES = {
     "op4_pii": pii,
     "op5_line_dedup": line_dedup,
     "op6_sentencepiece": pieces,
+    "op7_jaccard": jaccard,
+    "op8_substring_dedup": substring_dedup,
     "op9_mixing": mixing,
     "op10_toxicity": toxicity,
 }

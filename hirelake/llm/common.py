@@ -49,6 +49,11 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
         sc._hirelake_sent = str(out)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ..., so that no helper column clashes."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
@@ -173,3 +178,37 @@ class Words:
                 yield window_hash(self.hash[a:b], np.array([0]), np.array([b - a]))
             else:
                 yield np.zeros(0, dtype=np.uint64)
+
+
+def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
+    """Index of the leftmost minimum of each ``width`` consecutive values."""
+    best, low, span = np.arange(len(values)), values, 1
+    while span < width:                  # minima of 2, 4, ... and at last width values
+        shift = min(span, width - span)
+        right = low[shift:] < low[:-shift]
+        best = np.where(right, best[shift:], best[:-shift])
+        low = np.where(right, low[shift:], low[:-shift])
+        span += shift
+    return best
+
+
+class Bits:
+    """A bitmap of hashes with a fixed size, built by Spark, sent to tasks.
+
+    Collecting it costs 2**size / 64 rows at most, whatever it is built from; when
+    many hashes are set it only lets more rows through.
+    """
+
+    def __init__(self, hashes: DataFrame, column: str, size: int = 23):
+        self.size = size
+        at = F.col(column).bitwiseAND(F.lit((1 << size) - 1))
+        words = hashes.select(F.shiftright(at, 6).alias("word"), F.call_function(
+            "shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+        rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        self.words = np.zeros(1 << (size - 6), dtype=np.uint64)
+        self.words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes & np.uint64((1 << self.size) - 1)
+        word = self.words[(at >> np.uint64(6)).astype(np.int64)]
+        return (word >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)

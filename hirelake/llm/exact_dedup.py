@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import WS, read, stored
+from hirelake.llm.common import WS, numbered, read, stored
 
 
 def normalised(text: Column) -> Column:
@@ -93,12 +93,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     kept = exact_groups(docs, id_col, text_col).filter("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_s")).distinct()
-    marked = docs.withColumn("_s0", F.sha2(normalised(F.col(text_col)), 256))
-    rows = marked.join(kept, marked[id_col].eqNullSafe(kept["_id"])
-                       & (marked["_s0"] == kept["_s"])).select(
-        *[marked[c] for c in docs.columns], marked["_s0"])
-    return rows.groupBy(id_col, "_s0").agg(
-        F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
+    rows = numbered(docs)
+    columns = rows.columns
+    own = F.col(columns[docs.columns.index(id_col)])
+    rows = rows.withColumn("_own", F.sha2(normalised(F.col(columns[docs.columns.index(text_col)])), 256))
+    stay = rows.join(kept, own.eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_s")))
+    return stay.groupBy("_id", "_own").agg(F.min(F.struct(*columns)).alias("_r")).select(
+        "_r.*").toDF(*docs.columns)
 
 
 def run(spark, sf_dir) -> DataFrame:
