@@ -93,7 +93,8 @@ def _placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
 def schedule(sources: DataFrame, slots: int = SLOTS) -> DataFrame:
     """The mix in order: ``slot, _no, epoch, block, words`` and the block size."""
     spark = sources.sparkSession
-    total = sources.agg(F.max("_all")).first()[0] or 0
+    total, n_sources = sources.agg(F.max("_all"), F.count("*")).first()
+    total = total or 0
     size = max(1, -(-total // slots))
     n = -(-total // size)
     share = F.col("_target") / F.greatest(F.col("_all"), F.lit(1)).cast("double")
@@ -126,8 +127,9 @@ def schedule(sources: DataFrame, slots: int = SLOTS) -> DataFrame:
         "_no", "_total", "_goal", last_rank.cast("long").alias("_last"),
         F.coalesce("_had", F.lit(0)).alias("_had"))
     closing = needs.filter("_had <= _last").select(
-        F.explode(F.sequence("_had", "_last")).alias("rank"), "_no").select(
-        (F.lit(n) + F.col("rank")).alias("slot"), "_no", "rank")
+        F.explode(F.sequence("_had", "_last")).alias("rank"), "_no", "_had").select(
+        (F.lit(n) + (F.col("rank") - F.col("_had")) * n_sources + F.col("_no")).alias("slot"),
+        "_no", "rank")
     taken = ranked.unionByName(closing).join(needs, "_no").filter("rank <= _last")
     per_epoch = blocks.cast("long")
     taken = taken.withColumn("epoch", F.floor(F.col("rank") / per_epoch)).withColumn(
