@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hirelake.session import checkpoint_dir
 
 DEFAULT_BATCH_SIZE = 100
+BROADCAST_COUNTRIES = 10_000
 
 
 def with_positions(df: DataFrame, order_by: list[str], name: str = "_pos") -> DataFrame:
@@ -86,13 +87,17 @@ def flatten_pages(pages: DataFrame, array_field: str, max_pages: int | None = No
     Per country, pages 1..max_pages are kept up to (not including) the first
     empty page; a missing array counts as empty. Output: country, page, pos,
     record (with ``_source_country`` when ``country_tag``). The first-empty
-    table has one row per country and joins back by equality (AQE broadcasts
-    it once its size is known); a hot country is never gathered in one task.
+    table has one row per country that has an empty page; up to
+    ``BROADCAST_COUNTRIES`` rows (counted first) it is sent to the pages, so
+    their arrays are not shuffled. Beyond that it joins by country, which AQE
+    splits where a country is hot.
     """
     arr = F.col(array_field)
     empty = F.coalesce(F.size(arr), F.lit(0)) <= 0
     first_empty = (pages.where(empty).groupBy(country)
                    .agg(F.min(page).alias("_first_empty")))
+    if first_empty.limit(BROADCAST_COUNTRIES + 1).count() <= BROADCAST_COUNTRIES:
+        first_empty = F.broadcast(first_empty)
     kept = pages.join(first_empty, country, "left").where(
         (F.col(page) >= 1)
         & (F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty"))))

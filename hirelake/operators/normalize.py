@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,16 +77,3 @@ def normalize_flat(jobs: DataFrame, ingestion_date: str,
         F.lit(ingestion_date).alias("ingestion_date"),
         *_lineage(jobs),
     )
-
-
-NORMALIZERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
-    NESTED_SOURCE: normalize_nested,
-    FLAT_SOURCE: normalize_flat,
-}
-
-
-def normalizer_for(source: str) -> Callable[[DataFrame, str], DataFrame]:
-    """The normalizer of a feed; unknown names raise, listing known ones."""
-    if source not in NORMALIZERS:
-        raise ValueError(f"Unknown source: {source}. Available: {list(NORMALIZERS)}")
-    return NORMALIZERS[source]

@@ -14,6 +14,7 @@ log = logging.getLogger("hirelake.quality")
 
 REQUIRED_FIELDS = ["job_id", "title", "company_name"]
 WARNING, CRITICAL = "warning", "critical"
+LEVELS = (WARNING, CRITICAL)
 _RANK = {WARNING: 1, CRITICAL: 2}
 
 

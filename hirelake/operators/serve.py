@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hirelake.functions.salary import NOT_AVAILABLE
 from hirelake.functions.text import SEARCH_COLUMNS, keyword_match, search_text
+from hirelake.functions.time import to_dt
 from hirelake.operators.gold import CONTRACT_TIME_SHARES
 
 # Fixed values that must equal the reference's: card defaults for absent
@@ -47,10 +48,6 @@ class MissingColumns(ValueError):
     """A view needs columns the frame does not have."""
 
 
-def has_columns(df: DataFrame, cols) -> bool:
-    return set(cols).issubset(df.columns)
-
-
 def require_columns(df: DataFrame, cols) -> DataFrame:
     """Fail at analysis time if a view's columns are missing."""
     missing = [c for c in cols if c not in df.columns]
@@ -87,11 +84,13 @@ def filter_facet(target: DataFrame, column: str, values=None,
     """
     if column not in target.columns:
         return target
+    src = target if source is None else source
+    if column not in src.columns:
+        return target
     if values is not None:
         values = list(values)
         return target.where(F.col(column).isin(values)) if values else target
-    src = target if source is None else source
-    if column not in src.columns or not has_values(src, column):
+    if not has_values(src, column):
         return target
     if src is target:
         return target.where(F.col(column).isNotNull())
@@ -99,6 +98,15 @@ def filter_facet(target: DataFrame, column: str, values=None,
     return target.join(known, on=column, how="left_semi")
 
 
+def _days(df: DataFrame, dates) -> DataFrame:
+    """Chosen dates on the partition column ``dt`` too, if the frame kept it, so
+    that only these days' folders are opened."""
+    if not dates or "dt" not in df.columns:
+        return df
+    kind = df.schema["dt"].dataType
+    return df.where(F.col("dt").isin([F.lit(to_dt(d)).cast(kind) for d in dates]))
+
+
 @dataclass
 class Views:
     """The three Gold frames after the sidebar filters."""
@@ -115,6 +123,7 @@ def apply_filters(summary: DataFrame, salary: DataFrame, detail: DataFrame,
     from the date-filtered summary; contract times from the salary table and
     filter salary and detail (not summary); sources from the detail only.
     """
+    summary, detail = _days(summary, dates), _days(detail, dates)
     s = filter_facet(summary, "ingestion_date", dates)
     d = filter_facet(detail, "ingestion_date", dates, source=summary)
     s_before = s
@@ -133,9 +142,15 @@ def kpis(summary: DataFrame, detail: DataFrame) -> DataFrame:
 
     total_jobs is the summary's sum, or the number of detail rows when the
     summary is empty; the salary figures are unweighted means over summary rows
-    (0 when there are none). One aggregate over a union: no join, each side
-    folds map-side.
+    (0 when there are none). A one-row probe tells whether the summary is empty;
+    only then the detail is read.
     """
+    if summary.take(1):
+        return summary.agg(
+            F.sum("total_jobs").cast("long").alias("total_jobs"),
+            F.count_distinct("category_label").alias("total_categories"),
+            F.avg("avg_salary").alias("avg_salary"),
+            F.avg("median_salary").alias("median_salary"))
     s = summary.select(F.lit(1).alias("_s"), F.lit(0).alias("_d"),
                        F.col("total_jobs").cast("long").alias("_jobs"),
                        F.col("category_label").alias("_label"),
@@ -214,19 +229,21 @@ def salary_bounds(detail: DataFrame) -> DataFrame:
 def salary_range_filter(detail: DataFrame, lo, hi) -> DataFrame:
     """Lo <= salary_avg <= hi; NULL averages drop. ``None`` bounds: no filter.
 
-    Bounds are numbers or Columns, e.g. the D15 bounds as scalar subqueries
-    (the slider's default), so nothing is collected to the driver.
+    If no job has a salary average there is no slider, and no filter either (a
+    one-row probe).
     """
-    if lo is None or hi is None or "salary_avg" not in detail.columns:
+    if (lo is None or hi is None or "salary_avg" not in detail.columns
+            or not has_values(detail, "salary_avg")):
         return detail
     return detail.where(F.col("salary_avg").between(lo, hi))
 
 
 def default_salary_range(detail: DataFrame) -> DataFrame:
-    """D15 + D16 as the dashboard opens: the slider spans the full bounds."""
-    bounds = salary_bounds(detail)
-    return salary_range_filter(detail, bounds.select("salary_avg_min").scalar(),
-                               bounds.select("salary_avg_max").scalar())
+    """D15 + D16 as the dashboard opens: the slider spans the full bounds, so every
+    job with a salary average is inside them; all jobs where none has one."""
+    if "salary_avg" not in detail.columns or not has_values(detail, "salary_avg"):
+        return detail
+    return detail.where(F.col("salary_avg").isNotNull())
 
 
 def sort_options(detail: DataFrame) -> list[str]:

@@ -10,7 +10,7 @@ semantics, fixed-size sketches). Its merged sketches depend on how the rows
 are partitioned, so the same data can give a neighbouring element under
 another session setup. The oracle-checked queries therefore use the exact
 lower median (``percentile_disc``), the value the sketch approximates; the
-approximate path is registered as ``g10_approx_median`` (rows only).
+approximate path is registered as ``g10_approx_median``, which checks its rank.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from hirelake.operators import batches, bronze, gold, quality, serve, silver
 from hirelake.operators.normalize import normalize_flat, normalize_nested
 from hirelake.plans import feeds
 from hirelake.plans.oracle import TS, q
-from hirelake.schemas import JOBS_DETAIL_COLUMNS
+from hirelake.schemas import COMMON_COLUMNS, JOBS_DETAIL_COLUMNS, LINEAGE_COLUMNS
 from hirelake.session import scratch_path
 from hirelake.sources import export, lake
 
@@ -103,10 +103,7 @@ def served_gold(spark, sf):
     return tuple(lake.read_gold(spark, root, t, feeds.RUN_DATE) for t in lake.GOLD_TABLES)
 
 
-NORM_COLS = ["job_id", "title", "company_name", "location_name", "salary_min", "salary_max",
-             "salary_is_predicted", "contract_time", "contract_type", "category_label",
-             "category_tag", "latitude", "longitude", "job_url", "posted_at", "source",
-             "ingestion_date", "batch_id", "ingested_at"]
+NORM_COLS = COMMON_COLUMNS + LINEAGE_COLUMNS
 NORM_SQL = ", ".join(c if c != "posted_at" else TS for c in NORM_COLS)
 SILVER_COLS = NORM_COLS[:17] + ["category_id", "company_id", "location_id"]
 SILVER_SQL = ", ".join(c if c != "posted_at" else TS for c in SILVER_COLS)
@@ -352,12 +349,24 @@ def g10_exact_median(spark, sf):
     return s.select("contract_time", "median_salary")
 
 
-@register("g10_approx_median", None)
+@register("g10_approx_median", q("""
+SELECT contract_time, count(salary_max) AS n, count(salary_max) > 0 AS close FROM silver
+GROUP BY contract_time"""))
 def g10_approx_median(spark, sf):
-    """The default median path (percentile_approx, accuracy 10000): rows only,
-    since its last rank depends on partitioning; see the module docstring."""
-    return gold.salary_analysis(silver_table(spark, sf)).select("contract_time",
-                                                                 "median_salary")
+    """The default median path (percentile_approx, accuracy 10000). Its value
+    depends on partitioning, so the query tells for each group whether its rank is
+    within 1/10000 of the group's rows from the middle (one row, at least)."""
+    s = silver_table(spark, sf)
+    medians = gold.salary_analysis(s).select(F.col("contract_time").alias("_c"),
+                                             F.col("median_salary").alias("_m"))
+    known = s.select("contract_time", F.col("salary_max").alias("v"))
+    n, off = F.count("v"), F.greatest(F.count("v") / 10000, F.lit(1.0))
+    return (known.join(medians, known.contract_time.eqNullSafe(F.col("_c")))
+            .groupBy("contract_time")
+            .agg(n.alias("n"),
+                 F.coalesce((F.count_if(F.col("v") < F.col("_m")) <= n / 2 + off)
+                            & (F.count_if(F.col("v") <= F.col("_m")) >= n / 2 - off)
+                            & (n > 0), F.lit(False)).alias("close")))
 
 
 @register("g11_salary_analysis", q("SELECT * FROM salary_an"))
@@ -407,6 +416,15 @@ def d2_d5_filters(spark, sf):
     return v.detail.select("job_id", "category_label", "contract_time", "source")
 
 
+@register("d5_chosen_sources", q("""
+SELECT job_id, source FROM detail WHERE source IN ('jooble')"""))
+def d5_chosen_sources(spark, sf):
+    summary, salary, detail = served_gold(spark, sf)
+    v = serve.apply_filters(summary, salary, detail, dates=[], categories=[],
+                            contract_times=[], sources=["jooble"])
+    return v.detail.select("job_id", "source")
+
+
 @register("d6_default_filters", q("""
 SELECT job_id, category_label, contract_time, source FROM detail
 WHERE ingestion_date IN (SELECT ingestion_date FROM summary WHERE ingestion_date IS NOT NULL)
@@ -508,6 +526,18 @@ def d16_default_salary_range(spark, sf):
     return serve.default_salary_range(detail).select("job_id", "salary_avg")
 
 
+@register("d16_no_salaries", q("""
+SELECT 'default' AS range, count(*) AS jobs FROM detail UNION ALL
+SELECT 'chosen', count(*) FROM detail"""))
+def d16_no_salaries(spark, sf):
+    """Where no job has a salary, the salary filter is skipped."""
+    _, _, detail = served_gold(spark, sf)
+    bare = detail.withColumn("salary_avg", F.lit(None).cast("double"))
+    parts = [serve.default_salary_range(bare), serve.salary_range_filter(bare, 1.0, 2.0)]
+    return parts[0].agg(F.lit("default").alias("range"), F.count("*").alias("jobs")).unionByName(
+        parts[1].agg(F.lit("chosen").alias("range"), F.count("*").alias("jobs")))
+
+
 def _ranked_top(detail, how, n=10):
     top = serve.top_jobs(detail, how, n).select("job_id", "posted_date", "salary_avg")
     order = {serve.SORT_NEWEST: [F.desc_nulls_last("posted_date")],
@@ -550,10 +580,7 @@ SELECT contract_time, median_salary,
 FROM salary_an"""))
 def d23_median_rank(spark, sf):
     _, salary, _ = served_gold(spark, sf)
-    ranked = serve.median_ranking(salary).select("contract_time", "median_salary")
-    # one row per contract time: a bounded frame
-    return ranked.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.desc_nulls_last("median_salary"), F.asc_nulls_last("contract_time"))))
+    return _in_given_order(serve.median_ranking(salary).select("contract_time", "median_salary"))
 
 
 @register("d24_jobs_by_contract", q("""
@@ -575,22 +602,43 @@ def d26_salary_by_category(spark, sf):
         "category_label", "salary_type", _r6("salary"))
 
 
-# ------------------------------------------------------ pages
+def _in_given_order(df):
+    """A small sorted frame (one row a category or contract time) with the rank
+    that each row has in the order its operator gave it."""
+    one = df.coalesce(1).withColumn("_at", F.monotonically_increasing_id())
+    return one.withColumn("rank", F.row_number().over(Window.orderBy("_at"))).drop("_at")
 
-MAX_PAGES = 12
 
+@register("g12_salary_order", q("""
+SELECT contract_time, CAST(row_number() OVER (
+  ORDER BY avg_salary_max DESC NULLS LAST, contract_time) AS INTEGER) AS rank FROM salary_an"""))
+def g12_salary_order(spark, sf):
+    salary = gold.salary_analysis(silver_table(spark, sf), EXACT)
+    return _in_given_order(salary.select("contract_time"))
 
-@register("s4_pages", q(f"""
+
+@register("d12_breakdown_order", q("""
+SELECT category_label, CAST(row_number() OVER (ORDER BY jobs DESC, category_label) AS INTEGER) AS rank
+FROM (SELECT category_label, sum(total_jobs) AS jobs FROM summary
+      WHERE category_label IS NOT NULL GROUP BY category_label)"""))
+def d12_breakdown_order(spark, sf):
+    summary, _, _ = served_gold(spark, sf)
+    return _in_given_order(serve.category_breakdown(summary).select("category_label"))
+
+
+# ------------------------------------------------------ pages
+
+@register("s4_pages", q("""
 , first_empty AS (SELECT country, min(page) AS fe FROM pages WHERE is_empty GROUP BY country),
 kept AS (
   SELECT r.country, r.page, r.k,
     CAST(row_number() OVER (PARTITION BY r.country, r.page ORDER BY r.k) - 1 AS INTEGER) AS pos
   FROM page_rows r LEFT JOIN first_empty f ON r.country = f.country
-  WHERE (f.fe IS NULL OR r.page < f.fe) AND r.page <= {MAX_PAGES})
+  WHERE f.fe IS NULL OR r.page < f.fe)
 SELECT country, page, pos, k, country AS source_country FROM kept"""))
 def s4_pages(spark, sf):
     pages = feeds.landed_pages(spark, sf)
-    recs = batches.flatten_pages(pages, "results", max_pages=MAX_PAGES, country_tag=True)
+    recs = batches.flatten_pages(pages, "results", country_tag=True)
     return recs.select("country", "page", "pos",
                        F.regexp_extract(F.col("record.redirect_url"), "([0-9]+)$", 1)
                        .cast("long").alias("k"),
@@ -614,14 +662,17 @@ def s10_gold_round_trip(spark, sf):
     return lake.read_gold(spark, root, "jobs_summary", feeds.RUN_DATE)
 
 
-@register("s15_csv_round_trip", q("""
-SELECT job_id, title, salary_range, CAST(salary_avg AS DOUBLE) AS salary_avg FROM detail"""))
+CSV_DETAIL_SQL = DETAIL_SQL.replace("title,", "title || ' \"a\", b' || chr(10) || 'c' AS title,", 1)
+
+
+@register("s15_csv_round_trip", q(f"SELECT {CSV_DETAIL_SQL} FROM detail"))
 def s15_csv_round_trip(spark, sf):
+    """Every column of the detail view; titles hold quotes, commas and line breaks."""
     path = scratch_path(spark, "csv")
     _, _, detail = served_gold(spark, sf)
-    export.write_csv(detail.select("job_id", "title", "salary_range", "salary_avg"), path)
-    return (spark.read.schema("job_id string, title string, salary_range string, salary_avg double")
-            .option("header", True).csv(path))
+    odd = detail.withColumn("title", F.concat("title", F.lit(' "a", b\nc')))
+    export.write_csv(odd, path)
+    return _ts(export.read_csv(spark, path, odd.schema)).select(*JOBS_DETAIL_COLUMNS)
 
 
 # --------------------------------------------------- end to end

@@ -183,7 +183,7 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_feeds(spark: SparkSession, sf_dir: str, bronze_root: str,
-               one_document_per_file: bool = True) -> None:
+               one_document_per_file: bool = False) -> None:
     """Write both feeds as Bronze batch documents (S3 + S2) for RUN_DATE.
 
     The nested feed lands twice: every order in the morning run and the

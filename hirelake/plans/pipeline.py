@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import uuid
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,18 +22,18 @@ from pyspark.sql import functions as F
 from hirelake.functions.time import to_date_path, to_dt
 from hirelake.operators import bronze, gold, quality
 from hirelake.operators.silver import SilverMetrics, silver_transform
-from hirelake.sources import lake
+from hirelake.sources import jdbc, lake
 from hirelake.sources.registry import SOURCES, source_spec
 
 log = logging.getLogger("hirelake.pipeline")
 
 
 def run_bronze(spark: SparkSession, source: str, dt: str, bronze_root: str,
-               multi_line: bool = True):
+               multi_line: bool = False):
     """Read one source and day with its fixed schema and run the gates.
 
-    ``multi_line=True`` reads one batch document per file (the reference's
-    landing); ``False`` reads JSON Lines, many batches per file, which splits.
+    ``multi_line=False`` reads JSON Lines, many batches per file, which splits;
+    ``True`` reads files of one batch document each, which may span lines.
     """
     df = lake.read_bronze(spark, bronze_root, source, dt, multi_line=multi_line)
     counts = bronze.check_bronze(df, raw_path=lake.bronze_path(bronze_root, source, dt),
@@ -42,7 +43,7 @@ def run_bronze(spark: SparkSession, source: str, dt: str, bronze_root: str,
 
 
 def build_source(spark: SparkSession, source: str, dt: str, bronze_root: str,
-                 multi_line: bool = True):
+                 multi_line: bool = False):
     """Scan -> explode -> normalize for one source (no action)."""
     spec = source_spec(source)
     jobs = bronze.explode_records(lake.read_bronze(spark, bronze_root, source, dt,
@@ -53,19 +54,28 @@ def build_source(spark: SparkSession, source: str, dt: str, bronze_root: str,
 def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
                silver_root: str, severities: dict | None = None,
                fail_on: str | None = quality.CRITICAL, offenders: bool = True,
-               multi_line: bool = True) -> dict:
+               multi_line: bool = False, show_offenders: int = 20) -> dict:
     """Build, check and write one day of Silver in a single pass.
 
-    The quality checks (Q1, Q3-Q5) and the removed-row counts are observed on
-    the write. Offender lists (Q6) are read back from the written day, which
-    costs a scan of two columns, and only when a domain check failed.
+    The day is written to a staging folder and takes the place of the stored one
+    only after the quality checks have passed (Q8): a critical failure leaves the
+    old day as it was. The checks (Q1, Q3-Q5), the rows of each source and the
+    removed-row counts are observed on the write. Offender lists (Q6) are read back
+    from the written day, two columns of it, only when a domain check failed; they
+    are stored whole under ``<silver_root>_offenders/<column>``, and
+    ``show_offenders`` rows of each go into the result and the log.
     """
-    frames = [build_source(spark, s, dt, bronze_root, multi_line) for s in sources]
+    frames, per_source = [], {}
+    for s in sources:
+        per_source[s] = Observation(f"silver_source_{s}")
+        frames.append(build_source(spark, s, dt, bronze_root, multi_line).observe(
+            per_source[s], F.count(F.lit(1)).alias("rows")))
     metrics = SilverMetrics()
     df = silver_transform(frames, metrics)
     checks = Observation("silver_quality")
     df = df.observe(checks, *quality.check_aggregates(df))
-    lake.write_silver(df, silver_root, dt)
+    staging = f"{silver_root.rstrip('/')}_staging/{to_dt(dt)}-{uuid.uuid4().hex}"
+    lake.write_silver(df, staging, dt)
     got = checks.get
     rows = []
     for name, value in got.items():
@@ -75,15 +85,23 @@ def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: st
         rows.append({"check": check, "column": column, "failed": value,
                      "severity": (severities or {}).get(check, quality.WARNING)})
     result = {"metrics": metrics.as_dict(), "quality": rows, "rows": got["rows"],
-              "columns": len(df.columns)}
+              "columns": len(df.columns),
+              "sources": {s: o.get["rows"] for s, o in per_source.items()}}
     if offenders:
         written = None
         for r in rows:
             if r["check"].endswith("_domain") and r["failed"]:
-                written = written or lake.read_silver(spark, silver_root, dt)
-                result.setdefault("offenders", {})[r["column"]] = [
-                    tuple(x) for x in quality.offenders(written, r["column"]).limit(20).collect()]
-    quality.enforce(rows, fail_on)
+                written = written or lake.read_silver(spark, staging, dt)
+                path = f"{silver_root.rstrip('/')}_offenders/{r['column']}/dt={to_dt(dt)}"
+                quality.offenders(written, r["column"]).write.mode("overwrite").parquet(path)
+                shown = spark.read.parquet(path).orderBy(
+                    F.desc("count"), F.asc_nulls_last(r["column"])).limit(show_offenders)
+                result.setdefault("offenders", {})[r["column"]] = [tuple(x) for x in shown.collect()]
+    try:
+        quality.enforce(rows, fail_on)
+        lake.publish_day(spark, staging, silver_root, dt)
+    finally:
+        lake.remove(spark, staging)
     log.info("Silver %s: %s", dt, result["metrics"])
     return result
 
@@ -114,13 +132,13 @@ def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
 
 def run_pipeline(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
                  silver_root: str, gold_root: str, exact_median: bool = False,
-                 **silver_options) -> dict:
+                 salary_by_date: bool = False, **silver_options) -> dict:
     """Bronze gate of every source, then Silver, then Gold."""
     dt = to_dt(dt)
-    multi_line = silver_options.get("multi_line", True)
+    multi_line = silver_options.get("multi_line", False)
     gates = {s: run_bronze(spark, s, dt, bronze_root, multi_line)[1] for s in sources}
     silver_result = run_silver(spark, sources, dt, bronze_root, silver_root, **silver_options)
-    gold_counts = run_gold(spark, dt, silver_root, gold_root, exact_median)
+    gold_counts = run_gold(spark, dt, silver_root, gold_root, exact_median, salary_by_date)
     return {"bronze": gates, "silver": silver_result, "gold": gold_counts}
 
 
@@ -130,15 +148,54 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--date", required=True, type=to_dt,
                    help="run date, YYYY-MM-DD (YYYY/MM/DD accepted)")
     p.add_argument("--sources", nargs="+", default=list(SOURCES), choices=list(SOURCES))
-    p.add_argument("--bronze-root", required=True)
-    p.add_argument("--silver-root", required=True)
-    p.add_argument("--gold-root", required=True)
+    p.add_argument("--stage", default="all", choices=["all", "bronze", "silver", "gold", "load"],
+                   help="one stage alone; load copies Gold into the serving database")
+    p.add_argument("--bronze-root")
+    p.add_argument("--silver-root")
+    p.add_argument("--gold-root")
     p.add_argument("--master", default=None)
-    p.add_argument("--json-lines", action="store_true",
-                   help="Bronze files hold many batch documents, one per line")
+    p.add_argument("--document-files", action="store_true",
+                   help="each Bronze file is one JSON document, on one or many lines")
+    p.add_argument("--severity", nargs="*", default=[], metavar="CHECK=LEVEL",
+                   help="severity of a quality check, such as salary_order=critical")
+    p.add_argument("--fail-on", default=quality.CRITICAL, choices=["none", *quality.LEVELS],
+                   help="stop, and keep the stored day, on checks of this level or above")
+    p.add_argument("--salary-by-date", action="store_true")
+    p.add_argument("--jdbc-url", help="serving database, for --stage load")
+    p.add_argument("--load-mode", default="append", choices=["append", "refresh"])
     p.add_argument("--exact-median", action="store_true",
                    help="exact lower median (percentile_disc) instead of percentile_approx")
-    return p.parse_args(argv)
+    args = p.parse_args(argv)
+    needs = {"all": ["bronze_root", "silver_root", "gold_root"], "bronze": ["bronze_root"],
+             "silver": ["bronze_root", "silver_root"], "gold": ["silver_root", "gold_root"],
+             "load": ["gold_root", "jdbc_url"]}[args.stage]
+    missing = [f"--{n.replace('_', '-')}" for n in needs if not getattr(args, n)]
+    bad = [s for s in args.severity if s.partition("=")[2] not in quality.LEVELS]
+    if missing or bad:
+        p.error(f"needed for --stage {args.stage}: {missing}" if missing else f"severity: {bad}")
+    return args
+
+
+def run_stage(spark: SparkSession, args: argparse.Namespace) -> dict:
+    """The stage that the arguments name, or the whole pipeline."""
+    multi_line = args.document_files
+    checks = {"severities": dict(s.split("=", 1) for s in args.severity),
+              "fail_on": None if args.fail_on == "none" else args.fail_on}
+    if args.stage == "bronze":
+        return {s: run_bronze(spark, s, args.date, args.bronze_root, multi_line)[1]
+                for s in args.sources}
+    if args.stage == "silver":
+        return run_silver(spark, args.sources, args.date, args.bronze_root, args.silver_root,
+                          multi_line=multi_line, **checks)
+    if args.stage == "gold":
+        return run_gold(spark, args.date, args.silver_root, args.gold_root, args.exact_median,
+                        args.salary_by_date)
+    if args.stage == "load":
+        return jdbc.load_serving(spark, args.gold_root, args.date, args.jdbc_url,
+                                 mode=args.load_mode)
+    return run_pipeline(spark, args.sources, args.date, args.bronze_root, args.silver_root,
+                        args.gold_root, exact_median=args.exact_median, multi_line=multi_line,
+                        salary_by_date=args.salary_by_date, **checks)
 
 
 def main(argv=None) -> dict:
@@ -146,10 +203,7 @@ def main(argv=None) -> dict:
     args = parse_args(argv)
     spark = build_session(args.master, app_name="hirelake-pipeline")
     try:
-        return run_pipeline(spark, args.sources, args.date, args.bronze_root,
-                            args.silver_root, args.gold_root,
-                            exact_median=args.exact_median,
-                            multi_line=not args.json_lines)
+        return run_stage(spark, args)
     finally:
         spark.stop()
 

@@ -7,7 +7,7 @@ that arrives as text once is enough).
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, LongType,
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType,
                                StringType, StructField, StructType, TimestampType)
 
 
@@ -115,5 +115,3 @@ SALARY_ANALYSIS_COLUMNS = [
     "contract_time", "job_count", "avg_salary_min", "avg_salary_max",
     "median_salary", "max_salary", "min_salary",
 ]
-
-POSTED_DATE_TYPE = DateType()

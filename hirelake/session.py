@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -58,17 +58,12 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
         spark.conf.set(key, DEFAULT_CONF[key])
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only a
-    local session with neither set gets a fresh temporary folder; on a cluster a
-    missing setting is an error, since a machine-local folder would not survive
-    the loss of an executor.
+    Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir); where
+    neither is set, a folder in the warehouse, which all executors share as well.
+    Never a machine-local temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -77,11 +72,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not _is_local(spark):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a shared folder "
-                "(HDFS/S3A) before running jobs that checkpoint")
-        configured = tempfile.mkdtemp(prefix="hirelake-ckpt-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -89,5 +80,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{os.urandom(6).hex()}"
+    path = f"{base}/{name}-{os.getpid()}-{os.urandom(6).hex()}"
+    if not _scratch:
+        atexit.register(remove_scratch, spark)
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's ``(file system, path)`` for a path, wherever it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the folders that ``scratch_path`` has given out in this process.
+
+    Runs at exit if the session is still there; frames that read these folders
+    cannot be used afterwards.
+    """
+    while _scratch:
+        path = _scratch.pop()
+        try:
+            fs, where = file_system(spark, path)
+            fs.delete(where, True)
+        except Exception:  # noqa: BLE001  the session has ended; the cluster's own
+            break          # clean-up of the checkpoint folder takes over
 

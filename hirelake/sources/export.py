@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed names of the three downloads (the filtered serving tables).
 VIEW_FILES = {"detail": "jobs_detail_filtered", "summary": "jobs_summary_filtered",
               "salary": "salary_analysis_filtered"}
 
 
+CSV_QUOTING = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "emptyValue": "",
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
     """Header line, no index column; one folder of part files per view.
 
-    Written in parallel by the frame's tasks; NULL is an empty field.
+    Written in parallel by the frame's tasks; NULL and the empty text are both an
+    empty field (read back as NULL), as in the reference. A quote inside a field is doubled, and a field with a
+    quote, comma or line break is quoted, so any CSV reader gets it back.
     """
-    df.write.mode(mode).option("header", header).csv(path)
+    df.write.mode(mode).options(**CSV_QUOTING).option("header", header).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows of ``write_csv``; fields may span lines."""
+    return (spark.read.schema(schema).options(**CSV_QUOTING)
+            .option("header", True).option("multiLine", True).csv(path))
 
 
 def export_views(views, folder: str) -> dict[str, str]:

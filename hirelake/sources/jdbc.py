@@ -48,12 +48,15 @@ def load_serving(spark: SparkSession, gold_root: str, dt: str | None, url: str,
     """Copy the Gold tables of a day (or all days) into the serving database.
 
     ``mode="append"`` is the reference's behaviour (a rerun duplicates rows);
-    ``mode="refresh"`` overwrites each table from all Gold partitions, which is
-    idempotent. Row counts come from the written frames' observed metrics.
+    ``mode="refresh"`` overwrites each table from all Gold partitions: a run that
+    finishes leaves the same rows however often it is repeated (a table is empty or
+    partly filled while it is reloaded). Any other mode is an error. Row counts come from the written frames' observed metrics.
     """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
+    if mode not in ("append", "refresh"):
+        raise ValueError(f"unknown mode {mode}; known: append, refresh")
     counts = {}
     for table in GOLD_TABLES:
         df = read_gold(spark, gold_root, table, None if mode == "refresh" else dt)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.time import to_dt
+from hirelake.session import file_system
 from hirelake.sources.registry import source_spec
 
 GOLD_TABLES = ("jobs_summary", "salary_analysis", "jobs_detail")
@@ -30,14 +31,20 @@ MAX_RECORDS_PER_FILE = 2_000_000
 SMALL_GOLD_TABLES = ("jobs_summary", "salary_analysis")
 
 
+# Order of the rows in those files (G12 for salary_analysis); NULLs last.
+GOLD_ORDER = {"jobs_summary": (("ingestion_date", True), ("category_label", True)),
+              "salary_analysis": (("avg_salary_max", False), ("contract_time", True))}
+
+
 def bronze_path(root: str, source: str, dt: str | None = None) -> str:
     base = f"{root.rstrip('/')}/source={source}"
     return base if dt is None else f"{base}/dt={to_dt(dt)}"
 
 
 def write_bronze(envelopes: DataFrame, root: str, source: str, dt: str,
-                 one_document_per_file: bool = True, mode: str = "append") -> None:
-    """Land batch envelopes as JSON under source and day.
+                 one_document_per_file: bool = False, mode: str = "append") -> None:
+    """Land batch envelopes as JSON Lines under source and day, many batches
+    a file (``one_document_per_file``: one batch a file).
 
     The source goes into the path, not ``partitionBy``: the documents keep
     their ``source`` key, which the Bronze gate requires.
@@ -49,10 +56,10 @@ def write_bronze(envelopes: DataFrame, root: str, source: str, dt: str,
 
 
 def read_bronze(spark: SparkSession, root: str, source: str, dt: str,
-                multi_line: bool = True, with_file: bool = False) -> DataFrame:
+                multi_line: bool = False, with_file: bool = False) -> DataFrame:
     """Every batch of one source and day, with the source's fixed schema.
 
-    ``multiLine`` reads one JSON document per file (as the landing writes them);
+    JSON Lines by default; ``multi_line`` reads one JSON document per file;
     a missing folder raises PATH_NOT_FOUND. ``with_file`` adds ``source_file``
     (the document's path) so a bad record can be traced to its batch file.
     """
@@ -66,20 +73,25 @@ def read_bronze(spark: SparkSession, root: str, source: str, dt: str,
 
 
 def _write_partitioned(df: DataFrame, path: str, dt: str, files: int | None = None,
-                       max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+                       order: tuple | None = None, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     out = df.withColumn("dt", F.lit(to_dt(dt)))
     if files:
-        out = out.coalesce(files)
+        # a shuffle of the finished rows; coalesce would pull the aggregate into one task
+        out = out.repartition(files)
+        if order:
+            out = out.sortWithinPartitions(*[
+                F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in order])
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("dt").parquet(path))
 
 
-def _read_partitioned(spark: SparkSession, path: str, dt: str | None) -> DataFrame:
+def _read_partitioned(spark: SparkSession, path: str, dt: str | None,
+                      keep_dt: bool = False) -> DataFrame:
     df = spark.read.parquet(path)
     if dt is not None:
         df = df.where(F.col("dt") == F.lit(to_dt(dt)).cast(df.schema["dt"].dataType))
-    return df.drop("dt")
+    return df if keep_dt else df.drop("dt")
 
 
 def write_silver(df: DataFrame, root: str, dt: str) -> None:
@@ -87,6 +99,29 @@ def write_silver(df: DataFrame, root: str, dt: str) -> None:
     _write_partitioned(df, root, dt)
 
 
+def publish_day(spark: SparkSession, staging: str, root: str, dt: str) -> None:
+    """Put a staged day in the place of the stored one."""
+    fs, new = file_system(spark, f"{staging.rstrip('/')}/dt={to_dt(dt)}")
+    _, old = file_system(spark, f"{root.rstrip('/')}/dt={to_dt(dt)}")
+    if not fs.exists(new):      # a day without rows
+        fs.mkdirs(new)
+    fs.mkdirs(old.getParent())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"cannot publish {new} as {old}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)
+
+
+def days_of(spark: SparkSession, root: str, source: str, dt: str) -> bool:
+    """Whether a source has landed anything on a day."""
+    fs, where = file_system(spark, bronze_path(root, source, dt))
+    return fs.exists(where)
+
+
 def read_silver(spark: SparkSession, root: str, dt: str | None = None) -> DataFrame:
     """Silver, one day (partition pruning) or all days."""
     return _read_partitioned(spark, root, dt)
@@ -105,9 +140,12 @@ def write_gold(df: DataFrame, root: str, table: str, dt: str) -> None:
     if table == "jobs_detail":
         df = df.sortWithinPartitions(*[c for c in DETAIL_CLUSTER if c in df.columns])
     _write_partitioned(df, gold_path(root, table), dt,
-                       files=1 if table in SMALL_GOLD_TABLES else None)
+                       files=1 if table in SMALL_GOLD_TABLES else None,
+                       order=GOLD_ORDER.get(table))
 
 
-def read_gold(spark: SparkSession, root: str, table: str, dt: str | None = None) -> DataFrame:
-    """A Gold table, one day or all."""
-    return _read_partitioned(spark, gold_path(root, table), dt)
+def read_gold(spark: SparkSession, root: str, table: str, dt: str | None = None,
+              keep_dt: bool = False) -> DataFrame:
+    """A Gold table, one day or all. ``keep_dt`` keeps the partition column,
+    by which date filters over many days skip the other days' folders."""
+    return _read_partitioned(spark, gold_path(root, table), dt, keep_dt)

@@ -4,8 +4,8 @@ A file stream per source watches the Bronze landing; the stream checkpoint (in
 the shared checkpoint folder) records which batch documents were seen, so each
 is taken exactly once and a lost executor or a restarted job resumes where it
 stopped. Each micro-batch names the days its files belong to, and those days
-of Silver and Gold are rebuilt by the batch job from all of the day's Bronze
-files. Deduplication therefore sees every copy of a job, and the result is the
+of Silver and Gold are rebuilt by the batch job, gates first, from all of the
+day's Bronze files, of those sources that have landed any. Deduplication therefore sees every copy of a job, and the result is the
 same as one batch run over the day, however the files arrived.
 """
 
@@ -14,29 +14,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.plans.pipeline import run_gold, run_silver
-from hirelake.sources.lake import bronze_path
+from hirelake.plans.pipeline import run_bronze, run_gold, run_silver
+from hirelake.sources.lake import bronze_path, days_of
 from hirelake.sources.registry import source_spec
 
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
 def _day_stream(spark: SparkSession, bronze_root: str, source: str) -> DataFrame:
     """Streaming frame of (source, dt) for every new Bronze file.
 
-    Only the file path is needed, so the files are read as plain text (no
-    JSON parsing); the day is taken from the ``dt=`` folder of the path.
+    Only the file path is needed: one row a file, whose content is not read; the
+    day is taken from the ``dt=`` folder of the path.
     """
     source_spec(source)  # unknown sources fail here
-    raw = (spark.readStream.format("text").option("recursiveFileLookup", True)
-           .load(bronze_path(bronze_root, source)))
+    raw = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+           .option("recursiveFileLookup", True).load(bronze_path(bronze_root, source)))
     return raw.select(
         F.lit(source).alias("source"),
-        F.regexp_extract(F.col("_metadata.file_path"), r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
-        .alias("dt"))
+        F.regexp_extract("path", r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1).alias("dt"))
 
 
 def incremental_pipeline(spark: SparkSession, sources: list[str], bronze_root: str,
                          silver_root: str, gold_root: str, checkpoint_root: str,
-                         multi_line: bool = True, exact_median: bool = False,
+                         multi_line: bool = False, exact_median: bool = False,
                          **silver_options) -> list[str]:
     """Process all Bronze documents not seen before; return the rebuilt days.
 
@@ -49,7 +51,10 @@ def incremental_pipeline(spark: SparkSession, sources: list[str], bronze_root: s
         days = sorted(r["dt"] for r in batch.select("dt").where(F.col("dt") != "")
                       .distinct().collect())
         for dt in days:
-            run_silver(spark, sources, dt, bronze_root, silver_root,
+            landed = [s for s in sources if days_of(spark, bronze_root, s, dt)]
+            for s in landed:      # the gates of the batch job; they raise
+                run_bronze(spark, s, dt, bronze_root, multi_line)
+            run_silver(spark, landed, dt, bronze_root, silver_root,
                        multi_line=multi_line, **silver_options)
             run_gold(spark, dt, silver_root, gold_root, exact_median)
             rebuilt.append(dt)

@@ -61,7 +61,7 @@ def test_multiline_reads_one_document_per_file(spark, tmp_dir):
     with open(os.path.join(path, "a.json"), "w") as f:
         f.write(json.dumps({"batch_id": "1", "records": []}) + "\n")
         f.write(json.dumps({"batch_id": "2", "records": []}) + "\n")
-    assert lake.read_bronze(spark, tmp_dir, "adzuna", "2026-05-20").count() == 1
+    assert lake.read_bronze(spark, tmp_dir, "adzuna", "2026-05-20", multi_line=True).count() == 1
     assert lake.read_bronze(spark, tmp_dir, "adzuna", "2026-05-20", multi_line=False).count() == 2
 
 

@@ -9,8 +9,8 @@ from hirelake.functions import (classify_contract_time, classify_contract_type,
 
 # N4 cases: (text, min, max) as the parser must give them.
 SALARY_CASES = [
-    ("$70,000 - $90,000 a year", 70000.0, 90000.0),
-    ("45k - 65k", 45000.0, 65000.0),
+    ("$64,000 - $81,000 a year", 64000.0, 81000.0),
+    ("38k - 52k", 38000.0, 52000.0),
     ("70-90k", 70.0, 90000.0),
     ("$25 per hour + 401k", 25.0, 401000.0),
     ("1.5 K", 1500.0, 1500.0),

@@ -4,6 +4,8 @@ calls themselves need a database, which is not started here."""
 
 import os
 
+import pytest
+
 from conftest import SF_SMALL
 from hirelake.plans import catalog, feeds
 from hirelake.sources import jdbc, lake
@@ -28,3 +30,5 @@ def test_load_serving_modes_and_counts(spark, tmp_dir, monkeypatch):
     calls.clear()
     jdbc.load_serving(spark, gold_root, None, "jdbc:none", mode="refresh")
     assert calls == [(t, "overwrite") for t in lake.GOLD_TABLES]
+    with pytest.raises(ValueError):
+        jdbc.load_serving(spark, gold_root, None, "jdbc:none", mode="overwrite")

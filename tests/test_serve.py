@@ -1,4 +1,5 @@
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +161,53 @@ def test_default_salary_range(tables):
     _, _, detail = tables
     got = sorted(r["job_id"] for r in serve.default_salary_range(detail).collect())
     assert got == ["1", "3", "4"]  # every job with a salary average
+
+
+def test_no_salary_no_salary_filter(spark):
+    jobs = spark.createDataFrame([("a", None), ("b", None)], "job_id string, salary_avg double")
+    assert serve.default_salary_range(jobs).count() == 2
+    assert serve.salary_range_filter(jobs, 1.0, 2.0).count() == 2
+    some = jobs.unionByName(spark.createDataFrame([("c", 5.0)], jobs.schema))
+    assert [r.job_id for r in serve.default_salary_range(some).collect()] == ["c"]
+    assert serve.salary_range_filter(some, 1.0, 2.0).count() == 0
+
+
+def test_chosen_values_filter_nothing_without_the_source_column(spark):
+    jobs = spark.createDataFrame([("a", "x")], "job_id string, category_label string")
+    other = spark.createDataFrame([(1,)], "n int")
+    assert serve.filter_facet(jobs, "category_label", ["y"], source=other).count() == 1
+    assert serve.filter_facet(jobs, "category_label", ["y"]).count() == 0
+
+
+def test_date_filter_prunes_days_and_kpis_leave_detail_alone(spark, tmp_dir):
+    from hirelake.plans import catalog
+    from hirelake.sources import lake
+    from conftest import SF_SMALL
+    summary, salary, detail = catalog.gold_tables(spark, SF_SMALL)
+    for dt in ("2026-05-19", "2026-05-20"):
+        for name, df in (("jobs_summary", summary), ("jobs_detail", detail)):
+            lake.write_gold(df.withColumn("ingestion_date", F.lit(dt.replace("-", "/"))),
+                            tmp_dir, name, dt)
+    kept = [lake.read_gold(spark, tmp_dir, t, keep_dt=True) for t in ("jobs_summary", "jobs_detail")]
+    views = serve.apply_filters(kept[0], salary, kept[1], dates=["2026/05/20"], categories=[],
+                                contract_times=[], sources=[])
+    for view in (views.summary, views.detail):
+        plan = spark._jvm.PythonSQLUtils.explainString(view._jdf.queryExecution(), "formatted")
+        (filters,) = re.findall(r"PartitionFilters: (.*)", plan)
+        assert "dt#" in filters
+        assert view.select("ingestion_date").distinct().collect()[0][0] == "2026/05/20"
+    kpis = serve.kpis(views.summary, views.detail)
+    plan = spark._jvm.PythonSQLUtils.explainString(kpis._jdf.queryExecution(), "formatted")
+    assert "jobs_summary" in plan and "jobs_detail" not in plan
+
+
+def test_csv_keeps_quotes_commas_and_line_breaks(spark, tmp_dir):
+    from hirelake.sources import export
+    rows = [('a "big" one', "x,y", 1.5), ("two\nlines", None, None), (" spaced ", '"', 2.0),
+            ("", "z", 0.0)]
+    df = spark.createDataFrame(rows, "title string, note string, n double")
+    views = serve.Views(summary=df, salary=df, detail=df)
+    for path in export.export_views(views, tmp_dir).values():
+        got = export.read_csv(spark, path, df.schema).collect()
+        want = [(a or None, b, n) for a, b, n in rows]     # empty text and NULL are one
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
