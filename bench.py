@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from hirelake.operators import quality, serve  # noqa: E402
 from hirelake.plans import feeds  # noqa: E402
-from hirelake.plans.catalog import CATALOG  # noqa: E402
+from hirelake.plans.catalog import CATALOG, served_gold  # noqa: E402
 from hirelake.plans.pipeline import run_gold, run_silver  # noqa: E402
 from hirelake.session import build_session  # noqa: E402
 from hirelake.sources import lake  # noqa: E402
@@ -87,6 +87,7 @@ def main() -> None:
     timed("serve_page_of_jobs", lambda: run(serve.job_table(serve.top_jobs(
         serve.keyword_search(detail, "machinery"), serve.SORT_NEWEST, 50))))
 
+    served_gold(spark, sf_dir)      # the stored Gold that d6 reads: setup, not timed
     for name in CATALOG_QUERIES:
         timed(name, lambda n=name: run(CATALOG[n].run(spark, sf_dir)))
 

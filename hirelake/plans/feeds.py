@@ -42,27 +42,35 @@ def nested_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("o_orderkey")
     tp = F.col("o_totalprice")
+    # every 29th advert has its bounds in the wrong order
     salary_min = F.when(k % 7 == 0, F.lit(None)).when(k % 3 == 0, F.floor(tp / 1000)) \
-        .otherwise(F.floor(tp)).cast("double")
+        .when(k % 29 == 0, F.floor(tp) + 5000).otherwise(F.floor(tp)).cast("double")
     salary_max = F.when(k % 7 == 0, F.lit(None)).when(k % 3 == 0, F.floor(tp / 800)) \
-        .otherwise(F.floor(tp) + 5000).cast("double")
+        .when(k % 29 == 0, F.floor(tp)).otherwise(F.floor(tp) + 5000).cast("double")
     status = F.col("o_orderstatus")
-    contract_time = F.when(status == "F", " full_time ").when(status == "P", "part_time")
+    contract_time = F.when(k % 59 == 0, "shift").when(status == "F", " full_time ") \
+        .when(status == "P", "part_time")
+    # five broad categories and one per segment and nation; some have none
+    label = _null_when(k % 37 == 0, F.when(k % 3 == 1, F.concat_ws(
+        " ", "c_mktsegment", "n_name")).otherwise(F.col("c_mktsegment")))
+    # ISO dates, epoch seconds, and text that is no time
+    created = F.when(k % 67 == 0, "soon").when(k % 11 == 0, F.unix_timestamp(
+        F.col("o_orderdate").cast("timestamp")).cast("string")).otherwise(
+        F.col("o_orderdate").cast("string"))
     m5 = k % 5
     contract_type = (F.when(m5 == 0, "permanent").when(m5 == 1, "contract")
                      .when(m5 == 2, "temporary").when(m5 == 3, "internship"))
     job = F.struct(
         _null_when(k % 97 == 0, k.cast("string")).alias("id"),
-        F.col("o_orderpriority").alias("title"),
+        _null_when(k % 43 == 0, F.col("o_orderpriority")).alias("title"),
         F.lit(None).cast("string").alias("description"),
-        F.struct(F.col("c_mktsegment").alias("label"),
-                 F.lower("c_mktsegment").alias("tag")).alias("category"),
+        F.struct(label.alias("label"), F.lower(label).alias("tag")).alias("category"),
         F.struct(_null_when(k % 41 == 0, F.col("c_name")).alias("display_name")).alias("company"),
-        F.struct(F.col("n_name").alias("display_name"),
+        F.struct(_null_when(k % 53 == 0, F.col("n_name")).alias("display_name"),
                  F.array(F.col("n_name")).alias("area")).alias("location"),
         contract_time.alias("contract_time"),
         contract_type.alias("contract_type"),
-        F.col("o_orderdate").cast("string").alias("created"),
+        created.alias("created"),
         F.when(k % 2 == 0, "1").otherwise("0").alias("salary_is_predicted"),
         salary_min.alias("salary_min"),
         salary_max.alias("salary_max"),
@@ -152,10 +160,6 @@ def flat_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(FIRST_INGEST).alias("ingested_at"), "job", "k")
 
 
-def bronze_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {NESTED_SOURCE: nested_bronze(spark, sf_dir), FLAT_SOURCE: flat_bronze(spark, sf_dir)}
-
-
 PAGE_KEYS = 1000          # order keys per page range
 EMPTY_PAGE_NATION = 7     # this nation's page 3 is landed empty
 EMPTY_PAGE_NO = 3

@@ -18,21 +18,23 @@ STEPS = f"""
 nested_src AS (
   SELECT o_orderkey AS k,
     CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS id,
-    o_orderpriority AS title,
+    CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE o_orderpriority END AS title,
     CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE c_name END AS company_name,
-    n_name AS location_name,
+    CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE n_name END AS location_name,
     CAST(CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice / 1000)
-         ELSE floor(o_totalprice) END AS DOUBLE) AS salary_min,
+         WHEN o_orderkey % 29 = 0 THEN floor(o_totalprice) + 5000 ELSE floor(o_totalprice) END AS DOUBLE) AS salary_min,
     CAST(CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice / 800)
-         ELSE floor(o_totalprice) + 5000 END AS DOUBLE) AS salary_max,
-    CASE o_orderstatus WHEN 'F' THEN ' full_time ' WHEN 'P' THEN 'part_time' END AS contract_time,
+         WHEN o_orderkey % 29 = 0 THEN floor(o_totalprice) ELSE floor(o_totalprice) + 5000 END AS DOUBLE) AS salary_max,
+    CASE WHEN o_orderkey % 59 = 0 THEN 'shift' WHEN o_orderstatus = 'F' THEN ' full_time '
+         WHEN o_orderstatus = 'P' THEN 'part_time' END AS contract_time,
     CASE o_orderkey % 5 WHEN 0 THEN 'permanent' WHEN 1 THEN 'contract' WHEN 2 THEN 'temporary'
          WHEN 3 THEN 'internship' END AS contract_type,
-    c_mktsegment AS category_label, lower(c_mktsegment) AS category_tag,
+    CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN c_mktsegment || ' ' || n_name
+         ELSE c_mktsegment END AS category_label, lower(category_label) AS category_tag,
     CAST(n_nationkey * 1.5 AS DOUBLE) AS latitude,
     CAST((o_custkey % 360) - 180 AS DOUBLE) AS longitude,
     '{URL_BASE}/ad/' || CAST(o_orderkey AS VARCHAR) AS job_url,
-    CAST(o_orderdate AS VARCHAR) AS created,
+    CASE WHEN o_orderkey % 67 = 0 THEN NULL ELSE CAST(o_orderdate AS VARCHAR) END AS created,
     (o_orderkey % 2 = 0) AS salary_is_predicted,
     n_nationkey, n_name
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey

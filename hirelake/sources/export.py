@@ -18,7 +18,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     """Header line, no index column; one folder of part files per view.
 
     Written in parallel by the frame's tasks; NULL and the empty text are both an
-    empty field (read back as NULL), as in the reference. A quote inside a field is doubled, and a field with a
+    empty field (read back as NULL), as pandas writes them. A quote inside a field is doubled, and a field with a
     quote, comma or line break is quoted, so any CSV reader gets it back.
     """
     df.write.mode(mode).options(**CSV_QUOTING).option("header", header).csv(path)
