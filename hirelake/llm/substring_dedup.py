@@ -47,12 +47,12 @@ from hirelake.llm.common import (Bits, Words, mix, numbered, read, small_batches
                                  window_hash, window_minimum)
 
 WINDOW = 35
-K = 8
+K = 16                    # words of an edge: enough that chance repeats are rare
 MOST = 62                 # windows on one edge: their verdicts are bits of a long
 
 
 def _edge_words(window: int) -> int:
-    return max(min(K, window), window - MOST + 1)
+    return max(min(K, (window + 1) // 2), window - MOST + 1)
 
 
 def _paths(column, window: int):
@@ -137,15 +137,16 @@ def _verdicts(paths: DataFrame, texts: DataFrame, window: int) -> DataFrame:
         "op8-distinct")
     repeated = distinct.filter("times > 1").select(
         "edge", "path", F.expr("shiftleft(1L, n) - 1").alias("mask"))
-    branching = distinct.join(distinct.groupBy("edge").agg(F.count("*").alias("ways")).filter(
-        "ways > 1").select("edge"), "edge", "left_semi")
-    chosen = Bits(branching, "place")
+    ways = stored(distinct.groupBy("edge").count().filter("count > 1").select("edge"), "op8-ways")
+    branching = distinct.join(ways, "edge", "left_semi")
+    chosen = Bits(branching, "place", size=26)
     windows = texts.mapInArrow(_window_rows(window, chosen),
                                "edge long, path long, step int, window long")
     # a place may share its bit with others: count each path's window once
-    shared = windows.groupBy("edge", "window").agg(
-        F.min("path").alias("low"), F.max("path").alias("high")).filter("low <> high")
-    single = windows.join(shared.select("edge", "window"), ["edge", "window"]).groupBy(
+    shared = stored(windows.groupBy("edge", "window").agg(
+        F.min("path").alias("low"), F.max("path").alias("high")).filter("low <> high").select(
+        "edge", "window"), "op8-shared")
+    single = windows.join(shared, ["edge", "window"]).groupBy(
         "edge", "path").agg(F.expr("bit_or(shiftleft(1L, step))").alias("mask"))
     return repeated.unionByName(single.join(
         distinct.filter("times = 1").select("edge", "path"), ["edge", "path"], "left_semi"))
@@ -195,7 +196,7 @@ def _deduplicated(docs: DataFrame, id_col: str, text_col: str, window: int) -> D
     texts = docs.select(*_keys(id_col, text_col, "key"), F.col(text_col).alias("text"))
     texts = texts.select("key", "text", "key2")
     edges = texts.mapInArrow(_edge_rows(window), "edge long")
-    repeated = Bits(edges.groupBy("edge").count().filter("count > 1"), "edge")
+    repeated = Bits(edges.groupBy("edge").count().filter("count > 1"), "edge", size=25)
     paths = stored(texts.mapInArrow(
         _path_rows(window, repeated),
         "edge long, path long, key long, key2 long, first int, n int, place long"), "op8-paths")
