@@ -3,8 +3,8 @@
 Each round points every node at the smallest node it knows: first the larger
 neighbours of each node (large star), then its smaller ones (small star). Rounds
 stop when nothing changes, after about log2 of the longest chain. Everything is a
-pre-aggregated minimum and a join with one row a node, so a node that a third of
-all links touch can be split by AQE; each round is a written table.
+pre-aggregated minimum and a join with the written table of these minima, one row a
+node, so AQE can split a node that a third of all links touch.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            "a", F.least("a", "m").alias("m"))
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(
+            "a", F.least("a", "m").alias("m")), "links-low")
         large = stored(both.filter("b > a").join(low, "a").select(
             F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links-large")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "links-low")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter(
             "a <> b")
         pairs = stored(small.unionByName(low.withColumnRenamed("m", "b")).distinct(), "links")

@@ -12,8 +12,9 @@ shingle among the first ``n - ceil(percent * n / 100) + 1``, their prefix. Prefi
 shingles of one set only are skipped (a bitmap); the rest are an inverted index.
 
 * A list of at most ``SHORT`` sets gives its pairs, less those that their sizes,
-  the shingle's positions or a 512-bit parity sketch rule out (popcount of the
-  XOR never exceeds the symmetric difference). These are bounds, not guesses.
+  the shingle's positions or a parity sketch (about one bit a shingle) rule out
+  (popcount of the XOR never exceeds the symmetric difference). These are bounds, not guesses. The
+  rest are compared in one cell for each first set of a pair.
 * A longer list goes by its leader, its smallest set: all sets on lists of one
   leader are joined among themselves in cells. Cells hold one band of set sizes
   and the next, so blocks whose sizes cannot link are skipped, and ``CELL`` sets a
@@ -52,7 +53,7 @@ from hirelake.llm.components import components
 WORDS, PERCENT = 3, 90    # the query's; the pipeline's stage uses 5 and 80
 SHORT = 8
 CELL = 1024
-SKETCH = 512              # bits of the parity sketch
+SKETCH = 512              # bits of the smallest parity sketch; larger sets have more
 
 
 def _prefix(n: int, percent: int) -> int:
@@ -64,6 +65,17 @@ def _needed(a: str, b: str, percent: int) -> str:
     return f"ceil({percent} * ({a} + {b}) / {100 + percent}.0D)"
 
 
+def _apart(x: str, y: str) -> str:
+    """SQL: popcount of the XOR of two sketches, the larger one folded to the other's
+    length (parities of halves add up); sets that may link differ by one fold."""
+    def fit(a: str, b: str) -> str:
+        half = f"cast(size({a}) / 2 as int)"
+        return (f"if(size({a}) > size({b}), zip_with(slice({a}, 1, {half}), "
+                f"slice({a}, {half} + 1, {half}), (p, q) -> p ^ q), {a})")
+    return (f"aggregate(zip_with({fit(x, y)}, {fit(y, x)}, "
+            "(p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)")
+
+
 def _array(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64) if values.dtype == np.uint64 else values)
 
@@ -85,8 +97,9 @@ def _set_rows(words: int):
                 sizes.append(len(s))
                 one.append(window_hash(s, *whole)[0])
                 two.append(window_hash(mix(s ^ np.uint64(words)), *whole)[0])
-                odd = np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64),
-                                  minlength=SKETCH) & 1
+                bits = max(SKETCH, 1 << max(len(s) - 1, 0).bit_length())
+                odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64),
+                                  minlength=bits) & 1
                 sketches.append(np.packbits(odd.astype(np.uint8)).view(np.uint64))
             rest = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
@@ -105,10 +118,10 @@ def _chosen_sets(batch: pa.RecordBatch, words: int, chosen: Bits):
 
 
 def _head_rows(words: int, percent: int, chosen: Bits):
-    """The first shingles by hash, twice as many as a prefix has."""
+    """The first shingles by hash, some more than a prefix has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [s[:2 * _prefix(len(s), percent) + 8]
+            rows = [s[:5 * _prefix(len(s), percent) // 4 + 8]
                     for _, s in _chosen_sets(batch, words, chosen) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [_array(np.concatenate([np.zeros(0, np.uint64), *rows]))], names=["shingle"])
@@ -147,9 +160,9 @@ def _posting_rows(words: int, percent: int, chosen: Bits, common: Bits, shared:
                 keys.extend([key] * len(on))
                 sizes.extend([len(s)] * len(on))
             yield pa.RecordBatch.from_arrays(
-                [_array(np.concatenate(shingles)), pa.array(at, pa.int32()),
-                 pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())],
-                names=["shingle", "at", "key", "n"])
+                [_array(np.concatenate(shingles)), pa.array(keys, pa.int64()),
+                 pa.array(sizes, pa.int32()), pa.array(at, pa.int32())],
+                names=["shingle", "key", "n", "at"])
     return run
 
 
@@ -170,11 +183,10 @@ def _cell_links(percent: int):
 
     def cell(rows: pa.Table) -> pa.Table:
         """Links between left and right sets, as trees."""
-        left = np.array(rows.column("left").to_pylist(), dtype=bool)
+        left, right = (np.flatnonzero(rows.column(c).to_numpy()) for c in ("left", "right"))
         lists = rows.column("shingles").combine_chunks()
         offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
         keys = rows.column("key").to_numpy()
-        right = np.flatnonzero(~left)
         sizes = np.diff(offsets)[right]
         # inverted index over the right side's sets
         member = np.repeat(np.arange(len(right)), sizes)
@@ -194,7 +206,7 @@ def _cell_links(percent: int):
         root = np.arange(len(names))
         found: list[tuple[int, int]] = []
         last, answer = np.zeros(0, np.int64), np.zeros(len(right), np.int64)
-        for i in np.flatnonzero(left):
+        for i in left:
             own = flat[offsets[i]:offsets[i + 1]]
             new = np.setdiff1d(own, last, assume_unique=True)
             old = np.setdiff1d(last, own, assume_unique=True)
@@ -216,21 +228,27 @@ def _cell_links(percent: int):
 
 
 def _cells(members: DataFrame, percent: int) -> DataFrame:
-    """Rows ``leader, band, i, j, left, key`` of the cells of long lists."""
+    """Rows ``leader, band, i, j, key, left, right`` of the cells of long lists."""
     width = -log(percent / 100) * 1.001      # sizes that link differ by one band at most
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width))
-    counts = members.groupBy("leader").agg(F.count("*").alias("m"))
+    counts = stored(members.groupBy("leader").agg(F.count("*").alias("m")), "op7-leaders")
     sized = members.join(counts, "leader").withColumn("band", band).withColumn(
         "blocks", F.ceil(F.col("m") / F.lit(CELL)).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     lefts = sized.withColumn("j", others).select(
-        "leader", "band", F.col("block").alias("i"), "j", F.lit(True).alias("left"), "key")
+        "leader", "band", F.col("block").alias("i"), "j", "key", F.lit(True).alias("left"),
+        (F.col("block") == F.col("j")).alias("right"))
     rights = sized.withColumn("i", others).withColumn(
-        "home", F.explode(F.array(F.col("band"), F.col("band") - 1))).select(
-        "leader", F.col("home").alias("band"), "i", F.col("block").alias("j"),
-        F.lit(False).alias("left"), "key")
-    return lefts.unionByName(rights)
+        "home", F.explode(F.array(F.col("band"), F.col("band") - 1))).filter(
+        "home <> band OR i <> block").select(
+        "leader", F.col("home").alias("band"), "i", F.col("block").alias("j"), "key",
+        F.lit(False).alias("left"), F.lit(True).alias("right"))
+    rows = stored(lefts.unionByName(rights), "op7-cells")
+    cell = ["leader", "band", "i", "j"]
+    useful = stored(rows.groupBy(*cell).agg(F.count_if("left").alias("l"), F.count("*").alias("n"))
+                    .filter("l > 0 AND n > 1").select(*cell), "op7-useful")
+    return rows.join(useful, cell, "left_semi")
 
 
 # --- the join --------------------------------------------------------------------
@@ -242,21 +260,24 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
-def _links(texts: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
+def _links(texts: DataFrame, sets: DataFrame, words: int, percent: int,
+           repeats: bool) -> DataFrame:
     """Links ``a, b`` between class keys that make the components."""
     n = max(sets.count(), 1)
     chosen = Bits(sets, "key", size=min(27, max(16, (8 * n).bit_length())))
     heads = texts.mapInArrow(_head_rows(words, percent, chosen), "shingle long")
     common = Bits(heads.groupBy("shingle").count().filter(F.col("count") >= SHORT), "shingle")
     firsts = texts.mapInArrow(_prefix_rows(words, percent, chosen, common), "shingle long")
-    shared = Bits(firsts.groupBy("shingle").count().filter("count > 1"), "shingle")
+    shared = Bits(firsts.groupBy("shingle").count().filter("count > 1"), "shingle", size=25)
     postings = stored(texts.mapInArrow(
         _posting_rows(words, percent, chosen, common, shared),
-        "shingle long, at int, key long, n long").distinct(), "op7-postings")
-    counts = postings.groupBy("shingle").agg(F.count("*").alias("m"), F.min("key").alias("leader"))
-    counts = counts.filter("m > 1")
-    short = stored(postings.join(counts.filter(f"m <= {SHORT}").select("shingle"), "shingle"),
-                   "op7-short")
+        "shingle long, key long, n int, at int"), "op7-postings")
+    counts = stored(postings.groupBy("shingle").agg(
+        F.count("*").alias("m"), F.min("key").alias("leader")).filter("m > 1"), "op7-counts")
+    # one row a shingle on the right: a shingle that very many sets share can be split
+    lists = stored(postings.join(counts, "shingle").withColumn(
+        "leader", F.when(F.col("m") > SHORT, F.col("leader"))).drop("m"), "op7-lists")
+    short = lists.filter("leader IS NULL").drop("leader")
     a, b = short.alias("a"), short.alias("b")
     pairs = a.join(b, F.expr("a.shingle = b.shingle AND a.key < b.key")).filter(F.expr(
         f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) AND "
@@ -268,24 +289,25 @@ def _links(texts: DataFrame, sets: DataFrame, words: int, percent: int) -> DataF
                           F.col("a") == F.col("a_key")).join(
         known.select(*[F.col(c).alias(f"b_{c}") for c in known.columns]),
         F.col("b") == F.col("b_key"))
-    apart = " + ".join(f"bit_count(a_sketch[{i}] ^ b_sketch[{i}])" for i in range(SKETCH // 64))
+    apart = _apart("a_sketch", "b_sketch")
     close = stored(sketched.filter(
         f"{apart} <= a_n + b_n - 2 * {_needed('a_n', 'b_n', percent)}").select("a", "b"),
         "op7-pairs")
-    members = stored(postings.join(counts.filter(f"m > {SHORT}").select("shingle", "leader"),
-                                   "shingle").select("leader", "key", "n").distinct(), "op7-members")
-    wanted = close.select(F.col("a").alias("key")).unionByName(
-        close.select(F.col("b").alias("key"))).unionByName(members.select("key")).distinct()
-    fetched = stored(texts.mapInArrow(_fetch_rows(words, Bits(wanted, "key")),
-                                      "key long, shingles array<long>").join(
-        wanted, "key", "left_semi").dropDuplicates(["key"]), "op7-sets")
-    size = F.size(F.array_intersect("x", "y"))
-    by_pair = close.join(fetched.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a") \
-        .join(fetched.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").filter(
-        (100 + percent) * size >= percent * (F.size("x") + F.size("y"))).select("a", "b")
-    by_cell = _cells(members, percent).join(fetched, "key").groupBy(
-        "leader", "band", "i", "j").applyInArrow(_cell_links(percent), "a long, b long")
-    return by_pair.unionByName(by_cell)
+    members = stored(lists.filter("leader IS NOT NULL").select("leader", "key", "n").distinct(),
+                     "op7-members")
+    whole = F.lit(0)
+    stars = [close.select(F.col("a").alias("leader"), F.lit(-1).cast("long").alias("band"),
+                          whole.alias("i"), whole.alias("j"), F.col(c).alias("key"),
+                          F.lit(c == "a").alias("left"), F.lit(c == "b").alias("right"))
+             for c in ("a", "b")]
+    cells = stored(_cells(members, percent).unionByName(stars[0].distinct()).unionByName(stars[1]),
+                   "op7-compared")
+    fetched = texts.mapInArrow(_fetch_rows(words, Bits(cells, "key")),
+                               "key long, shingles array<long>")
+    if repeats:                       # rows that repeat id and text: one set
+        fetched = fetched.dropDuplicates(["key"])
+    return cells.join(fetched, "key").groupBy("leader", "band", "i", "j").applyInArrow(
+        _cell_links(percent), "a long, b long")
 
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
@@ -300,14 +322,16 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
     classes = stored(each.filter("n > 0").groupBy("d1", "d2").agg(
         F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
         "op7-classes")
-    roots = components(_links(rows.select("key", "text"), classes, words, percent))
-    of_class = classes.join(roots, classes["key"] == roots["node"], "left").select(
-        "d1", "d2", F.coalesce("root", "key").alias("root"))
+    repeats = not each.groupBy("key").count().filter("count > 1").isEmpty()
+    roots = components(_links(rows.select("key", "text"), classes, words, percent, repeats))
+    of_class = stored(classes.join(roots, classes["key"] == roots["node"], "left").select(
+        "d1", "d2", F.coalesce("root", "key").alias("root")), "op7-class-roots")
     named = stored(each.join(of_class, ["d1", "d2"], "left").select(
         "doc_id", "key", "key2", "n", F.when(F.col("n") > 0, F.col("root")).alias("root")),
         "op7-roots")
     order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "key", "key2")
-    firsts = named.filter("n > 0").groupBy("root").agg(F.min(order).alias("first"))
+    firsts = stored(named.filter("n > 0").groupBy("root").agg(F.min(order).alias("first")),
+                    "op7-firsts")
     joined = named.join(firsts, "root", "left")
     return joined.select(
         "doc_id", "key", "key2", "n",
