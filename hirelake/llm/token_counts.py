@@ -15,8 +15,8 @@ ignored. A cache to which two runs appended the same digest is read once a diges
 
 Plan: texts move once, to meet the cache and to become distinct; copies of one
 text are folded before that shuffle. The result joins ids to counts by digest,
-with one row a digest on the right, so AQE can split the digest of a text that
-very many rows share. A failed run appends nothing (Spark's commit protocol).
+with a written table of one row a digest on the right, so AQE can split the digest
+of a text that very many rows share. A failed run appends nothing (Spark's commit protocol).
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from hirelake.llm.common import read, small_batches
+from hirelake.llm.common import read, small_batches, stored
 from hirelake.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -172,7 +172,7 @@ def update_cache(docs: DataFrame, cache: str, tokenizer: str, text_col: str = "t
         texts = texts.join(known, "content_digest", "left_anti")
     distinct = texts.groupBy("content_digest").agg(F.first("text").alias("text"))
     distinct.mapInArrow(_count_batches(tokenizer, "text"), CACHE).write.mode("append").parquet(path)
-    return _cached(spark, path)
+    return stored(_cached(spark, path), "op1-counts")
 
 
 def _cached(spark, path: str) -> DataFrame | None:
