@@ -13,7 +13,8 @@ ignored by ``exact_groups`` and kept by ``exact_dedup``, whatever their names.
 Plan: (id, md5) rows are pre-aggregated before they are shuffled; texts move
 only to be compared, and only those of groups with more than one document. In
 a group each text is compared with the one of the smallest id; the join on the
-hash has one row a group on its right side, so AQE can split a hot hash. Texts
+hash has one row a group on its right side, a written table, so AQE can split a hot
+hash. Texts
 that differ in spite of the same hash go through the same step again among
 themselves, until none is left, so a collision never drops a text.
 """
@@ -62,11 +63,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             left.alias("l"), F.expr("f._h = l._h AND f._keep <=> l.doc_id")).select(
             F.col("f._h"), F.col("_keep"), F.col("l._t").alias("_kt"))
         # two texts under one id and hash: the smaller text leads
-        texts = texts.groupBy("_h", "_keep").agg(F.min("_kt").alias("_kt"))
+        texts = stored(texts.groupBy("_h", "_keep").agg(F.min("_kt").alias("_kt")), "op2-firsts")
         told = stored(left.join(texts, "_h").withColumn("_same", F.col("_t") == F.col("_kt")),
                       "op2-told")
         same = told.filter("_same")
-        sizes = same.groupBy("_h").agg(F.sum("_n").alias("group_size"))
+        sizes = stored(same.groupBy("_h").agg(F.sum("_n").alias("group_size")), "op2-sizes")
         found.append(same.join(sizes, "_h").select(
             "doc_id", F.col("_keep").alias("keep_id"), "group_size",
             F.sha2(F.col("_t"), 256).alias("text_sha256")))
