@@ -14,8 +14,9 @@ columns are passed through by ``line_dedup``.
 
 Plan: a window is a row of its 128-bit hash (two xxhash64 chains with different
 seeds) and place, never of its text. First places are pre-aggregated per hash
-before the shuffle; occurrences meet them in a join whose right side has one row
-a hash, so AQE splits a window that half the corpus holds. Covered lines are
+before the shuffle and those of repeated windows written as a table; occurrences
+meet it in a join whose right side has one row a hash, so AQE splits a window that
+half the corpus holds. Covered lines are
 merged per document, and the texts are shuffled once, to meet them.
 """
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import read
+from hirelake.llm.common import read, stored
 
 SPAN = 3
 
@@ -51,9 +52,10 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("col.b").alias("_b"))
     place = F.struct(F.isnull("_id").alias("no_id"), F.col("_id").alias("id"),
                      F.col("_key").alias("key"), F.col("_pos").alias("pos"))
-    firsts = windows.groupBy("_a", "_b").agg(F.min(place).alias("_first"),
-                                             F.count("*").alias("_n")).filter("_n > 1")
-    later = windows.join(firsts.drop("_n"), ["_a", "_b"]).filter(
+    firsts = stored(windows.groupBy("_a", "_b").agg(
+        F.min(place).alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n"),
+        "op5-firsts")
+    later = windows.join(firsts, ["_a", "_b"]).filter(
         ~place.eqNullSafe(F.col("_first")))
     per_doc = later.groupBy("_id", "_key").agg(F.collect_set("_pos").alias("_starts"))
     covered = F.array_distinct(F.flatten(F.transform(
