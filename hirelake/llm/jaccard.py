@@ -23,7 +23,13 @@ shingles of one set only are skipped (a bitmap); the rest are an inverted index.
   work than counting anew. A cell returns the links that join its sets into
   trees: for a group of thousands of near copies, as many links as sets.
 
-Links that are left out only close circles, so components are complete.
+Links that are left out of the trees only close circles, so components are complete.
+
+Link counts. ``n_links`` is the number of other documents that a document links
+with, copies too; half its sum is the number of links. All links are verified in
+cells, and each is counted in one: the cell of the smallest leader that its two
+sets share, or their pair's cell if they share none. A cell returns one number a
+set, so a group of thousands of near copies costs its sets, not its pairs.
 
 Defined cases: null and empty texts have no set and stay alone; rows that repeat
 id and text are one document; a null id never names a component unless it has no
@@ -43,6 +49,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,57 +185,98 @@ def _fetch_rows(words: int, chosen: Bits):
 
 # --- cells of long lists ----------------------------------------------------------
 
-def _cell_links(percent: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+class _Overlaps:
+    """Overlaps of one set with each of ``sets``, by an inverted index; those of the
+    set asked before are corrected where the two differ, if that is less work."""
 
-    def cell(rows: pa.Table) -> pa.Table:
-        """Links between left and right sets, as trees."""
-        left, right = (np.flatnonzero(rows.column(c).to_numpy()) for c in ("left", "right"))
-        lists = rows.column("shingles").combine_chunks()
-        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        keys = rows.column("key").to_numpy()
-        sizes = np.diff(offsets)[right]
-        # inverted index over the right side's sets
-        member = np.repeat(np.arange(len(right)), sizes)
-        held = np.concatenate([np.zeros(0, np.int64),
-                               *(flat[offsets[r]:offsets[r + 1]] for r in right)])
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = len(sets)
+        member = np.repeat(np.arange(self.n), [len(s) for s in sets])
+        held = np.concatenate([np.zeros(0, np.int64), *sets])
         order = np.argsort(held, kind="stable")
-        held, member = held[order], member[order]
-
-        def tally(shingles: np.ndarray) -> np.ndarray:
-            lo = np.searchsorted(held, shingles, side="left")
-            hi = np.searchsorted(held, shingles, side="right")
-            n = hi - lo
-            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            return np.bincount(member[at], minlength=len(right))
+        self.held, self.member = held[order], member[order]
+        self.last, self.answer = np.zeros(0, np.int64), np.zeros(self.n, np.int64)
+
+    def _tally(self, items: np.ndarray) -> np.ndarray:
+        lo = np.searchsorted(self.held, items, side="left")
+        n = np.searchsorted(self.held, items, side="right") - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.member[at], minlength=self.n)
+
+    def of(self, own: np.ndarray) -> np.ndarray:
+        new = np.setdiff1d(own, self.last, assume_unique=True)
+        old = np.setdiff1d(self.last, own, assume_unique=True)
+        if len(new) + len(old) < len(own):
+            self.answer = self.answer + self._tally(new) - self._tally(old)
+        else:
+            self.answer = self._tally(own)
+        self.last = own
+        return self.answer
+
+
+def _rows_of(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    whole = lists.combine_chunks()
+    offsets, flat = whole.offsets.to_numpy(), whole.values.to_numpy()
+    return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def _cell_links(percent: int, counted: bool):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+    def earlier(rows: pa.Table, keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Each set's leaders whose cells come before this one, and its documents."""
+        at = {k: i for i, k in enumerate(rows.column("key").to_pylist())}
+        leaders, copies = _rows_of(rows.column("items")), rows.column("copies").to_numpy()
+        if rows.column("band")[0].as_py() >= 0:          # cells of pairs come last
+            leaders = [x[x < rows.column("leader")[0].as_py()] for x in leaders]
+        place = [at[k] for k in keys.tolist()]
+        return [leaders[p] for p in place], copies[place]
 
+    def cell(rows: pa.Table) -> pa.Table:
+        """Links between left and right sets, as trees (``a, b``), and (``a, a, n``)
+        the number of documents at the other end of the links counted here."""
+        is_set = pc.is_null(rows.column("copies"))
+        facts, rows = rows.filter(pc.invert(is_set)), rows.filter(is_set)
+        is_left = rows.column("left").to_numpy()
+        left, right = np.flatnonzero(is_left), np.flatnonzero(rows.column("right").to_numpy())
+        sets, keys = _rows_of(rows.column("items")), rows.column("key").to_numpy()
+        sizes = np.array([len(sets[r]) for r in right], dtype=np.int64)
+        overlaps = _Overlaps([sets[r] for r in right])
+        if counted:
+            before, copies = earlier(facts, keys)
+            shared = _Overlaps([before[r] for r in right])
+            links = np.zeros(len(keys), np.int64)
         names, group = np.unique(keys, return_inverse=True)
         root = np.arange(len(names))
         found: list[tuple[int, int]] = []
-        last, answer = np.zeros(0, np.int64), np.zeros(len(right), np.int64)
         for i in left:
-            own = flat[offsets[i]:offsets[i + 1]]
-            new = np.setdiff1d(own, last, assume_unique=True)
-            old = np.setdiff1d(last, own, assume_unique=True)
-            if len(new) + len(old) < len(own):
-                answer = answer + tally(new) - tally(old)
-            else:
-                answer = tally(own)
-            last = own
-            linked = right[(100 + percent) * answer >= percent * (sizes + len(own))]
+            own = sets[i]
+            near = (100 + percent) * overlaps.of(own) >= percent * (sizes + len(own))
+            linked = right[near]
             home = root[group[i]]
             for other in np.unique(root[group[linked]]):
                 if other != home:
                     j = linked[root[group[linked]] == other][0]
                     found.append((keys[i], keys[j]))
                     root[root == other] = home
-        return pa.Table.from_arrays([pa.array([a for a, _ in found], pa.int64()),
-                                     pa.array([b for _, b in found], pa.int64())], schema=schema)
+            if counted:                # two sets on both sides meet twice: once counts
+                ends = right[near & (shared.of(before[i]) == 0) & ~(is_left[right] & (right <= i))]
+                links[i] += copies[ends].sum()
+                links[ends] += copies[i]
+        a, b, n = [a for a, _ in found], [b for _, b in found], [0] * len(found)
+        if counted:
+            some = np.flatnonzero(links)
+            a, b, n = a + keys[some].tolist(), b + keys[some].tolist(), n + links[some].tolist()
+        return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], schema=schema)
     return cell
 
 
 def _cells(members: DataFrame, percent: int) -> DataFrame:
-    """Rows ``leader, band, i, j, key, left, right`` of the cells of long lists."""
+    """Rows ``leader, band, i, j, key, left, right`` of the cells of long lists.
+
+    Two sets of a leader meet in one cell: within a band in that of the lower block
+    ``i`` and the higher ``j``, else in that of the lower band's block ``i``.
+    """
     width = -log(percent / 100) * 1.001      # sizes that link differ by one band at most
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width))
     counts = stored(members.groupBy("leader").agg(F.count("*").alias("m")), "op7-leaders")
@@ -241,13 +289,14 @@ def _cells(members: DataFrame, percent: int) -> DataFrame:
         (F.col("block") == F.col("j")).alias("right"))
     rights = sized.withColumn("i", others).withColumn(
         "home", F.explode(F.array(F.col("band"), F.col("band") - 1))).filter(
-        "home <> band OR i <> block").select(
+        "home <> band OR i < block").select(
         "leader", F.col("home").alias("band"), "i", F.col("block").alias("j"), "key",
         F.lit(False).alias("left"), F.lit(True).alias("right"))
     rows = stored(lefts.unionByName(rights), "op7-cells")
     cell = ["leader", "band", "i", "j"]
-    useful = stored(rows.groupBy(*cell).agg(F.count_if("left").alias("l"), F.count("*").alias("n"))
-                    .filter("l > 0 AND n > 1").select(*cell), "op7-useful")
+    useful = stored(rows.groupBy(*cell).agg(
+        F.count_if("left").alias("l"), F.count_if("right").alias("r"), F.count("*").alias("n"))
+        .filter("l > 0 AND r > 0 AND n > 1").select(*cell), "op7-useful")
     return rows.join(useful, cell, "left_semi")
 
 
@@ -261,8 +310,10 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _links(texts: DataFrame, sets: DataFrame, words: int, percent: int,
-           repeats: bool) -> DataFrame:
-    """Links ``a, b`` between class keys that make the components."""
+           repeats: bool, counted: bool) -> DataFrame:
+    """Links ``a, b`` between class keys that make the components, ``n`` 0; if
+    ``counted``, also rows ``a, a, n`` whose sum is the number of documents in the
+    classes that ``a`` links with."""
     n = max(sets.count(), 1)
     chosen = Bits(sets, "key", size=min(27, max(16, (8 * n).bit_length())))
     heads = texts.mapInArrow(_head_rows(words, percent, chosen), "shingle long")
@@ -293,7 +344,9 @@ def _links(texts: DataFrame, sets: DataFrame, words: int, percent: int,
     close = stored(sketched.filter(
         f"{apart} <= a_n + b_n - 2 * {_needed('a_n', 'b_n', percent)}").select("a", "b"),
         "op7-pairs")
-    members = stored(lists.filter("leader IS NOT NULL").select("leader", "key", "n").distinct(),
+    # copies of a class whose keys pass the bitmap by chance do not stand beside it
+    members = stored(lists.filter("leader IS NOT NULL").select("leader", "key", "n").distinct()
+                     .join(sets.select("key"), "key", "left_semi").select("leader", "key", "n"),
                      "op7-members")
     whole = F.lit(0)
     stars = [close.select(F.col("a").alias("leader"), F.lit(-1).cast("long").alias("band"),
@@ -306,45 +359,70 @@ def _links(texts: DataFrame, sets: DataFrame, words: int, percent: int,
                                "key long, shingles array<long>")
     if repeats:                       # rows that repeat id and text: one set
         fetched = fetched.dropDuplicates(["key"])
-    return cells.join(fetched, "key").groupBy("leader", "band", "i", "j").applyInArrow(
-        _cell_links(percent), "a long, b long")
-
-
-def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """One row a document: ``doc_id, key, key2, n, copies`` and its component's
-    smallest ``component_id`` and first document (``first_key, first_key2``)."""
+    items = fetched.select("key", F.col("shingles").alias("items"),
+                           F.lit(None).cast("long").alias("copies"))
+    if counted:                       # what a cell must know of its sets to count, as rows
+        led = members.groupBy("key").agg(F.sort_array(F.collect_set("leader")).alias("items"))
+        items = items.unionByName(sets.select("key", "copies").join(led, "key", "left").select(
+            "key", F.coalesce("items", F.array().cast("array<long>")).alias("items"), "copies"))
+    return cells.join(items, "key").groupBy("leader", "band", "i", "j").applyInArrow(
+        _cell_links(percent, counted), "a long, b long, n long")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
+              counted: bool = False) -> DataFrame:
+    """One row a row of ``docs``: ``doc_id, key, key2, n``, its component's smallest
+    ``component_id``, whether it ``leads`` it, and if ``counted`` its ``n_links``."""
     small_batches(docs.sparkSession)
     rows = _rows(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     each = stored(rows.mapInArrow(
         _set_rows(words), f"doc_id {kind}, key long, key2 long, n long, d1 long, d2 long, "
                           "sketch array<long>"), "op7-documents")
-    classes = stored(each.filter("n > 0").groupBy("d1", "d2").agg(
-        F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
-        "op7-classes")
     repeats = not each.groupBy("key").count().filter("count > 1").isEmpty()
-    roots = components(_links(rows.select("key", "text"), classes, words, percent, repeats))
-    of_class = stored(classes.join(roots, classes["key"] == roots["node"], "left").select(
-        "d1", "d2", F.coalesce("root", "key").alias("root")), "op7-class-roots")
+    classes = each.filter("n > 0").groupBy("d1", "d2").agg(
+        F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        F.count("*").alias("copies"))
+    if counted and repeats:           # rows that repeat id and text are one document
+        classes = classes.drop("copies").join(
+            each.filter("n > 0").select("d1", "d2", "key").distinct().groupBy("d1", "d2").agg(
+                F.count("*").alias("copies")), ["d1", "d2"])
+    classes = stored(classes, "op7-classes")
+    links = _links(rows.select("key", "text"), classes, words, percent, repeats, counted)
+    if counted:
+        links = stored(links, "op7-links")
+    roots = components(links.select("a", "b"))
+    of_class = classes.join(roots, classes["key"] == roots["node"], "left").select(
+        "d1", "d2", "key", "copies", F.coalesce("root", "key").alias("root"))
+    if counted:
+        ends = links.filter("a = b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("ends"))
+        of_class = of_class.join(ends, "key", "left").withColumn(
+            "n_links", F.coalesce("ends", F.lit(0).cast("long")) + F.col("copies") - 1)
+    else:
+        of_class = of_class.withColumn("n_links", F.lit(None).cast("long"))
+    of_class = stored(of_class.select("d1", "d2", "root", "n_links"), "op7-class-roots")
     named = stored(each.join(of_class, ["d1", "d2"], "left").select(
-        "doc_id", "key", "key2", "n", F.when(F.col("n") > 0, F.col("root")).alias("root")),
+        "doc_id", "key", "key2", "n", F.when(F.col("n") > 0, F.col("root")).alias("root"),
+        F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links")),
         "op7-roots")
     order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "key", "key2")
     firsts = stored(named.filter("n > 0").groupBy("root").agg(F.min(order).alias("first")),
                     "op7-firsts")
     joined = named.join(firsts, "root", "left")
     return joined.select(
-        "doc_id", "key", "key2", "n",
+        "doc_id", "key", "key2", "n", "n_links",
         F.when(F.col("n") > 0, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n") > 0, (F.col("first.key") == F.col("key"))
                & (F.col("first.key2") == F.col("key2"))).otherwise(True).alias("leads"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row."""
-    return _labelled(docs, id_col, text_col, words, percent).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id")
+                    id_col: str = "doc_id", text_col: str = "text",
+                    counted: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row, and ``n_links`` if ``counted``."""
+    return _labelled(docs, id_col, text_col, words, percent, counted).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        *(["n_links"] if counted else []))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
@@ -366,7 +444,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
 
 
 def run(spark, sf_dir) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return near_duplicates(read(spark, sf_dir, "documents"), counted=True)
 
 
 SQL = None

@@ -6,6 +6,7 @@ import pytest
 
 import brute
 from hirelake.llm import jaccard
+from hirelake.llm.common import Bits
 from hirelake.llm.components import components
 
 
@@ -44,6 +45,47 @@ def test_long_lists_of_near_copies(spark, monkeypatch):
     assert len({c for _, c in got.values()}) > 1
 
 
+def _link_counts(rows, k, percent):
+    """{(doc_id, text): number of other documents linked}"""
+    sets = {r: brute.shingles(r[1], k) for r in set(rows)}
+    return {r: sum(1 for other, t in sets.items() if other != r and s and t
+                   and 100 * len(s & t) >= percent * len(s | t)) for r, s in sets.items()}
+
+
+@pytest.mark.parametrize("name,cell,short", [
+    ("odd", 1024, 8), ("near", 4, 8), ("near", 16, 2), ("near", 16, 100), ("small", 1024, 8),
+    ("full", 16, 8)])
+def test_every_link_is_counted_once(spark, monkeypatch, name, cell, short):
+    """Circles too; sets that meet in cells of several leaders, or on short lists too."""
+    monkeypatch.setattr(jaccard, "CELL", cell)
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    if name == "full":                # bitmaps that let all rows through
+        monkeypatch.setattr(jaccard, "Bits", lambda df, column, size=6: Bits(df, column, 6))
+    rnd = random.Random(5)
+    near = []
+    for i in range(60):
+        w = [f"b{i}" for i in range(90)]
+        for _ in range(rnd.randint(0, 4)):
+            w[rnd.randrange(len(w))] = f"e{rnd.randrange(30)}"
+        near.append((i // 2, " ".join(w[:rnd.choice([90, 90, 84, 78])])))
+    docs = {"odd": lambda: brute.odd_documents(spark),
+            "near": lambda: spark.createDataFrame(near + near[:5], "doc_id long, text string"),
+            "full": lambda: spark.createDataFrame(near + [(i + 100, t) for i, t in near],
+                                                  "doc_id long, text string"),
+            "small": lambda: spark.read.parquet(f"{brute.SMALL}/documents.parquet")}[name]()
+    rows = _pairs(docs)
+    want = _link_counts(rows, 3, 90)
+    got = [(r.doc_id, r.n_links) for r in jaccard.near_duplicates(docs, counted=True).collect()]
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(got, key=order) == sorted([(r[0], want[r]) for r in rows], key=order)
+    assert sum(want.values()) > 0
+
+
+def test_query_gives_the_number_of_links(spark):
+    assert jaccard.run(spark, brute.SMALL).columns == [
+        "doc_id", "n_shingles", "component_id", "n_links"]
+
+
 def test_drop_near_duplicates(spark):
     docs = brute.odd_documents(spark)
     kept = jaccard.drop_near_duplicates(docs)
