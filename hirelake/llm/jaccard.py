@@ -18,9 +18,10 @@ shingles of one set only are skipped (a bitmap); the rest are an inverted index.
 * A longer list goes by its leader, its smallest set: all sets on lists of one
   leader are joined among themselves in cells. Cells hold one band of set sizes
   and the next, so blocks whose sizes cannot link are skipped, and ``CELL`` sets a
-  side at most. In a cell a set's overlaps with all others are derived from those
-  of the set before it, by the shingles in which the two differ, if that is less
-  work than counting anew. A cell returns the links that join its sets into
+  side at most. A cell's sets are ordered by their smallest hashes (a min-wise
+  sketch), so similar sets follow each other. A set's overlaps with all others are
+  derived from those of the set before it, by the shingles in which the two differ,
+  if that is less work than counting anew. A cell returns the links that join its sets into
   trees: for a group of thousands of near copies, as many links as sets.
 
 Links that are left out of the trees only close circles, so components are complete.
@@ -60,6 +61,7 @@ from hirelake.llm.components import components
 WORDS, PERCENT = 3, 90    # the query's; the pipeline's stage uses 5 and 80
 SHORT = 8
 CELL = 1024
+LIKE = 4                  # smallest hashes by which a cell's sets are ordered
 SKETCH = 512              # bits of the smallest parity sketch; larger sets have more
 
 
@@ -240,6 +242,7 @@ def _cell_links(percent: int, counted: bool):
         is_left = rows.column("left").to_numpy()
         left, right = np.flatnonzero(is_left), np.flatnonzero(rows.column("right").to_numpy())
         sets, keys = _rows_of(rows.column("items")), rows.column("key").to_numpy()
+        left = np.array(sorted(left.tolist(), key=lambda i: sets[i][:LIKE].tolist()), np.int64)
         sizes = np.array([len(sets[r]) for r in right], dtype=np.int64)
         overlaps = _Overlaps([sets[r] for r in right])
         if counted:

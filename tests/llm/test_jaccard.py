@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -81,6 +83,23 @@ def test_every_link_is_counted_once(spark, monkeypatch, name, cell, short):
     assert sum(want.values()) > 0
 
 
+def test_a_cell_derives_overlaps_from_a_similar_set(monkeypatch):
+    """Two interleaved families of near copies: each family is counted anew once or so."""
+    rng, work, tally = np.random.default_rng(4), [], jaccard._Overlaps._tally
+    families = [np.unique(rng.integers(0, 1 << 63, 300)) for _ in range(2)]
+    sets = [np.delete(families[i % 2], 200 + i) for i in range(40)]
+    monkeypatch.setattr(jaccard._Overlaps, "_tally",
+                        lambda self, items: (work.append(len(items)), tally(self, items))[1])
+    n = len(sets)
+    rows = pa.table({"leader": pa.array([1] * n, pa.int64()), "band": pa.array([3] * n, pa.int64()),
+                     "key": pa.array(range(n), pa.int64()), "left": [True] * n, "right": [True] * n,
+                     "items": pa.array([s.tolist() for s in sets], pa.list_(pa.int64())),
+                     "copies": pa.array([None] * n, pa.int64())})
+    links = jaccard._cell_links(90, False)(rows)
+    assert links.num_rows == n - 2
+    assert sum(work) < 3 * 300 + 4 * n
+
+
 def test_query_gives_the_number_of_links(spark):
     assert jaccard.run(spark, brute.SMALL).columns == [
         "doc_id", "n_shingles", "component_id", "n_links"]
