@@ -6,14 +6,16 @@ original vectors. Each vector has in each tree a long hash string: 64 signs of
 projections on random directions. A tree is the sorted array of these strings.
 A query descends in every tree to its longest-prefix match; then all trees
 ascend together, one prefix length for all, until the ranges that share a prefix
-of that length with the query hold ``SHARE`` times the block's vectors between
-them (``LEAST`` at least). All vectors in these ranges are scored exactly. The rows of a table are
+of that length with the query hold ``SHARE * n + TREES * (k + 1)`` vectors between
+them, for n in the block. All vectors in these ranges are scored exactly. The rows of a table are
 dealt by a hash of their id to blocks of about ``BLOCK`` vectors, each with a
 forest of its own; every query visits every block.
 
 ``SHARE`` is chosen for the worst case, vectors spread evenly over the sphere in
 64 dimensions, where near neighbours hardly stand out and recall 0.9 needs about
-half of a block scored; embeddings with structure need far less.
+two thirds of a block scored; embeddings with structure need far less. The second
+term is room for all neighbours in all trees: the fewer the vectors, the farther the
+k-th lies, and of k vectors all are scored.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite parts, and
 rows with a null id, take no part; of rows that share an id the smallest vector
@@ -45,7 +47,6 @@ NEAREST = 20
 TREES = 32
 BITS = 64
 SHARE = 0.65              # of a block's vectors, summed over the trees' ranges
-LEAST = 2500              # but so many at least, for tables of one small block
 BLOCK = 8192
 CHUNK = 32768
 SEED = 20
@@ -101,6 +102,10 @@ def _matrix(column) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
 
 
+def _wanted(k: int, trees: int, share: float, n: int) -> int:
+    return ceil(share * n) + trees * (k + 1)
+
+
 def _search(k: int, trees: int, share: float):
     schema = pa.schema([("q", pa.int64()), ("cid", pa.int64()), ("score", pa.float64())])
 
@@ -111,7 +116,7 @@ def _search(k: int, trees: int, share: float):
         by_id = np.argsort(ids)               # ties then go to the smaller id
         ids = ids[by_id]
         forest = Forest(_matrix(items.column("v"))[by_id], trees)
-        wanted = max(k + 1, LEAST, ceil(share * len(ids)))
+        wanted = _wanted(k, trees, share, len(ids))
         asked, vectors = queries.column("cid").to_numpy(), _matrix(queries.column("v"))
         out = []
         for i in range(0, len(asked), 2048):

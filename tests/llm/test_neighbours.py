@@ -39,6 +39,49 @@ def test_recall_on_given_vectors(spark, block):
         assert [s for _, s in near] == sorted((s for _, s in near), reverse=True)
 
 
+def _table(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                 "vec_id long, embedding array<double>")
+
+
+def _recall(got, x, asked):
+    ids = np.arange(len(x))
+    score = x @ x[asked].T
+    score[asked, np.arange(len(asked))] = -np.inf
+    best = np.argsort(-score, axis=0)[:20]
+    return np.mean([len({i for i, _ in got[q]} & set(ids[best[:, j]].tolist())) / 20
+                    for j, q in enumerate(asked)])
+
+
+def _unit(n, dim=64):
+    x = np.random.default_rng(7).normal(size=(n, dim))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_recall_on_more_than_one_full_block(spark):
+    x = _unit(2 * neighbours.BLOCK + 500)
+    asked = np.arange(0, len(x), 400)
+    got = _grouped(neighbours.nearest(_table(spark, x), every=400).collect())
+    assert sorted(got) == asked.tolist()
+    assert _recall(got, x, asked) >= 0.9
+
+
+@pytest.mark.parametrize("n", [100, 500, 2000, 3840, neighbours.BLOCK])
+def test_one_rule_for_all_sizes(n):
+    """Recall holds without scoring all; the share that is wanted falls evenly with the size."""
+    x = _unit(n)
+    asked = np.arange(0, n, max(1, n // 40))
+    rule = lambda m: neighbours._wanted(20, neighbours.TREES, neighbours.SHARE, m)
+    near = list(neighbours.Forest(x).candidates(x[asked], rule(n)))
+    score = x @ x[asked].T
+    score[asked, np.arange(len(asked))] = -np.inf
+    best = np.argsort(-score, axis=0)[:20]
+    assert np.mean([np.isin(best[:, j], c).mean() for j, c in enumerate(near)]) >= 0.9
+    assert n < 500 or np.mean([len(c) for c in near]) < 0.95 * n
+    part = [rule(m) / m for m in range(n, 2 * n, n // 20)]
+    assert all(a > b for a, b in zip(part, part[1:]))
+
+
 def test_odd_vectors(spark):
     """Nulls, zeros, infinities, copies, ties, repeated rows, other lengths."""
     nan, inf = float("nan"), float("inf")
