@@ -66,6 +66,16 @@ def test_recall_on_more_than_one_full_block(spark):
     assert _recall(got, x, asked) >= 0.9
 
 
+@pytest.mark.parametrize("n", [500, 9000, 16000])
+def test_recall_on_vectors_of_unequal_norms(spark, n):
+    """Long vectors are near to most queries, whatever their direction."""
+    x = _unit(n) * np.exp(0.5 * np.random.default_rng(8).normal(size=n))[:, None]
+    every = n // 50
+    asked = np.arange(0, n, every)
+    got = _grouped(neighbours.nearest(_table(spark, x), every=every).collect())
+    assert _recall(got, x, asked) >= 0.95
+
+
 @pytest.mark.parametrize("n", [100, 500, 2000, 3840, neighbours.BLOCK])
 def test_one_rule_for_all_sizes(n):
     """Recall holds without scoring all; the share that is wanted falls evenly with the size."""
