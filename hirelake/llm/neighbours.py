@@ -21,8 +21,9 @@ term is room for all neighbours in all trees: the fewer the vectors, the farther
 k-th lies, and of k vectors all are scored.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite parts, and
-rows with a null id, take no part; of rows that share an id the smallest vector
-counts; vectors of different length are never compared; equal vectors are one
+rows with a null id, take no part; rows equal in id and vector are one; different
+vectors of one id are rows of their own, each a candidate (for the id's other
+vectors too) and, if the id asks, each a query with ranks of its own; vectors of different length are never compared; equal vectors are one
 class, hashed and scored once, so any number of copies is exact (a class names
 its k + 1 smallest ids, more cannot be among k). Ties go to the smaller id. An
 empty table gives an empty result; extra columns are ignored. No cap: ranges are
@@ -132,27 +133,31 @@ def _gathered(vectors: np.ndarray, k: int, trees: int, share: float):
 
 
 def _search(k: int, trees: int, share: float):
-    schema = pa.schema([("q", pa.int64()), ("cid", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("q", pa.int64()), ("qh", pa.int64()), ("cid", pa.int64()),
+                        ("h", pa.int64()), ("score", pa.float64())])
 
     def cell(items: pa.Table, queries: pa.Table) -> pa.Table:
         if not items.num_rows or not queries.num_rows:
             return schema.empty_table()
-        ids = items.column("cid").to_numpy()
-        by_id = np.argsort(ids)               # ties then go to the smaller id
-        ids = ids[by_id]
+        ids, hashes = items.column("cid").to_numpy(), items.column("h").to_numpy()
+        by_id = np.lexsort((hashes, ids))     # ties then go to the smaller id
+        ids, hashes = ids[by_id], hashes[by_id]
         items = _matrix(items.column("v"))[by_id]
         candidates = _gathered(items, k, trees, share)
         asked, vectors = queries.column("cid").to_numpy(), _matrix(queries.column("v"))
+        asked_hash = queries.column("h").to_numpy()
         out = []
         for i in range(0, len(asked), 2048):
             part = vectors[i:i + 2048]
-            for q, v, near in zip(asked[i:i + 2048], part, candidates(part)):
+            for q, qh, v, near in zip(asked[i:i + 2048], asked_hash[i:i + 2048], part,
+                                      candidates(part)):
                 scores = items[near] @ v
                 if len(near) > k + 1:         # keep ties of the last score
                     last = np.partition(scores, -k - 1)[-k - 1]
                     near, scores = near[scores >= last], scores[scores >= last]
                 best = np.argsort(-scores, kind="stable")[:k + 1]
-                out.append((np.full(len(best), q), ids[near[best]], scores[best]))
+                out.append((np.full(len(best), q), np.full(len(best), qh), ids[near[best]],
+                            hashes[near[best]], scores[best]))
         return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)],
                                     schema=schema)
     return cell
@@ -161,7 +166,10 @@ def _search(k: int, trees: int, share: float):
 def nearest(vectors: DataFrame, k: int = NEAREST, every: int = QUERY_EVERY,
             trees: int = TREES, share: float = SHARE, block: int = BLOCK,
             id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score`` of each query's ``k`` nearest found."""
+    """``query_id, rank, vec_id, score`` of each query's ``k`` nearest found.
+
+    A class of equal vectors is named by its smallest id and its hash, ``cid, h``.
+    """
     small_batches(vectors.sparkSession)
     v = F.col("v")
     sound = v.isNotNull() & F.forall(
@@ -169,35 +177,39 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = QUERY_EVERY,
         v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                           F.col(vector_col).cast("array<double>").alias("v"))
-    rows = stored(rows.filter(sound & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(
-        F.min("v").alias("v")), "op3-vectors")
+    rows = stored(rows.filter(sound & F.col("vec_id").isNotNull()).distinct(), "op3-vectors")
     asks = F.col("vec_id") % every == 0
     classes = stored(rows.groupBy("v").agg(F.min("vec_id").alias("cid"),
-                                           F.max(asks).alias("asks")), "op3-classes")
-    members = stored(rows.join(classes, "v").select("cid", "vec_id"), "op3-members")
+                                           F.max(asks).alias("asks")).withColumn(
+        "h", F.xxhash64("v")), "op3-classes")
+    members = stored(rows.join(classes, "v").select("cid", "h", "vec_id"), "op3-members")
     n, n_asked = classes.agg(F.count("*"), F.count_if("asks")).first()
     blocks, chunks = max(1, ceil(n / block)), max(1, ceil(n_asked / CHUNK))
     dim = F.size("v").alias("dim")
-    items = classes.select(dim, F.pmod(F.xxhash64("cid"), F.lit(blocks)).alias("block"), F.explode(
-        F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "cid", "v")
+    items = classes.select(dim, F.pmod(F.xxhash64("cid", "h"), F.lit(blocks)).alias("block"), F.explode(
+        F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "cid", "h", "v")
     asked = classes.filter("asks").select(dim, F.explode(
         F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-        F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"), "cid", "v")
+        F.pmod(F.xxhash64("cid", "h", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"),
+        "cid", "h", "v")
     cell = ["dim", "block", "chunk"]
     found = items.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(
-        _search(k, trees, share), "q long, cid long, score double")
+        _search(k, trees, share), "q long, qh long, cid long, h long, score double")
 
     def first(df, by, order, most):
         return df.withColumn("_r", F.row_number().over(
-            Window.partitionBy(by).orderBy(*order))).filter(F.col("_r") <= most)
-
-    top = first(found, "q", [F.desc("score"), "cid"], k + 1).select("q", "cid", "score")
-    named = first(members, "cid", ["vec_id"], k + 1).select("cid", "vec_id")
-    near = stored(first(top.join(named, "cid"), "q", [F.desc("score"), "vec_id"], k + 1).select(
-        "q", "vec_id", "score"), "op3-near")
-    queries = members.filter(asks).select(F.col("cid").alias("q"), F.col("vec_id").alias("query_id"))
-    pairs = near.join(queries, "q").filter("vec_id <> query_id")
-    return first(pairs, "query_id", [F.desc("score"), "vec_id"], k).select(
+            Window.partitionBy(*by).orderBy(*order))).filter(F.col("_r") <= most)
+
+    asker, kind = ["q", "qh"], ["cid", "h"]
+    top = first(found, asker, [F.desc("score"), *kind], k + 1).select(*asker, *kind, "score")
+    named = first(members, kind, ["vec_id"], k + 1).select(*kind, "vec_id")
+    near = stored(first(top.join(named, kind), asker, [F.desc("score"), "vec_id", "h"], k + 1)
+                  .select(*asker, "h", "vec_id", "score", F.expr("cid = q AND h = qh").alias("own")),
+                  "op3-near")
+    queries = members.filter(asks).select(F.col("cid").alias("q"), F.col("h").alias("qh"),
+                                          F.col("vec_id").alias("query_id"))
+    pairs = near.join(queries, asker).filter("NOT (own AND vec_id = query_id)")
+    return first(pairs, ["query_id", *asker], [F.desc("score"), "vec_id", "h"], k).select(
         "query_id", F.col("_r").alias("rank"), "vec_id", "score")
 
 

@@ -92,6 +92,18 @@ def test_one_rule_for_all_sizes(n):
     assert all(a > b for a, b in zip(part, part[1:]))
 
 
+def test_different_vectors_of_one_id_all_count(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0]), (1, [0.5, 0.25]),
+            (1, [0.25, 0.5]), (2, [1.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    kept = sorted({(i, tuple(v)) for i, v in rows})
+    want = sorted((20, rank, i, score) for own in kept if own[0] == 20
+                  for rank, (score, i) in enumerate(
+                      sorted(((np.dot(own[1], v), i) for i, v in kept if (i, v) != own),
+                             key=lambda x: (-x[0], x[1])), 1))
+    assert sorted(map(tuple, neighbours.nearest(table).collect())) == want
+
+
 def test_odd_vectors(spark):
     """Nulls, zeros, infinities, copies, ties, repeated rows, other lengths."""
     nan, inf = float("nan"), float("inf")
