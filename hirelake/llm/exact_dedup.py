@@ -6,8 +6,9 @@
 Texts are equal when identical after each run of white space
 (``[\\x20\\x09-\\x0D]+``) is replaced by one space; a null text counts as empty.
 Of equal texts the smallest id stays; a null id stays only if the group has no
-other. Repeated rows (same id, same text) are one document: one result row,
-``group_size`` counts every row. Empty table: empty result. Extra columns are
+other. Repeated rows (same id, same text) are one document, of one result row, and
+``group_size`` counts every row; with ``every_row``, as in the query, each gives a
+result row, all alike. Empty table: empty result. Extra columns are
 ignored by ``exact_groups`` and kept by ``exact_dedup``, whatever their names.
 
 Plan: (id, md5) rows are pre-aggregated before they are shuffled; texts move
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from hirelake.llm.common import WS, numbered, read, stored
 
 
+STEP = 10_000             # rows that one step gives of a row that repeats
+
+
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WS, " ")
 
@@ -35,9 +39,17 @@ def _md5(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def _as_often(rows: DataFrame, times: str) -> DataFrame:
+    """Each row ``times`` times; in steps, so that no array is longer than ``STEP``."""
+    steps = rows.withColumn("_from", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {STEP})")))
+    return steps.withColumn("_i", F.explode(F.expr(
+        f"sequence(1L, least({STEP}L, {times} - {STEP} * _from))"))).drop("_from", "_i")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 hash_of=_md5) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` for each document.
+                 hash_of=_md5, every_row: bool = False) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256`` for each document, or for
+    each row.
 
     ``hash_of`` maps the normalised text to its grouping hash (md5 by default;
     tests pass a weak one to see collisions told apart).
@@ -51,7 +63,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = groups.filter("_docs > 1").select("_h", "_keep")
     single = rows.join(groups.filter("_docs = 1").select("_h", "_keep", "_rows"), "_h").select(
         "doc_id", F.col("_keep").alias("keep_id"), F.col("_rows").alias("group_size"),
-        "text_sha256")
+        "text_sha256", "_n")
     # the texts of shared hashes, each document once
     left = stored(norm.withColumn("_h", hash_of(F.col("_t")))
                   .join(shared.select("_h"), "_h", "left_semi")
@@ -70,13 +82,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         sizes = stored(same.groupBy("_h").agg(F.sum("_n").alias("group_size")), "op2-sizes")
         found.append(same.join(sizes, "_h").select(
             "doc_id", F.col("_keep").alias("keep_id"), "group_size",
-            F.sha2(F.col("_t"), 256).alias("text_sha256")))
+            F.sha2(F.col("_t"), 256).alias("text_sha256"), "_n"))
         left = told.filter("NOT _same").select("_h", "doc_id", "_t", "_n")
         if left.isEmpty():
             break
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
+    out = _as_often(out, "_n") if every_row else out
     return out.select("doc_id", "keep_id", "group_size",
                       F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256")
 
@@ -104,7 +117,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def run(spark, sf_dir) -> DataFrame:
-    return exact_groups(read(spark, sf_dir, "documents"))
+    return exact_groups(read(spark, sf_dir, "documents"), every_row=True)
 
 
 SQL = r"""

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +35,26 @@ def test_exact_groups(spark, name):
         assert r.kept == (r.doc_id == r.keep_id)
 
 
+@pytest.mark.parametrize("step", [2, 10_000])
+def test_exact_query_gives_every_row(spark, tmp_dir, monkeypatch, step):
+    """As often as the query's SQL; its ``kept`` is null where an id is, so it is left out."""
+    monkeypatch.setattr(exact_dedup, "STEP", step)
+    rows = [(None, "one"), (None, "one "), (None, "one"), (3, "one"), (3, "one"), (2, "one"),
+            (None, "alone"), (None, "alone"), (5, "x  y"), (6, None), (6, ""), (6, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM "
+                f"read_parquet('{tmp_dir}/documents.parquet/*.parquet')")
+    pick = "doc_id, keep_id, group_size, text_sha256"
+    want = con.sql(f"SELECT {pick} FROM ({exact_dedup.SQL})").fetchall()
+    got = exact_dedup.run(spark, tmp_dir)
+    order = lambda r: (r[3], r[0] is None, r[0] or 0)
+    assert sorted(map(tuple, got.select(*pick.split(", ")).collect()), key=order) == sorted(
+        want, key=order)
+    assert got.count() == len(rows)
+
+
 def test_exact_groups_tell_collisions_apart(spark):
     docs = _docs(spark, "small")
     weak = exact_dedup.exact_groups(docs, hash_of=lambda t: F.length(t) % 3)
