@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from hirelake.llm import (exact_dedup, jaccard, line_dedup, mixing, neighbours, pieces, pii,
-                          substring_dedup, token_counts, toxicity)
+                          sharding, substring_dedup, token_counts, toxicity)
 
 _MODULES = {
     "op1_token_counts": token_counts,
@@ -16,6 +16,7 @@ _MODULES = {
     "op8_substring_dedup": substring_dedup,
     "op9_mixing": mixing,
     "op10_toxicity": toxicity,
+    "op13_sharding": sharding,
 }
 
 QUERIES = {name: (module.run, module.SQL) for name, module in _MODULES.items()}

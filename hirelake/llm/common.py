@@ -73,6 +73,19 @@ def word_count(text: Column) -> Column:
         F.size(F.split(trimmed, WS))).cast("long")
 
 
+# DuckDB has no CRC-32: its table of 256 values from the rule, and the sum of a text
+CRC_TABLE = """crc AS (SELECT list(list_reduce(range(8), lambda c, _: CASE WHEN c % 2 = 1
+       THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS steps FROM range(256) r(i)),
+"""
+
+
+def crc_sql(text: str) -> str:
+    """SQL of the unsigned CRC-32 of a text's UTF-8 bytes, where ``CRC_TABLE`` is joined."""
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::BIGINT)"
+    step = "xor(c // 256, steps[xor(c % 256, b) + 1])"
+    return f"xor(list_reduce({data}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
 # --- numpy -----------------------------------------------------------------
 
 def mix(x: np.ndarray) -> np.ndarray:
