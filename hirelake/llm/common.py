@@ -34,10 +34,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Before Python tasks over whole texts: bound the texts that one holds at a
-    time, and send this package along, once a session, as --py-files would."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def ship(spark: SparkSession) -> None:
+    """Send this package along to Python tasks, once a session, as --py-files would."""
     sc = spark.sparkContext
     if getattr(sc, "_hirelake_sent", None) is None:
         root = Path(hirelake.__file__).parent
@@ -49,6 +47,13 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
         sc._hirelake_sent = str(out)
 
 
+def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Before Python tasks over whole texts: bound the texts that one holds at a
+    time, and send this package along."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    ship(spark)
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """``df`` with its columns named c0, c1, ..., so that no helper column clashes."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
