@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirelake.llm import (conversations, exact_dedup, jaccard, line_dedup, mixing, neighbours, pieces, pii,
+from hirelake.llm import (collocations, conversations, exact_dedup, jaccard, line_dedup, mixing, neighbours, pieces, pii,
                           sharding, substring_dedup, token_counts, toxicity)
 
 _MODULES = {
@@ -16,6 +16,7 @@ _MODULES = {
     "op8_substring_dedup": substring_dedup,
     "op9_mixing": mixing,
     "op10_toxicity": toxicity,
+    "op11_collocations": collocations,
     "op12_conversations": conversations,
     "op13_sharding": sharding,
 }

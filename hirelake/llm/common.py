@@ -145,13 +145,24 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]] if len(off) else raw[:0], off - off[0]
 
 
+def parts(column: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """``start, stop`` of runs of a string column's texts of about ``size`` bytes."""
+    ends = utf8(column)[1]
+    at = 0
+    while at < len(column):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + size, side="right")) - 1)
+        yield at, stop
+        at = stop
+
+
 class Words:
     """The words of a batch of texts: document, byte span and (if asked) 64-bit hash."""
 
-    def __init__(self, column: pa.Array, lower: bool = False, hashed: bool = True):
+    def __init__(self, column: pa.Array, lower: bool = False, hashed: bool = True,
+                 gaps: np.ndarray = _IS_WS):
         self.data, self.offsets = utf8(column)
         data, n = self.data, len(self.data)
-        solid = ~_IS_WS[data]
+        solid = ~gaps[data]
         first = np.zeros(n + 1, dtype=bool)
         first[self.offsets] = True           # a text begins (or the last one ends)
         gap = np.ones(n + 1, dtype=bool)
