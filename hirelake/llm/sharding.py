@@ -67,13 +67,14 @@ def _number(column: Column, kind) -> Column:
 
 
 def _points(docs: DataFrame, no: Column, id_col: str, text_col: str, dims) -> DataFrame:
-    """``no, id, size, crc, md5, tie, k0, k1, ...`` of every document, written."""
+    """``no, node, id, size, crc, md5, tie, k0, k1, ...`` of every document, written."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = (F.octet_length(text) + F.lit(OVERHEAD)).cast("long")
     dims = [d for d in dims if d in docs.columns]
     values = [_number(docs[d], docs.schema[d].dataType) for d in dims] + [size.cast("double")]
     rows = docs.select(
-        no.alias("no"), F.col(id_col).alias("id"), size.alias("size"), F.crc32(text).alias("crc"),
+        no.alias("no"), F.lit(0).cast("long").alias("node"), F.col(id_col).alias("id"),
+        size.alias("size"), F.crc32(text).alias("crc"),
         F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"),
                        text)).alias("md5"),
         *[v.alias(f"x{i}") for i, v in enumerate(values)])
@@ -161,7 +162,7 @@ def _placed(rows: DataFrame, shards: int) -> DataFrame:
     """``rows`` with their leaf: a node is named by its first shard."""
     spark = rows.sparkSession
     n_dims = sum(c[0] == "k" for c in rows.columns)
-    placed, opened = rows.withColumn("node", F.lit(0).cast("long")), {0: shards}
+    placed, opened = rows, {0: shards}
     while any(k > 1 for k in opened.values()):
         cuts = _splits(placed, opened, n_dims)
         if cuts:
