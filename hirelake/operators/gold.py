@@ -3,10 +3,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions.salary import (is_salary_available, salary_avg, salary_range)
+from hirelake.operators.selection import exact_quantiles
 from hirelake.functions.text import SEARCH_COLUMNS, search_text
 from hirelake.schemas import (JOBS_DETAIL_COLUMNS, JOBS_SUMMARY_COLUMNS,
                               SALARY_ANALYSIS_COLUMNS)
@@ -15,21 +18,27 @@ CONTRACT_TIME_SHARES = [("FULL_TIME", "pct_full_time"), ("PART_TIME", "pct_part_
                         ("UNKNOWN", "pct_unknown")]
 
 
-def median(c, exact: bool = False) -> Column:
-    """Lower median, an element of the group (not the midpoint).
+def sketched_median(c) -> Column:
+    """The reference's median (``percentile_approx``, accuracy 10000): a fixed-size
+    sketch whose element near the middle depends on how the rows are partitioned."""
+    return F.percentile_approx(c, 0.5)
+
+
+def with_median(df: DataFrame, keys: list[str], value: str, exact: bool, *aggs) -> DataFrame:
+    """``df`` grouped by ``keys`` with ``aggs`` and ``median_salary``, the lower
+    median of ``value`` (an element of the group, not the midpoint).
 
-    Default is ``percentile_approx`` (accuracy 10000): a fixed-size mergeable
-    sketch, so a hot group costs no more memory than a small one. ``exact``
-    uses ``percentile_disc``, whose buffer is a value->count map: memory grows
-    with the distinct values of the group, not its rows.
+    ``exact`` selects it by narrowing, the same on any partitioning and with bounded
+    memory; it reads ``keys`` and ``value`` once before the aggregate. Medians, a row a
+    group, meet the groups of the aggregate, which are as few.
     """
-    name = c if isinstance(c, str) else None
-    col = F.col(c) if isinstance(c, str) else c
-    if exact:
-        if name is None:
-            raise ValueError("exact median needs a column name")
-        return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{name}`)")
-    return F.percentile_approx(col, 0.5)
+    if not exact:
+        return df.groupBy(*keys).agg(sketched_median(value).alias("median_salary"), *aggs)
+    medians = exact_quantiles(df, keys, value).select(
+        *[F.col(k).alias(f"_m_{k}") for k in keys], F.col(value).alias("median_salary"))
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
+    return df.groupBy(*keys).agg(*aggs).join(medians, same, "left").drop(
+        *[f"_m_{k}" for k in keys])
 
 
 def jobs_detail(silver: DataFrame) -> DataFrame:
@@ -45,7 +54,7 @@ def jobs_detail(silver: DataFrame) -> DataFrame:
             .select(*JOBS_DETAIL_COLUMNS))
 
 
-def jobs_summary(silver: DataFrame, exact_median: bool = False) -> DataFrame:
+def jobs_summary(silver: DataFrame, exact_median: bool = True) -> DataFrame:
     """Per (ingestion_date, category_label): volume, salary figures and
     contract-time shares. A NULL category is its own group.
 
@@ -55,20 +64,16 @@ def jobs_summary(silver: DataFrame, exact_median: bool = False) -> DataFrame:
     row_avg = "_avg_salary_row"
     counts = [F.sum(F.when(F.col("contract_time") == code, 1).otherwise(0)).alias(f"_n_{code}")
               for code, _ in CONTRACT_TIME_SHARES]
-    agg = (silver
-           .withColumn(row_avg, salary_avg())
-           .groupBy("ingestion_date", "category_label")
-           .agg(F.count(F.lit(1)).alias("total_jobs"),
-                F.avg(row_avg).alias("avg_salary"),
-                F.min("salary_min").alias("min_salary"),
-                F.max("salary_max").alias("max_salary"),
-                median(row_avg, exact_median).alias("median_salary"),
-                *counts))
+    agg = with_median(
+        silver.withColumn(row_avg, salary_avg()), ["ingestion_date", "category_label"], row_avg,
+        exact_median,
+        F.count(F.lit(1)).alias("total_jobs"), F.avg(row_avg).alias("avg_salary"),
+        F.min("salary_min").alias("min_salary"), F.max("salary_max").alias("max_salary"), *counts)
     shares = {pct: F.col(f"_n_{code}") / F.col("total_jobs") for code, pct in CONTRACT_TIME_SHARES}
     return agg.withColumns(shares).select(*JOBS_SUMMARY_COLUMNS)
 
 
-def salary_analysis(silver: DataFrame, exact_median: bool = False,
+def salary_analysis(silver: DataFrame, exact_median: bool = True,
                     by_date: bool = False) -> DataFrame:
     """Per contract_time, ordered by avg_salary_max descending.
 
@@ -76,13 +81,10 @@ def salary_analysis(silver: DataFrame, exact_median: bool = False,
     date, so days cannot be told apart once stored together).
     """
     keys = (["ingestion_date"] if by_date else []) + ["contract_time"]
-    out = (silver.groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("job_count"),
-                F.avg("salary_min").alias("avg_salary_min"),
-                F.avg("salary_max").alias("avg_salary_max"),
-                median("salary_max", exact_median).alias("median_salary"),
-                F.max("salary_max").alias("max_salary"),
-                F.min("salary_min").alias("min_salary")))
+    out = with_median(
+        silver, keys, "salary_max", exact_median, F.count(F.lit(1)).alias("job_count"),
+        F.avg("salary_min").alias("avg_salary_min"), F.avg("salary_max").alias("avg_salary_max"),
+        F.max("salary_max").alias("max_salary"), F.min("salary_min").alias("min_salary"))
     cols = (["ingestion_date"] if by_date else []) + SALARY_ANALYSIS_COLUMNS
     return out.select(*cols).orderBy(F.desc_nulls_last("avg_salary_max"),
                                      F.asc_nulls_last("contract_time"))

@@ -107,7 +107,7 @@ def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: st
 
 
 def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
-             exact_median: bool = False, salary_by_date: bool = False) -> dict:
+             exact_median: bool = True, salary_by_date: bool = False) -> dict:
     """The three Gold tables of one day, written in the reference's order.
 
     Each table reads only its columns from the Silver day (pruned Parquet
@@ -131,7 +131,7 @@ def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
 
 
 def run_pipeline(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
-                 silver_root: str, gold_root: str, exact_median: bool = False,
+                 silver_root: str, gold_root: str, exact_median: bool = True,
                  salary_by_date: bool = False, **silver_options) -> dict:
     """Bronze gate of every source, then Silver, then Gold."""
     dt = to_dt(dt)
@@ -163,8 +163,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--salary-by-date", action="store_true")
     p.add_argument("--jdbc-url", help="serving database, for --stage load")
     p.add_argument("--load-mode", default="append", choices=["append", "refresh"])
-    p.add_argument("--exact-median", action="store_true",
-                   help="exact lower median (percentile_disc) instead of percentile_approx")
+    p.add_argument("--approx-median", dest="exact_median", action="store_false",
+                   help="percentile_approx in place of the exact lower median")
     args = p.parse_args(argv)
     needs = {"all": ["bronze_root", "silver_root", "gold_root"], "bronze": ["bronze_root"],
              "silver": ["bronze_root", "silver_root"], "gold": ["silver_root", "gold_root"],

@@ -6,7 +6,7 @@ import atexit
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Shuffle width is left to AQE: it coalesces small
 # partitions and splits skewed ones at run time, so the same code serves 1 MB
@@ -87,6 +87,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back: a lost
+    executor then costs the tasks that read the table, not what led to it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _scratch: list[str] = []
 
 

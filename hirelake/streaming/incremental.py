@@ -38,7 +38,7 @@ def _day_stream(spark: SparkSession, bronze_root: str, source: str) -> DataFrame
 
 def incremental_pipeline(spark: SparkSession, sources: list[str], bronze_root: str,
                          silver_root: str, gold_root: str, checkpoint_root: str,
-                         multi_line: bool = False, exact_median: bool = False,
+                         multi_line: bool = False, exact_median: bool = True,
                          **silver_options) -> list[str]:
     """Process all Bronze documents not seen before; return the rebuilt days.
 

@@ -9,6 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF_SMALL = "/root/testdata/sf0.001"
 
 
+def rows_of(df):
+    """The rows of a frame in an order of their own; NULLs are no hindrance."""
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
 @pytest.fixture(scope="session")
 def spark():
     from hirelake.session import build_session

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from conftest import rows_of
 from hirelake.operators import batches, bronze
 
 
@@ -15,7 +16,7 @@ def test_batches_are_exact_chunks_in_order(spark):
     assert len({r["batch_id"] for r in rows}) == 3
     # explode gives the input back
     back = bronze.explode_records(env).select("job.k", "job.title")
-    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, recs.collect()))
+    assert rows_of(back) == rows_of(recs)
     # deterministic ids on a rerun
     again = batches.build_batches(recs, "adzuna", ["k"], 100, "2026-05-20T00:00:00+00:00")
     assert {r["batch_id"] for r in again.collect()} == {r["batch_id"] for r in rows}

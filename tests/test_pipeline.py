@@ -2,17 +2,13 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, rows_of
 from hirelake.plans import feeds
 from hirelake.plans.catalog import CATALOG
 from hirelake.plans.pipeline import parse_args, run_pipeline
 from hirelake.sources import lake
 
 
-def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
-
-
 @pytest.mark.parametrize("one_doc", [True, False])
 def test_pipeline_end_to_end_matches_in_memory(spark, tmp_dir, one_doc):
     bronze, silver, gold = (os.path.join(tmp_dir, x) for x in ("bronze", "silver", "gold"))
@@ -21,7 +17,7 @@ def test_pipeline_end_to_end_matches_in_memory(spark, tmp_dir, one_doc):
                        exact_median=True, fail_on=None, multi_line=one_doc)
     expected = CATALOG["g7_jobs_summary"].run(spark, SF_SMALL)
     got = lake.read_gold(spark, gold, "jobs_summary", feeds.RUN_DATE)
-    assert _rows(got.select(*expected.columns)) == _rows(expected)
+    assert rows_of(got.select(*expected.columns)) == rows_of(expected)
     m = out["silver"]["metrics"]
     assert m["silver_rows"] == out["gold"]["jobs_detail"]
     assert m["input_rows"] == m["null_job_ids"] + m["duplicates_removed"] + m["silver_rows"]

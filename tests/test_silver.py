@@ -3,6 +3,7 @@ import hashlib
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from conftest import rows_of
 from hirelake.operators import normalize, silver
 from hirelake.schemas import COMMON_COLUMNS, FLAT_RECORD, NESTED_RECORD, SILVER_COLUMNS
 
@@ -91,7 +92,7 @@ def test_dedup_keeps_latest_copy_deterministically(spark):
     # idempotent
     once = silver.deduplicate_latest(df)
     assert sorted(map(tuple, silver.deduplicate_latest(once).collect())) == \
-        sorted(map(tuple, once.collect()))
+        rows_of(once)
 
 
 def test_dedup_plan_is_partial_aggregate(spark):
@@ -107,7 +108,7 @@ def test_standardize_is_idempotent(spark):
     twice = silver.standardize_contract_fields(once)
     got = {r["job_id"]: (r["contract_time"], r["contract_type"]) for r in once.collect()}
     assert got == {"1": ("FULL_TIME", "UNKNOWN"), "2": ("", "PERMANENT")}
-    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    assert rows_of(once) == rows_of(twice)
 
 
 def test_salary_scale_per_column(spark):

@@ -46,6 +46,8 @@ def test_hot_category_summary_is_exact(spark):
     s = {r["category_label"]: r for r in gold.jobs_summary(df, exact_median=True).collect()}
     assert s["Uncategorized"]["total_jobs"] == 1000
     assert sum(r["total_jobs"] for r in s.values()) == 3000
-    plan = gold.jobs_summary(df)._jdf.queryExecution().executedPlan().toString()
+    plan = gold.jobs_summary(df, exact_median=False)._jdf.queryExecution().executedPlan().toString()
     assert "partial_percentile_approx" in plan and "partial_count" in plan
+    plan = gold.jobs_summary(df)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "partial_count" in plan
     assert quality.duplicate_keys(_frame(spark)).first()["duplicate_keys"] == 1

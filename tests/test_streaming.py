@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, rows_of
 from hirelake.operators.batches import build_batches
 from hirelake.plans import feeds
 from hirelake.plans.catalog import CATALOG
@@ -41,7 +41,7 @@ def test_incremental_runs_match_batch(spark, tmp_dir):
                                 exact_median=True, fail_on=None) == [feeds.RUN_DATE]
     expected = CATALOG["g7_jobs_summary"].run(spark, SF_SMALL)
     got = lake.read_gold(spark, gold, "jobs_summary", feeds.RUN_DATE).select(*expected.columns)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    assert rows_of(got) == rows_of(expected)
 
 
 def _land(spark, bronze, source, dt, keep=20):
