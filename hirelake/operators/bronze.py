@@ -37,7 +37,7 @@ def gate_counts(df: DataFrame, required=REQUIRED_ENVELOPE_KEYS) -> DataFrame:
     return df.agg(*aggs)
 
 
-def envelope_keys(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def envelope_keys(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Top-level keys really present in the raw JSON documents under ``path``.
 
     With a fixed read schema every column exists, so B2 must look at the text:
@@ -49,7 +49,7 @@ def envelope_keys(spark: SparkSession, path: str, multi_line: bool = False) -> D
             .distinct())
 
 
-def check_bronze(df: DataFrame, raw_path: str | None = None,
+def check_bronze(df: DataFrame, raw_path: str | list[str] | None = None,
                  required=REQUIRED_ENVELOPE_KEYS, multi_line: bool = False) -> dict:
     """Run B1 (rows), B2 (required keys), B3 (NULL records) in order.
 

@@ -654,6 +654,18 @@ def s8_silver_round_trip(spark, sf):
     return _ts(lake.read_silver(spark, root, feeds.RUN_DATE))
 
 
+@register("n15_keyed_merge", q(f"SELECT {SILVER_SQL} FROM silver"))
+def n15_keyed_merge(spark, sf):
+    """The morning's batches stored as a day, then the evening's merged into the buckets
+    that hold their jobs: the same Silver as from all batches at once."""
+    root, rows = scratch_path(spark, "merged"), stored(all_norm(spark, sf), "catalog-normalised")
+    late = F.col("ingested_at") == feeds.UPDATE_INGEST
+    for part in (rows.where(~late), rows.where(late)):
+        lake.merge_silver(silver.silver_transform(part, keep_lineage=True), root,
+                          feeds.RUN_DATE).publish()
+    return _ts(lake.read_silver(spark, root, feeds.RUN_DATE))
+
+
 @register("s10_gold_round_trip", q("SELECT * FROM summary"))
 def s10_gold_round_trip(spark, sf):
     root = scratch_path(spark, "gold")

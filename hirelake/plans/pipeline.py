@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import argparse
 import logging
-import uuid
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from hirelake.functions.time import to_date_path, to_dt
 from hirelake.operators import bronze, gold, quality
 from hirelake.operators.silver import SilverMetrics, silver_transform
+from hirelake.schemas import SILVER_COLUMNS
 from hirelake.sources import jdbc, lake
 from hirelake.sources.registry import SOURCES, source_spec
 
@@ -55,15 +55,16 @@ def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: st
                silver_root: str, severities: dict | None = None,
                fail_on: str | None = quality.CRITICAL, offenders: bool = True,
                multi_line: bool = False, show_offenders: int = 20) -> dict:
-    """Build, check and write one day of Silver in a single pass.
-
-    The day is written to a staging folder and takes the place of the stored one
-    only after the quality checks have passed (Q8): a critical failure leaves the
-    old day as it was. The checks (Q1, Q3-Q5), the rows of each source and the
-    removed-row counts are observed on the write. Offender lists (Q6) are read back
-    from the written day, two columns of it, only when a domain check failed; they
-    are stored whole under ``<silver_root>_offenders/<column>``, and
-    ``show_offenders`` rows of each go into the result and the log.
+    """Build, check and write one day of Silver.
+
+    The day is written to a version folder of its own and takes the place of the stored
+    one only after the quality checks have passed (Q8): a critical failure leaves the
+    old day as it was. The rows of each source and the removed-row counts are observed on
+    the write; the checks (Q1, Q3-Q5) are counted by bucket over five columns of the
+    written files, so that a later merge adds them up without reading the other buckets.
+    Offender lists (Q6) are read back from the written day, two columns of it, only when
+    a domain check failed; they are stored whole under ``<silver_root>_offenders/<column>``,
+    and ``show_offenders`` rows of each go into the result and the log.
     """
     frames, per_source = [], {}
     for s in sources:
@@ -71,37 +72,55 @@ def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: st
         frames.append(build_source(spark, s, dt, bronze_root, multi_line).observe(
             per_source[s], F.count(F.lit(1)).alias("rows")))
     metrics = SilverMetrics()
-    df = silver_transform(frames, metrics)
-    checks = Observation("silver_quality")
-    df = df.observe(checks, *quality.check_aggregates(df))
-    staging = f"{silver_root.rstrip('/')}_staging/{to_dt(dt)}-{uuid.uuid4().hex}"
-    lake.write_silver(df, staging, dt)
-    got = checks.get
-    rows = []
-    for name, value in got.items():
-        if name == "rows":
-            continue
-        check, column = name.split(":", 1)
-        rows.append({"check": check, "column": column, "failed": value,
-                     "severity": (severities or {}).get(check, quality.WARNING)})
-    result = {"metrics": metrics.as_dict(), "quality": rows, "rows": got["rows"],
-              "columns": len(df.columns),
+    staged = lake.stage_silver(silver_transform(frames, metrics, keep_lineage=True),
+                               silver_root, dt)
+    result = {"metrics": metrics.as_dict(),
               "sources": {s: o.get["rows"] for s, o in per_source.items()}}
-    if offenders:
-        written = None
-        for r in rows:
+    return _checked(spark, staged, dt, silver_root, result, severities, fail_on, offenders,
+                    show_offenders)
+
+
+def merge_batch(spark: SparkSession, frames: list, dt: str, silver_root: str,
+                severities: dict | None = None, fail_on: str | None = quality.CRITICAL,
+                offenders: bool = True, show_offenders: int = 20) -> dict:
+    """N9/N15 incrementally: normalised rows of new batches merged into the stored day.
+
+    Only the Silver buckets that hold one of their jobs are rewritten; the checks cover
+    the whole day, those of other buckets from the day's log.
+    """
+    metrics = SilverMetrics()
+    staged = lake.merge_silver(silver_transform(frames, metrics, keep_lineage=True), silver_root, dt)
+    return _checked(spark, staged, dt, silver_root, {"metrics": metrics.as_dict()}, severities,
+                    fail_on, offenders, show_offenders)
+
+
+def _checked(spark: SparkSession, staged: lake.Staged, dt: str, silver_root: str, result: dict,
+             severities: dict | None, fail_on: str | None, offenders: bool,
+             show_offenders: int) -> dict:
+    """Q1-Q8 over a staged day, then publish it, or discard it and raise."""
+    try:
+        day = staged.rows()
+        got = staged.measure(quality.check_aggregates(day))
+        rows = []
+        for name, value in got.items():
+            if name == "rows":
+                continue
+            check, column = name.split(":", 1)
+            rows.append({"check": check, "column": column, "failed": value,
+                         "severity": (severities or {}).get(check, quality.WARNING)})
+        result |= {"quality": rows, "rows": got.get("rows", 0), "columns": len(SILVER_COLUMNS)}
+        for r in rows if offenders else []:
             if r["check"].endswith("_domain") and r["failed"]:
-                written = written or lake.read_silver(spark, staging, dt)
                 path = f"{silver_root.rstrip('/')}_offenders/{r['column']}/dt={to_dt(dt)}"
-                quality.offenders(written, r["column"]).write.mode("overwrite").parquet(path)
+                quality.offenders(day, r["column"]).write.mode("overwrite").parquet(path)
                 shown = spark.read.parquet(path).orderBy(
                     F.desc("count"), F.asc_nulls_last(r["column"])).limit(show_offenders)
                 result.setdefault("offenders", {})[r["column"]] = [tuple(x) for x in shown.collect()]
-    try:
         quality.enforce(rows, fail_on)
-        lake.publish_day(spark, staging, silver_root, dt)
-    finally:
-        lake.remove(spark, staging)
+    except BaseException:
+        staged.discard()
+        raise
+    staged.publish()
     log.info("Silver %s: %s", dt, result["metrics"])
     return result
 

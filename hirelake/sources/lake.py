@@ -1,20 +1,27 @@
 """Lake layout: Bronze JSON (S1, S2), Silver (S8, S9) and Gold (S10, S11) Parquet.
 
-    <bronze>/source=<name>/dt=YYYY-MM-DD/part-*.json   one batch document per file
-    <silver>/dt=YYYY-MM-DD/part-*.parquet
-    <gold>/<table>/dt=YYYY-MM-DD/part-*.parquet
-
-``dt`` is a real partition column, so a day filter prunes whole folders.
-Overwrites are dynamic: writing one day leaves the other days alone.
+    <bronze>/source=<name>/dt=YYYY-MM-DD/part-*.json
+    <silver>/dt=YYYY-MM-DD/run=<id>/bucket=<n>/part-*.parquet
+    <gold>/<table>/dt=YYYY-MM-DD/run=<id>/part-*.parquet
+
+Silver and Gold days are versions (``sources/versions.py``): a run writes a folder of its
+own and then names it in the day's log, which readers resolve; a day's readers open that
+day's folders only. Silver is dealt to ``BUCKETS`` hash buckets of ``job_id`` and keeps
+the lineage columns in its files, so a later batch can be merged into the buckets it
+touches (``merge_silver``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from hirelake.functions.time import to_dt
-from hirelake.session import file_system
+from hirelake.operators.silver import deduplicate_latest
+from hirelake.schemas import LINEAGE_COLUMNS
+from hirelake.session import file_system, stored
+from hirelake.sources import versions
 from hirelake.sources.registry import source_spec
 
 GOLD_TABLES = ("jobs_summary", "salary_analysis", "jobs_detail")
@@ -56,75 +63,129 @@ def write_bronze(envelopes: DataFrame, root: str, source: str, dt: str,
 
 
 def read_bronze(spark: SparkSession, root: str, source: str, dt: str,
-                multi_line: bool = False, with_file: bool = False) -> DataFrame:
+                multi_line: bool = False, with_file: bool = False,
+                files: list[str] | None = None) -> DataFrame:
     """Every batch of one source and day, with the source's fixed schema.
 
     JSON Lines by default; ``multi_line`` reads one JSON document per file;
     a missing folder raises PATH_NOT_FOUND. ``with_file`` adds ``source_file``
-    (the document's path) so a bad record can be traced to its batch file.
+    (the document's path) so a bad record can be traced to its batch file; ``files``
+    reads these of the day's files alone.
     """
     spec = source_spec(source)
     df = (spark.read.schema(spec.envelope_schema)
           .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-          .json(bronze_path(root, source, dt)))
+          .json(files or bronze_path(root, source, dt)))
     if with_file:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
 
 
-def _write_partitioned(df: DataFrame, path: str, dt: str, files: int | None = None,
-                       order: tuple | None = None, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
-    out = df.withColumn("dt", F.lit(to_dt(dt)))
-    if files:
-        # a shuffle of the finished rows; coalesce would pull the aggregate into one task
-        out = out.repartition(files)
-        if order:
-            out = out.sortWithinPartitions(*[
-                F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in order])
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy("dt").parquet(path))
-
-
-def _read_partitioned(spark: SparkSession, path: str, dt: str | None,
-                      keep_dt: bool = False) -> DataFrame:
-    df = spark.read.parquet(path)
-    if dt is not None:
-        df = df.where(F.col("dt") == F.lit(to_dt(dt)).cast(df.schema["dt"].dataType))
-    return df if keep_dt else df.drop("dt")
+BUCKETS = 16      # hash buckets of job_id in a Silver day; an entry says how many it has
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int")
+
+
+def _write_buckets(df: DataFrame, path: str, buckets: int) -> list[int]:
+    """Write rows by bucket, each by few tasks; the buckets that have rows."""
+    (df.withColumn("bucket", _bucket(buckets)).hint("rebalance", F.col("bucket"))
+     .write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("bucket").parquet(path))
+    return [int(n.split("=")[1]) for n in versions._names(df.sparkSession, path)
+            if n.startswith("bucket=")]
+
+
+class Staged:
+    """A Silver day that is written but not yet what readers see."""
+
+    def __init__(self, spark: SparkSession, root: str, dt: str, run: str, schema: StructType,
+                 paths: dict[str, str], buckets: int, after: versions.Entry | None):
+        self.spark, self.root, self.dt, self.run = spark, root, dt, run
+        self.schema, self.paths, self.buckets, self.after = schema, paths, buckets, after
+        self.facts: dict[str, dict] = {}
+
+    def written(self) -> DataFrame:
+        """The rows that this run wrote, with their ``bucket``."""
+        folder = f"{self.root.rstrip('/')}/{self.run}"
+        if not any(p.startswith(self.run) for p in self.paths.values()):
+            return self.spark.createDataFrame([], StructType(self.schema.fields).add("bucket", IntegerType()))
+        return self.spark.read.schema(StructType(self.schema.fields).add("bucket", IntegerType())).parquet(
+            folder)
+
+    def rows(self) -> DataFrame:
+        """The whole day as it would be."""
+        paths = [f"{self.root.rstrip('/')}/{p}" for p in self.paths.values()]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", self.root).parquet(
+            *paths).select(*self.schema.names)
+
+    def measure(self, aggregates: list) -> dict[str, int]:
+        """Sums of figures over the day: counted for the buckets just written, and taken
+        from the log for those carried over."""
+        fresh = self.written().groupBy("bucket").agg(*aggregates).collect()
+        self.facts = {b: f for b, f in (self.after.facts if self.after else {}).items()
+                      if b in self.paths and not self.paths[b].startswith(self.run)}
+        names = [a for a in self.written().agg(*aggregates).columns]
+        self.facts |= {str(r["bucket"]): {n: r[n] for n in names} for r in fresh}
+        return {n: sum(f[n] for f in self.facts.values()) for n in names}
+
+    def publish(self) -> versions.Entry:
+        entry = versions.publish(self.spark, self.root, self.dt, self.after, self.schema.json(),
+                                 self.paths, self.buckets, self.facts)
+        versions.expire(self.spark, self.root, self.dt)
+        return entry
+
+    def discard(self) -> None:
+        versions.remove(self.spark, f"{self.root.rstrip('/')}/{self.run}")
+
+
+def stage_silver(df: DataFrame, root: str, dt: str, buckets: int | None = None) -> Staged:
+    """Write a whole day of Silver; ``Staged.publish`` makes it the day."""
+    spark = df.sparkSession
+    after = versions.current(spark, root, dt)
+    buckets = buckets or (after.buckets if after else BUCKETS)
+    run = versions.new_run(dt)
+    held = _write_buckets(df, f"{root.rstrip('/')}/{run}", buckets)
+    return Staged(spark, root, dt, run, df.schema, {str(b): f"{run}/bucket={b}" for b in held},
+                  buckets, after)
+
+
+def merge_silver(batch: DataFrame, root: str, dt: str) -> Staged:
+    """N9 across runs: merge a batch of finished Silver rows (with lineage) into a day.
+
+    Only the hash buckets that the batch touches are read and written; of each job the
+    latest copy stays, as in one deduplication over everything. Batch ids are unique, so
+    copies that tie in ``ingested_at`` and ``batch_id`` come in one batch. Merging a
+    batch twice changes nothing, so a repeated micro-batch is harmless.
+    """
+    spark = batch.sparkSession
+    after = versions.current(spark, root, dt)
+    if after is None:
+        return stage_silver(batch, root, dt)
+    held = stored(batch.withColumn("bucket", _bucket(after.buckets)), "merge-batch")
+    touched = [str(r["bucket"]) for r in held.select("bucket").distinct().collect()]  # <= buckets
+    old = [f"{root.rstrip('/')}/{after.paths[b]}" for b in touched if b in after.paths]
+    rows = held.drop("bucket")
+    if old:
+        rows = rows.unionByName(spark.read.schema(batch.schema).parquet(*old))
+    run = versions.new_run(dt)
+    fresh = deduplicate_latest(rows).select(*batch.columns)
+    written = _write_buckets(fresh, f"{root.rstrip('/')}/{run}", after.buckets) if touched else []
+    paths = after.paths | {str(b): f"{run}/bucket={b}" for b in written}
+    return Staged(spark, root, dt, run, batch.schema, paths, after.buckets, after)
 
 
 def write_silver(df: DataFrame, root: str, dt: str) -> None:
-    """Overwrite one day of Silver; file count follows the data (AQE)."""
-    _write_partitioned(df, root, dt)
-
-
-def publish_day(spark: SparkSession, staging: str, root: str, dt: str) -> None:
-    """Put a staged day in the place of the stored one."""
-    fs, new = file_system(spark, f"{staging.rstrip('/')}/dt={to_dt(dt)}")
-    _, old = file_system(spark, f"{root.rstrip('/')}/dt={to_dt(dt)}")
-    if not fs.exists(new):      # a day without rows
-        fs.mkdirs(new)
-    fs.mkdirs(old.getParent())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"cannot publish {new} as {old}")
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, where = file_system(spark, path)
-    fs.delete(where, True)
-
-
-def days_of(spark: SparkSession, root: str, source: str, dt: str) -> bool:
-    """Whether a source has landed anything on a day."""
-    fs, where = file_system(spark, bronze_path(root, source, dt))
-    return fs.exists(where)
+    """Overwrite one day of Silver."""
+    stage_silver(df, root, dt).publish()
 
 
 def read_silver(spark: SparkSession, root: str, dt: str | None = None) -> DataFrame:
-    """Silver, one day (partition pruning) or all days."""
-    return _read_partitioned(spark, root, dt)
+    """Silver, one day (only its folders are opened) or all days."""
+    rows = versions.read(spark, root, dt)
+    return rows.drop("dt", *LINEAGE_COLUMNS)
 
 
 def gold_path(root: str, table: str) -> str:
@@ -137,15 +198,22 @@ def write_gold(df: DataFrame, root: str, table: str, dt: str) -> None:
     """Overwrite one day of a Gold table. The two aggregates go to one
     file; jobs_detail, one row per job, is written by as many tasks as it has
     partitions, each sorted by the facet columns."""
-    if table == "jobs_detail":
-        df = df.sortWithinPartitions(*[c for c in DETAIL_CLUSTER if c in df.columns])
-    _write_partitioned(df, gold_path(root, table), dt,
-                       files=1 if table in SMALL_GOLD_TABLES else None,
-                       order=GOLD_ORDER.get(table))
+    spark, path = df.sparkSession, gold_path(root, table)
+    if table in SMALL_GOLD_TABLES:
+        # a shuffle of the finished rows; coalesce would pull the aggregate into one task
+        out = df.repartition(1).sortWithinPartitions(*[
+            F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in GOLD_ORDER[table]])
+    else:
+        out = df.sortWithinPartitions(*[c for c in DETAIL_CLUSTER if c in df.columns])
+    after, run = versions.current(spark, path, dt), versions.new_run(dt)
+    out.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(f"{path}/{run}")
+    versions.publish(spark, path, dt, after, df.schema.json(), {versions.WHOLE: run})
+    versions.expire(spark, path, dt)
 
 
 def read_gold(spark: SparkSession, root: str, table: str, dt: str | None = None,
               keep_dt: bool = False) -> DataFrame:
     """A Gold table, one day or all. ``keep_dt`` keeps the partition column,
     by which date filters over many days skip the other days' folders."""
-    return _read_partitioned(spark, gold_path(root, table), dt, keep_dt)
+    rows = versions.read(spark, gold_path(root, table), dt)
+    return rows if keep_dt else rows.drop("dt")

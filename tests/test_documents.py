@@ -79,4 +79,5 @@ def test_critical_check_keeps_the_stored_day(spark, tmp_dir):
     assert [r["job_id"] for r in lake.read_silver(spark, silver, DT).collect()] == ["adzuna_1"]
     run_silver(spark, ["adzuna"], DT, bronze, silver, multi_line=True)
     assert lake.read_silver(spark, silver, DT).count() == 2
-    assert not os.listdir(f"{silver}_staging")
+    # the failed run's folder is gone: the two days published are all there is
+    assert len(os.listdir(f"{silver}/dt={DT}")) == 2
