@@ -14,9 +14,12 @@ piece scores. A BPE model's merges do not maximise a sum, so there a candidate
 counts only if it may follow the state it extends: if merging the two pieces'
 text alone gives just these two pieces again. Of the pieces that end at a
 position exactly one passes, the last piece of the merged prefix; so the path is
-what the merges would give. Pairs are judged once and remembered. Chunks led by
-several spaces or longer than ``LONG`` characters are merged by a heap instead,
-as the leftmost-first rule for pieces of equal rank is not a property of pairs.
+what the merges would give. Whether two pieces stay apart is read off their last
+merges: undo the later one of the two, see whether the pieces that then touch would
+have merged before it (a merge to the left goes first among equals), and go on to
+single characters. All new pairs of a step walk down together, and are remembered.
+Chunks led by several spaces are merged by a heap instead: the model ranks longer runs
+of spaces before the shorter ones that build them, so their merges are no matter of pairs.
 
 Defined cases: null and empty texts have no id and decode to the empty text; a
 character without a piece becomes its UTF-8 byte pieces, and byte pieces decode
@@ -41,15 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from hirelake.llm.common import read, small_batches
+from hirelake.llm.common import mix, read, small_batches
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-LONG = 160                # characters of a chunk that Viterbi takes
 MEMO_CHUNKS = 600_000
-MEMO_PAIRS = 2_000_000
-GROUP = 50_000            # chunks that advance together, at most
+MEMO_PAIRS = 21           # places for remembered pairs, a power of two
+GROUP = 500_000           # characters of chunks that advance together, at most
 _BASE = np.uint64(0xD1342543DE82EF95)
+_LEAD = 18                # leading bits of a hash by which pieces are found
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -71,14 +74,30 @@ class Pieces:
         byte_of = {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.spelled = self._spell(byte_of, plain)
         self.longest = max(map(len, self.ids))
-        keys = np.array([self._hash(p) for p in self.ids], dtype=np.uint64)
+        keys = mix(np.array([self._hash(p) for p in self.ids], dtype=np.uint64))
         order = np.argsort(keys)
         self.keys = keys[order]
         self.key_ids = np.array(list(self.ids.values()), dtype=np.int64)[order]
+        # where the search among the sorted keys begins, by a hash's leading bits
+        self.begin = np.searchsorted(self.keys, np.arange(1 << _LEAD, dtype=np.uint64)
+                                     << np.uint64(64 - _LEAD)).astype(np.int32)
+        self.steps = int(np.diff(np.append(self.begin, len(keys))).max())
+        self.keys = np.append(self.keys, np.full(self.steps, ~np.uint64(0)))
+        self.key_ids = np.append(self.key_ids, np.full(self.steps, -1))
+        self.lengths = np.array([len(p) for p in self.names], dtype=np.int64)
+        self.hashes = np.array([self._hash(p) for p in self.names], dtype=np.uint64)
+        self.power = np.cumprod(np.array([1] + [int(_BASE)] * self.longest, dtype=np.uint64))
+        order = np.argsort(-self.score, kind="stable")
+        self.rank = np.empty(n, dtype=np.int64)         # of a merge; the best first
+        self.rank[order] = np.arange(n)
+        self.rank[self.lengths == 1] = -1
+        self.left = np.full(n, -1, dtype=np.int64)      # last merge; the piece itself: none
+        self.right = np.full(n, -1, dtype=np.int64)
+        self.whole = np.zeros(n, dtype=bool)            # do merges give the piece at all?
         self.first = n                      # state codes: n = start, n + 1 = unknown
         self.width = n + 2
-        self.pair_codes = np.zeros(0, dtype=np.int64)
-        self.pair_fits = np.zeros(0, dtype=bool)
+        self.pair_codes = np.full(1 << MEMO_PAIRS, -1, dtype=np.int64)
+        self.pair_fits = np.zeros(1 << MEMO_PAIRS, dtype=bool)
         self.memo: dict[str, bytes] = {}
         probe = "Ａ ﬁ  x \t\ny "
         self.plain_text = model.normalize(probe) == SPACE + probe.replace(" ", SPACE)
@@ -100,12 +119,14 @@ class Pieces:
 
     # --- merges, one chunk at a time -------------------------------------------
 
-    def merged(self, chunk: str) -> list[str]:
-        """The pieces that BPE merges leave: best score first, then leftmost."""
+    def merged(self, chunk: str) -> tuple[list[str], tuple[str, str] | None]:
+        """The pieces that BPE merges leave (best score first, then leftmost), and
+        what the last merge joined."""
         parts: list[str | None] = list(chunk)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
         heap: list[tuple[float, int, str]] = []
+        last = None
 
         def offer(i: int, j: int) -> None:
             both = parts[i] + parts[j]
@@ -120,6 +141,7 @@ class Pieces:
             j = after[i] if parts[i] is not None else len(parts)
             if j >= len(parts) or parts[j] is None or parts[i] + parts[j] != both:
                 continue
+            last = parts[i], parts[j]
             parts[i], parts[j] = both, None
             after[i] = after[j]
             if after[i] < len(parts):
@@ -127,58 +149,94 @@ class Pieces:
                 offer(i, after[i])
             if before[i] >= 0:
                 offer(before[i], i)
-        return [p for p in parts if p is not None]
+        return [p for p in parts if p is not None], last
+
+    def _split(self, pieces: np.ndarray) -> None:
+        """Learn the last merges of pieces, and of what they merge."""
+        todo = pieces[self.left[pieces] < 0].tolist()
+        while todo:
+            i = todo.pop()
+            if self.left[i] >= 0:
+                continue
+            left, last = self.merged(self.names[i])
+            self.whole[i] = left == [self.names[i]]
+            self.left[i] = self.right[i] = i
+            if self.whole[i] and last:
+                self.left[i], self.right[i] = self.ids[last[0]], self.ids[last[1]]
+                todo += [int(self.left[i]), int(self.right[i])]
+
+    def _lookup(self, h: np.ndarray) -> np.ndarray:
+        """Pieces by hash, -1 for none."""
+        h = mix(h)
+        at = self.begin[h >> np.uint64(64 - _LEAD)]
+        found = np.full(h.shape, -1, dtype=np.int64)
+        for step in range(self.steps):
+            hit = self.keys[at + step] == h
+            found[hit] = self.key_ids[(at + step)[hit]]
+        return found
+
+    def _apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Do the merges of the text of pieces x and y give just x and y?"""
+        self._split(np.unique(np.concatenate([x, y])))
+        out = self.whole[x] & self.whole[y]
+        live = np.flatnonzero(out)
+        x, y = x[live], y[live]
+        limit = np.full(len(live), len(self.names) + 1, dtype=np.int64)
+        while len(live):
+            short = self.lengths[x] + self.lengths[y] <= self.longest
+            both = np.where(short, self._lookup(
+                self.hashes[x] * self.power[np.where(short, self.lengths[y], 0)] + self.hashes[y]), -1)
+            joins = (both >= 0) & (self.rank[both] < limit)
+            undo_x = self.rank[x] > self.rank[y]
+            ends = ~undo_x & (self.rank[y] < 0)          # two single characters
+            out[live[joins]] = False
+            limit = np.where(undo_x, self.rank[x], self.rank[y] + 1)
+            x, y = np.where(undo_x, self.right[x], x), np.where(undo_x, y, self.left[y])
+            go = ~joins & ~ends
+            live, x, y, limit = live[go], x[go], y[go], limit[go]
+        return out
 
     def _fits(self, codes: np.ndarray) -> np.ndarray:
         """May the piece follow the state? For each code state * width + piece."""
-        distinct, where = np.unique(codes, return_inverse=True)
-        if len(self.pair_codes) > MEMO_PAIRS:
-            self.pair_codes, self.pair_fits = self.pair_codes[:0], self.pair_fits[:0]
-        at = np.searchsorted(self.pair_codes, distinct)
-        known = np.zeros(len(distinct), dtype=bool)
-        inside = at < len(self.pair_codes)
-        known[inside] = self.pair_codes[at[inside]] == distinct[inside]
-        new = distinct[~known]
-        if len(new):
-            fits = np.empty(len(new), dtype=bool)
-            for k, code in enumerate(new.tolist()):
-                state, piece = divmod(code, self.width)
-                if state == self.first + 1:
-                    fits[k] = self.merged(self.names[piece]) == [self.names[piece]]
-                else:
-                    want = [self.names[piece]]
-                    if state != self.first:
-                        want.insert(0, self.names[state])
-                    fits[k] = self.merged("".join(want)) == want
-            codes_ = np.concatenate([self.pair_codes, new])
-            order = np.argsort(codes_, kind="stable")
-            self.pair_codes = codes_[order]
-            self.pair_fits = np.concatenate([self.pair_fits, fits])[order]
-            at = np.searchsorted(self.pair_codes, distinct)
-        return self.pair_fits[at][where]
+        slot = (codes.astype(np.uint64) * _BASE >> np.uint64(64 - MEMO_PAIRS)).astype(np.int64)
+        out = self.pair_fits[slot]
+        missed = np.flatnonzero(self.pair_codes[slot] != codes)
+        if len(missed):
+            new, where = np.unique(codes[missed], return_inverse=True)
+            state, piece = np.divmod(new, self.width)
+            self._split(np.unique(piece))
+            fits = self.whole[piece]
+            inner = np.flatnonzero(state < self.first)
+            fits[inner] = self._apart(state[inner], piece[inner])
+            out[missed] = fits[where]
+            place = slot[missed[np.unique(where, return_index=True)[1]]]
+            # of pairs that share a place one stays, with its own answer
+            self.pair_codes[place] = new
+            kept = self.pair_codes[place] == new
+            self.pair_fits[place[kept]] = fits[kept]
+        return out
 
     # --- Viterbi, equal lengths together -----------------------------------------
 
-    def _segment(self, chunks: list[str]) -> list[list[int]]:
-        """Ids of chunks of one length; -1 - code point stands for an unknown one."""
+    def _segment(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks of one length, joined, and where each ends; -1 - code point
+        stands for an unknown character."""
         m, n = len(chunks), len(chunks[0])
         points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"),
                                dtype=np.uint32).reshape(m, n)
         sums = np.zeros((n + 1, m), dtype=np.uint64)
-        power = np.cumprod(np.array([1] + [int(_BASE)] * self.longest, dtype=np.uint64))
         for j in range(n):
             sums[j + 1] = sums[j] * _BASE + points[:, j] + np.uint64(1)
+        pieces_at = np.full((n + 1, min(self.longest, n), m), -1, dtype=np.int32)
+        for l in range(1, min(self.longest, n) + 1):     # the piece of l characters up to j
+            pieces_at[l:, l - 1] = self._lookup(sums[l:] - sums[:-l] * self.power[l])
         state = np.full((n + 1, m), self.first, dtype=np.int64)
         taken = np.zeros((n + 1, m), dtype=np.int64)      # length of the last piece
         total = np.full((n + 1, m), 0.0)
         floor = self.score.min() - 10.0
         for j in range(1, n + 1):
             most = min(self.longest, j)
-            found = np.full((most, m), -1, dtype=np.int64)
-            for l in range(1, most + 1):
-                h = sums[j] - sums[j - l] * power[l]
-                at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-                found[l - 1] = np.where(self.keys[at] == h, self.key_ids[at], -1)
+            found = pieces_at[j, :most].astype(np.int64)
             unknown = found[0] < 0
             if self.kind == "unigram":
                 gain = np.full((most, m), -np.inf)
@@ -199,43 +257,54 @@ class Pieces:
             piece = found[best, column]
             state[j] = np.where(piece >= 0, piece, self.first + 1)
             taken[j] = best + 1
-        ids = [[] for _ in range(m)]
-        at = np.full(m, n)
-        column = np.arange(m)
-        while (live := np.flatnonzero(at > 0)).size:
+        # the way back, last piece first, for all chunks at once
+        marks, at, live = [], np.full(m, n), np.arange(m)
+        count = np.zeros(m, dtype=np.int64)
+        while len(live):
             ends = at[live]
-            pieces = state[ends, live]
-            marks = np.where(pieces > self.first, -1 - points[live, ends - 1].astype(np.int64), pieces)
-            for i, p in zip(live.tolist(), marks.tolist()):
-                ids[i].append(p)
+            piece = state[ends, live]
+            marks.append((live, np.where(
+                piece > self.first, -1 - points[live, ends - 1].astype(np.int64), piece)))
+            count[live] += 1
             at[live] = ends - taken[ends, live]
-        return [x[::-1] for x in ids]
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        """Final ids of a chunk, unknown characters as byte pieces."""
-        out: list[int] = []
-        for i in ids:
-            if i >= 0:
-                out.append(i)
-            elif self.byte_ids:
-                out.extend(self.byte_ids[b] for b in chr(-1 - i).encode("utf-8", "replace"))
-            else:
-                out.append(self.unk)
-        return np.array(out, dtype="<i4").tobytes()
+            live = live[at[live] > 0]
+        stop = np.cumsum(count)
+        flat = np.empty(stop[-1] if m else 0, dtype=np.int64)
+        for k, (live, piece) in enumerate(marks):
+            flat[stop[live] - 1 - k] = piece
+        return flat, stop
+
+    def _spelt(self, flat: np.ndarray, stop: np.ndarray) -> list[bytes]:
+        """Final ids of each chunk, unknown characters as byte pieces."""
+        odd = np.flatnonzero(flat < 0)
+        if len(odd):
+            size = np.ones(len(flat), dtype=np.int64)
+            spelt = [[self.byte_ids[b] for b in chr(-1 - c).encode("utf-8", "replace")]
+                     if self.byte_ids else [self.unk] for c in flat[odd].tolist()]
+            size[odd] = [len(x) for x in spelt]
+            ends = np.cumsum(size)
+            out = np.repeat(flat, size)
+            for i, x in zip((ends - size)[odd].tolist(), spelt):
+                out[i:i + len(x)] = x
+            flat, stop = out, ends[stop - 1]
+        data = flat.astype("<i4").tobytes()
+        stops = (4 * stop).tolist()
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
 
     def _learn(self, chunks: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for c in chunks:
             if c not in self.memo:
-                if self.kind == "bpe" and (len(c) > LONG or c.startswith(SPACE * 2)):
-                    ids = [self.ids.get(p, -1 - ord(p[0])) for p in self.merged(c)]
-                    self.memo[c] = self._bytes(ids)
+                if self.kind == "bpe" and c.startswith(SPACE * 2):
+                    ids = np.array([self.ids.get(p, -1 - ord(p[0])) for p in self.merged(c)[0]])
+                    self.memo[c] = self._spelt(ids, np.array([len(ids)]))[0]
                 else:
                     by_length.setdefault(len(c), []).append(c)
-        for group in by_length.values():
-            for i in range(0, len(group), GROUP):
-                part = group[i:i + GROUP]
-                self.memo.update(zip(part, map(self._bytes, self._segment(part))))
+        for length, group in by_length.items():
+            step = max(1, GROUP // length)
+            for i in range(0, len(group), step):
+                part = group[i:i + step]
+                self.memo.update(zip(part, self._spelt(*self._segment(part))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -301,6 +370,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text",
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists],
                                              names=[*batch.schema.names, ids_col])
+        model.memo.clear()         # the worker may live on, idle
 
     schema = StructType([*rest.schema.fields, StructField(ids_col, ArrayType(IntegerType()))])
     return rest.mapInArrow(run, schema)
