@@ -9,14 +9,15 @@ occurrences a candidate scores floor(2000000 f / (l + r)), the least over its cu
 occurrences is dropped. Each language returns its ``TOP`` (2000) by score, occurrences
 and phrase; that limit is the report's. Counts are exact.
 
-Method, as ERA builds suffix trees on disk. Every word starts a suffix, truncated after
-four words, the piece's end, or before a pair of words that occurs less than ``LEAST``
-times (no candidate crosses it). Vertical partitioning: the suffixes of a first word are
-counted; a word with more than ``BUDGET`` of them is extended by its second word, then
-its third and fourth. Prefixes are grouped until a group's suffixes fill the budget, and
-each group's subtree is built in one task on its own: its suffixes sorted, a node's
-count the total of the leaves below it. Nodes above a long prefix are the sums over its
-groups.
+Method, as ERA builds suffix trees on disk. The first two levels of the tree, words and
+pairs, are counted by scans. Every word starts a suffix, truncated after four words, the
+piece's end, or before a pair of words that occurs less than ``LEAST`` times (no
+candidate crosses it); suffixes of three words or more are kept. Vertical partitioning:
+the suffixes of a first word are counted; a word with more than half a ``BUDGET`` of them
+is extended by its second word, then its third and fourth. Prefixes are dealt to as many
+groups as fill half the budget on average (no prefix is larger than that), and each
+group's subtree is built in one task on its own: its suffixes sorted, a node's count the
+total of the leaves below it. Nodes above a long prefix are the sums over its groups.
 
 Words are 64-bit hashes of language and word (two words of one hash would be counted as
 one; 10^8 different words have such a pair with a chance of 0.03 %).
@@ -27,8 +28,9 @@ table without a candidate, give an empty result; extra columns are not read.
 
 Plan: three scans of the texts (words; pairs of frequent words; suffixes), each counted
 in the task before anything is shuffled. The bitmaps of frequent words and pairs have a
-fixed size and only save rows. Joins meet tables of one row a key, so a word that is in
-a third of all phrases is split; groups are bounded by the budget; the top of a language
+fixed size and only save rows. Suffixes meet the few extended prefixes and are shuffled
+once, to their groups. Joins meet tables of one row a key, so a word that is in a third
+of all phrases is split; groups are bounded by the budget; the top of a language
 is taken in salted buckets first.
 """
 
@@ -49,7 +51,7 @@ TOP = 2000
 DEPTH = 4
 INSIDE = 80               # percent of occurrences inside a longer phrase that drop one
 BUDGET = 1 << 18          # suffix rows of a group
-HELD = 1 << 21            # words counted together in a task
+HELD = 1 << 19            # words counted together in a task
 BITS = 25                 # size of the bitmaps, a power of two
 BUCKETS = 64              # salted buckets of a language's first top
 _KEY = [f"h{i + 1}" for i in range(DEPTH)]
@@ -88,7 +90,7 @@ class _Tokens:
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[_Tokens]:
     for batch in batches:
         text = batch.column("text")
-        for a, b in parts(text):
+        for a, b in parts(text, 1 << 21):
             yield _Tokens(text.slice(a, b - a), batch.column("lang").slice(a, b - a))
 
 
@@ -113,7 +115,7 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[h][2] += c
             else:
                 counts[h] = [t.langs[t.lang[i]], t.spelled(i), c]
-        if len(counts) > HELD // 8:
+        if len(counts) > HELD // 4:
             yield rows()
             counts.clear()
     if counts:
@@ -173,10 +175,16 @@ def _linked(t: _Tokens, words: Bits) -> np.ndarray:
 def _pair_rows(words: Bits):
     def rows(t: _Tokens) -> list[np.ndarray]:
         at = np.flatnonzero(_linked(t, words))
-        return [t.hash[at - 1], t.hash[at], _pair(t.hash[at - 1], t.hash[at])]
+        return [t.hash[at - 1], t.hash[at]]
     return rows
 
 
+def _pair_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (batch.column(c).to_numpy().view(np.uint64) for c in ("h1", "h2"))
+        yield pa.RecordBatch.from_arrays([_long(_pair(a, b))], names=["key"])
+
+
 def _suffix_rows(words: Bits, pairs: Bits):
     def rows(t: _Tokens) -> list[np.ndarray]:
         on = _linked(t, words)
@@ -190,48 +198,36 @@ def _suffix_rows(words: Bits, pairs: Bits):
             live &= goes[starts + d]
             out.append(np.where(live, t.hash[np.minimum(starts + d, max(len(on) - 1, 0))],
                                 np.uint64(0)) if len(starts) else out[0])
-        return out
+        return [c[out[2] != 0] for c in out]
     return rows
 
 
 # --- vertical partitioning and subtrees --------------------------------------------
 
-def _prefix(length: int) -> Column:
-    return F.array(*_KEY[:length])
-
-
 def _grouped(suffixes: DataFrame, budget: int) -> DataFrame:
-    """Suffixes with the ``length`` of their prefix and the ``bucket, part`` of their group."""
-    opened, closed = suffixes, []
-    for length in range(1, DEPTH + 1):
-        counts = stored(opened.groupBy(_prefix(length).alias("prefix")).agg(
-            F.count("*").alias("w")), "op11-prefixes")
-        fits = counts if length == DEPTH else counts.filter(F.col("w") <= budget)
-        closed.append((length, opened, fits))
-        wide = counts.filter(F.col("w") > budget).select("prefix")
-        if length == DEPTH or wide.isEmpty():
+    """Suffixes with the ``length`` of their prefix and their ``part``, the group."""
+    rows = suffixes.withColumn("length", F.lit(1))
+    opened, most = suffixes, max(1, budget // 2)
+    parts_ = max(1, -(-suffixes.count() // most))
+    for length in range(1, DEPTH):
+        key = _KEY[:length]
+        wide = stored(opened.groupBy(*key).agg(F.count("*").alias("w")).filter(
+            F.col("w") > most).select(*key), "op11-wide")
+        if wide.isEmpty():
             break
-        opened = opened.withColumn("prefix", _prefix(length)).join(wide, "prefix", "left_semi").drop(
-            "prefix")
-    prefixes = reduce(DataFrame.unionByName, [
-        fits.withColumn("length", F.lit(length)) for length, _, fits in closed])
-    total = prefixes.agg(F.sum("w")).first()[0] or 0
-    buckets = max(1, total // (8 * budget))
-    upto = Window.partitionBy("bucket").orderBy("prefix").rowsBetween(
-        Window.unboundedPreceding, -1)
-    groups = stored(prefixes.withColumn("bucket", F.pmod(F.xxhash64("prefix"), F.lit(buckets))).withColumn(
-        "part", F.floor(F.coalesce(F.sum("w").over(upto), F.lit(0)) / budget)), "op11-groups")
-    return reduce(DataFrame.unionByName, [
-        rows.withColumn("prefix", _prefix(length)).join(
-            groups.filter(F.col("length") == length).drop("w"), "prefix").drop("prefix")
-        for length, rows, _ in closed])
+        opened = opened.join(wide, key, "left_semi")
+        flagged = wide.withColumn("wide", F.lit(1))
+        rows = rows.join(flagged, key, "left").withColumn(
+            "length", F.col("length") + F.coalesce("wide", F.lit(0))).drop("wide")
+    prefix = [F.when(F.col("length") > i, F.col(c)) for i, c in enumerate(_KEY)]
+    return rows.withColumn("part", F.pmod(F.xxhash64(*prefix), F.lit(parts_)))
 
 
 def _subtree(least: int):
     schema = pa.schema([(c, pa.int64()) for c in [*_KEY, "f"]])
 
     def run(rows: pa.Table) -> pa.Table:
-        """The nodes of one group's subtree with 2 words or more: complete ones with
+        """The nodes of one group's subtree with 3 words or more: complete ones with
         ``least`` occurrences, and its share of those above its prefixes."""
         held = [rows.column(c).to_numpy() for c in [*_KEY, "c"]]
         length = rows.column("length").to_numpy()
@@ -242,6 +238,8 @@ def _subtree(least: int):
         new[1:] = keys[0][1:] != keys[0][:-1]
         for d in range(1, DEPTH):
             new[1:] |= keys[d][1:] != keys[d][:-1]
+            if d < 2:
+                continue
             at = np.flatnonzero(new)
             total = np.add.reduceat(c, at)
             node = (keys[d][at] != 0) & ((total >= least) | (length[at] > d + 1))
@@ -261,17 +259,19 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     words = stored(texts.mapInArrow(_word_rows, "h long, lang string, word string, c long").groupBy(
         "h", "lang", "word").agg(F.sum("c").alias("f")), "op11-words")
     often = Bits(words.filter(F.col("f") >= least), "h", size=BITS)
-    pairs = texts.mapInArrow(_counted(["h1", "h2", "key"], _pair_rows(often)),
-                             "h1 long, h2 long, key long, c long").groupBy("h1", "h2", "key").agg(
-        F.sum("c").alias("f")).filter(F.col("f") >= least)
-    linked = Bits(pairs, "key", size=BITS)
+    pairs = stored(texts.mapInArrow(
+        _counted(["h1", "h2"], _pair_rows(often)), "h1 long, h2 long, c long").groupBy(
+        "h1", "h2").agg(F.sum("c").alias("f")).filter(F.col("f") >= least), "op11-pairs")
+    linked = Bits(pairs.mapInArrow(_pair_keys, "key long"), "key", size=BITS)
     suffixes = stored(texts.mapInArrow(
         _counted(_KEY, _suffix_rows(often, linked)),
         ", ".join(f"{c} long" for c in [*_KEY, "c"])), "op11-suffixes")
-    nodes = _grouped(suffixes, budget).groupBy("bucket", "part").applyInArrow(
+    nodes = _grouped(suffixes, budget).groupBy("part").applyInArrow(
         _subtree(least), ", ".join(f"{c} long" for c in [*_KEY, "f"]))
     phrases = nodes.groupBy(*_KEY).agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-    return words, stored(phrases, "op11-phrases")
+    none = F.lit(0).cast("long")
+    return words, stored(phrases.unionByName(pairs.select(
+        "h1", "h2", none.alias("h3"), none.alias("h4"), "f")), "op11-phrases")
 
 
 # --- scores ------------------------------------------------------------------------
