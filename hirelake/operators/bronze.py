@@ -21,8 +21,8 @@ class BronzeCheckError(Exception):
     """A Bronze gate failed; the raw data stays where it is."""
 
 
-def gate_counts(df: DataFrame, required=REQUIRED_ENVELOPE_KEYS) -> DataFrame:
-    """One aggregate row with everything the gates need (a single pass).
+def gate_aggregates(df: DataFrame, required=REQUIRED_ENVELOPE_KEYS) -> list:
+    """The figures that the gates need as aggregates, for ``agg`` or ``observe``.
 
     rows, null_records, and for each required column present in the frame the
     number of non-NULL values (``nonnull_<name>``).
@@ -33,8 +33,12 @@ def gate_counts(df: DataFrame, required=REQUIRED_ENVELOPE_KEYS) -> DataFrame:
         aggs.append(F.count_if(F.col("records").isNull()).alias("null_records"))
     else:
         aggs.append(F.lit(0).cast("long").alias("null_records"))
-    aggs += [F.count(F.col(c)).alias(f"nonnull_{c}") for c in present]
-    return df.agg(*aggs)
+    return aggs + [F.count(F.col(c)).alias(f"nonnull_{c}") for c in present]
+
+
+def gate_counts(df: DataFrame, required=REQUIRED_ENVELOPE_KEYS) -> DataFrame:
+    """One aggregate row with everything the gates need (a single pass)."""
+    return df.agg(*gate_aggregates(df, required))
 
 
 def envelope_keys(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
@@ -58,6 +62,12 @@ def check_bronze(df: DataFrame, raw_path: str | list[str] | None = None,
     given are the raw keys read to tell the two apart. Returns the counts.
     """
     row = gate_counts(df, required).first().asDict()
+    return judge_bronze(row, df, raw_path, required, multi_line)
+
+
+def judge_bronze(row: dict, df: DataFrame, raw_path: str | list[str] | None = None,
+                 required=REQUIRED_ENVELOPE_KEYS, multi_line: bool = False) -> dict:
+    """The gates over counts that are there, such as those observed on a build's scan."""
     if row["rows"] == 0:
         log.error("Bronze dataset is empty")
         raise BronzeCheckError(EMPTY_MESSAGE)

@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 
 from hirelake.functions.salary import parse_salary_text
 from hirelake.functions.contract import classify_contract_time, classify_contract_type
-from hirelake.operators import batches, bronze, gold, quality, serve, silver
+from hirelake.operators import batches, bronze, gold, quality, quarantine, serve, silver
 from hirelake.operators.normalize import normalize_flat, normalize_nested
 from hirelake.plans import feeds
 from hirelake.plans.oracle import TS, q
-from hirelake.schemas import COMMON_COLUMNS, JOBS_DETAIL_COLUMNS, LINEAGE_COLUMNS
+from hirelake.schemas import (COMMON_COLUMNS, JOBS_DETAIL_COLUMNS, LINEAGE_COLUMNS,
+                              NESTED_RECORD)
 from hirelake.session import scratch_path, stored
 from hirelake.sources import export, lake
 
@@ -727,6 +728,40 @@ def s1_s2_bronze_round_trip(spark, sf):
     return _ts(silver.union_sources(frames)).select(*ROUND_TRIP_COLS)
 
 
+def _unfit_documents(spark, sf):
+    """A nested document a part, as text: some with values of another type, some cut."""
+    k = F.col("p_partkey")
+    text = F.concat(
+        F.lit('{"batch_id": "p'), k, F.lit('", "source": "adzuna", "ingested_at": "x", "record_count": '),
+        F.when(k % 19 == 0, '"one"').otherwise("1"), F.lit(', "records": [{"id": "'), k,
+        F.lit('", "salary_min": '), F.when(k % 13 == 0, F.concat(F.lit('"'), "p_brand", F.lit('"')))
+        .otherwise(F.col("p_size").cast("string")),
+        F.lit(', "category": '), F.when(k % 17 == 0, '"tools"').otherwise('{"label": "Tools"}'),
+        F.lit("}]}"))
+    return feeds.table(spark, sf, "part").select(
+        F.when(k % 101 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"))
+
+
+@register("s1_quarantine", """
+SELECT 'p' || p_partkey AS batch_id, NULL::INTEGER AS record, 'record_count' AS path,
+  'expected BIGINT, found STRING' AS reason, 'one' AS value
+FROM part WHERE p_partkey % 19 = 0 AND p_partkey % 101 <> 0
+UNION ALL SELECT 'p' || p_partkey, 0, 'salary_min', 'expected DOUBLE, found STRING', p_brand
+FROM part WHERE p_partkey % 13 = 0 AND p_partkey % 101 <> 0
+UNION ALL SELECT 'p' || p_partkey, 0, 'category', 'expected OBJECT, found STRING', 'tools'
+FROM part WHERE p_partkey % 17 = 0 AND p_partkey % 101 <> 0
+UNION ALL SELECT NULL, NULL, NULL, 'not a JSON document',
+  left('{"batch_id": "p' || p_partkey || '", "source": "adzuna", "ingested_at": "x", "record_count": ', 40)
+FROM part WHERE p_partkey % 101 = 0""")
+def s1_quarantine(spark, sf):
+    """Every value of the landed documents that does not fit the schema."""
+    root = scratch_path(spark, "unfit")
+    _unfit_documents(spark, sf).write.text(lake.bronze_path(root, "adzuna", feeds.RUN_DATE))
+    df = lake.read_bronze(spark, root, "adzuna", feeds.RUN_DATE, with_corrupt=True)
+    return quarantine.quarantined(quarantine.corrupt_documents(df), "adzuna", NESTED_RECORD).select(
+        "batch_id", "record", "path", "reason", "value")
+
+
 @register("b5_bronze_job", q(f"""
 , counts AS (
   SELECT 'adzuna' AS source,

@@ -19,7 +19,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.time import to_date_path, to_dt
-from hirelake.operators import bronze, gold, quality
+from hirelake.operators import bronze, gold, quality, quarantine
 from hirelake.operators.silver import SilverMetrics, silver_transform
 from hirelake.schemas import SILVER_COLUMNS
 from hirelake.sources import jdbc, lake
@@ -43,12 +43,28 @@ def run_bronze(spark: SparkSession, source: str, dt: str, bronze_root: str,
 
 
 def build_source(spark: SparkSession, source: str, dt: str, bronze_root: str,
-                 multi_line: bool = False):
-    """Scan -> explode -> normalize for one source (no action)."""
-    spec = source_spec(source)
-    jobs = bronze.explode_records(lake.read_bronze(spark, bronze_root, source, dt,
-                                                   multi_line=multi_line))
-    return spec.normalizer(jobs, to_date_path(dt))
+                 multi_line: bool = False, gate: Observation | None = None):
+    """Scan -> explode -> normalize for one source (no action). ``gate`` observes
+    on this scan what the Bronze gates and the quarantine need to know."""
+    df = lake.read_bronze(spark, bronze_root, source, dt, multi_line=multi_line,
+                          with_corrupt=gate is not None)
+    if gate is not None:
+        df = df.observe(gate, *bronze.gate_aggregates(df), F.count("record_count").alias("counted"),
+                        F.count(quarantine.CORRUPT).alias("corrupt"))
+    return source_spec(source).normalizer(bronze.explode_records(df), to_date_path(dt))
+
+
+def quarantine_source(spark: SparkSession, source: str, dt: str, bronze_root: str, path: str,
+                      multi_line: bool = False) -> dict:
+    """Write every value of a day that did not fit to ``path``: how many documents and
+    values, and the merged schema of these documents."""
+    df = lake.read_bronze(spark, bronze_root, source, dt, multi_line=multi_line, with_corrupt=True)
+    corrupt = quarantine.corrupt_documents(df)
+    lost = Observation(f"quarantine_{source}")
+    quarantine.quarantined(corrupt, source, source_spec(source).record_schema).observe(
+        lost, F.count(F.lit(1)).alias("values")).write.mode("overwrite").parquet(path)
+    return {"documents": corrupt.count(), "values": lost.get["values"],
+            "schema": quarantine.merged_schema(corrupt).first()["schema"]}
 
 
 def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
@@ -60,22 +76,41 @@ def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: st
     The day is written to a version folder of its own and takes the place of the stored
     one only after the quality checks have passed (Q8): a critical failure leaves the
     old day as it was. The rows of each source and the removed-row counts are observed on
-    the write; the checks (Q1, Q3-Q5) are counted by bucket over five columns of the
+    the write, and so are the counts of the Bronze gates (B1-B4), which are judged before
+    anything else: Bronze is parsed once. Documents with values that do not fit are opened
+    again, they alone, and every lost value is stored under ``<silver_root>_quarantine/``.
+    The checks (Q1, Q3-Q5) are counted by bucket over five columns of the
     written files, so that a later merge adds them up without reading the other buckets.
     Offender lists (Q6) are read back from the written day, two columns of it, only when
     a domain check failed; they are stored whole under ``<silver_root>_offenders/<column>``,
     and ``show_offenders`` rows of each go into the result and the log.
     """
-    frames, per_source = [], {}
+    frames, per_source, gates = [], {}, {}
     for s in sources:
-        per_source[s] = Observation(f"silver_source_{s}")
-        frames.append(build_source(spark, s, dt, bronze_root, multi_line).observe(
+        per_source[s], gates[s] = Observation(f"silver_source_{s}"), Observation(f"bronze_gate_{s}")
+        frames.append(build_source(spark, s, dt, bronze_root, multi_line, gates[s]).observe(
             per_source[s], F.count(F.lit(1)).alias("rows")))
     metrics = SilverMetrics()
     staged = lake.stage_silver(silver_transform(frames, metrics, keep_lineage=True),
                                silver_root, dt)
-    result = {"metrics": metrics.as_dict(),
+    result = {"metrics": metrics.as_dict(), "bronze": {}, "quarantine": {},
               "sources": {s: o.get["rows"] for s, o in per_source.items()}}
+    try:
+        for s in sources:
+            seen = dict(gates[s].get)
+            seen.pop("counted")
+            corrupt = seen.pop("corrupt")
+            if corrupt:
+                where = f"{silver_root.rstrip('/')}_quarantine/source={s}/dt={to_dt(dt)}"
+                result["quarantine"][s] = quarantine_source(spark, s, dt, bronze_root, where, multi_line)
+                log.warning("Bronze %s %s: %d documents with values that do not fit, see %s",
+                            s, dt, corrupt, where)
+            day = lake.read_bronze(spark, bronze_root, s, dt, multi_line=multi_line)
+            result["bronze"][s] = bronze.judge_bronze(
+                seen, day, lake.bronze_path(bronze_root, s, dt), multi_line=multi_line)
+    except BaseException:
+        staged.discard()
+        raise
     return _checked(spark, staged, dt, silver_root, result, severities, fail_on, offenders,
                     show_offenders)
 
@@ -152,13 +187,11 @@ def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
 def run_pipeline(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
                  silver_root: str, gold_root: str, exact_median: bool = True,
                  salary_by_date: bool = False, **silver_options) -> dict:
-    """Bronze gate of every source, then Silver, then Gold."""
+    """Silver with the Bronze gates on its scan, then Gold."""
     dt = to_dt(dt)
-    multi_line = silver_options.get("multi_line", False)
-    gates = {s: run_bronze(spark, s, dt, bronze_root, multi_line)[1] for s in sources}
     silver_result = run_silver(spark, sources, dt, bronze_root, silver_root, **silver_options)
     gold_counts = run_gold(spark, dt, silver_root, gold_root, exact_median, salary_by_date)
-    return {"bronze": gates, "silver": silver_result, "gold": gold_counts}
+    return {"bronze": silver_result["bronze"], "silver": silver_result, "gold": gold_counts}
 
 
 def parse_args(argv=None) -> argparse.Namespace:

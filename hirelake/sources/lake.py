@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from hirelake.functions.time import to_dt
+from hirelake.operators.quarantine import CORRUPT
 from hirelake.operators.silver import deduplicate_latest
 from hirelake.schemas import LINEAGE_COLUMNS
 from hirelake.session import file_system, stored
@@ -64,19 +65,22 @@ def write_bronze(envelopes: DataFrame, root: str, source: str, dt: str,
 
 def read_bronze(spark: SparkSession, root: str, source: str, dt: str,
                 multi_line: bool = False, with_file: bool = False,
-                files: list[str] | None = None) -> DataFrame:
+                files: list[str] | None = None, with_corrupt: bool = False) -> DataFrame:
     """Every batch of one source and day, with the source's fixed schema.
 
     JSON Lines by default; ``multi_line`` reads one JSON document per file;
     a missing folder raises PATH_NOT_FOUND. ``with_file`` adds ``source_file``
     (the document's path) so a bad record can be traced to its batch file; ``files``
-    reads these of the day's files alone.
+    reads these of the day's files alone; ``with_corrupt`` adds both the file and the
+    text of documents that lost a value (``operators/quarantine.py``).
     """
-    spec = source_spec(source)
-    df = (spark.read.schema(spec.envelope_schema)
+    schema = StructType(source_spec(source).envelope_schema.fields)
+    if with_corrupt:
+        schema = schema.add(CORRUPT, StringType())
+    df = (spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
           .option("multiLine", multi_line).option("mode", "PERMISSIVE")
           .json(files or bronze_path(root, source, dt)))
-    if with_file:
+    if with_file or with_corrupt:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
 

@@ -1,0 +1,82 @@
+"""Bronze values that do not fit: each lands with file and reason, the rest stays."""
+
+import json
+import os
+
+import pytest
+
+from hirelake.operators.bronze import BronzeCheckError
+from hirelake.operators.quarantine import BROKEN, COLUMNS, corrupt_documents, merged_schema, quarantined
+from hirelake.plans.pipeline import run_silver
+from hirelake.sources import lake
+from hirelake.sources.registry import source_spec
+
+DT = "2026-05-20"
+
+
+def _doc(batch, records, **more):
+    return json.dumps({"batch_id": batch, "source": "adzuna", "ingested_at": "2026-05-20T08:00:00",
+                       "record_count": len(records), "records": records} | more)
+
+
+LINES = [
+    _doc("b1", [{"id": "1", "salary_min": "abc", "category": {"label": "l", "tag": "t"}},
+                {"id": 2, "salary_min": 1.5, "category": "text", "title": {"a": 1}}]),
+    _doc("b2", [{"id": "3", "salary_min": 12, "location": {"display_name": "x", "area": "no list"}}],
+         record_count="many"),
+    '{"batch_id": "b4", broken',
+    _doc("b5", [{"id": "5", "salary_max": 7, "title": None}]),
+    _doc("b6", [{"id": "6", "latitude": True}, "not a record"]),
+]
+WANT = {
+    ("b1", 0, "salary_min", "expected DOUBLE, found STRING", "abc"),
+    ("b1", 1, "category", "expected OBJECT, found STRING", "text"),
+    ("b2", None, "record_count", "expected BIGINT, found STRING", "many"),
+    ("b2", 0, "location.area", "expected ARRAY, found STRING", "no list"),
+    (None, None, None, BROKEN, '{"batch_id": "b4", broken'),
+    ("b6", 0, "latitude", "expected DOUBLE, found BOOLEAN", "true"),
+    ("b6", 1, "", "expected OBJECT, found STRING", "not a record"),
+}
+
+
+def _land(root, lines):
+    folder = lake.bronze_path(root, "adzuna", DT)
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "batches.json"), "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_every_lost_value_lands(spark, tmp_dir):
+    _land(tmp_dir, LINES)
+    df = lake.read_bronze(spark, tmp_dir, "adzuna", DT, with_corrupt=True)
+    corrupt = corrupt_documents(df)
+    got = quarantined(corrupt, "adzuna", source_spec("adzuna").record_schema)
+    assert got.columns == COLUMNS
+    rows = got.collect()
+    assert {tuple(r)[2:] for r in rows} == WANT and len(rows) == len(WANT)
+    assert all(r["source_file"].endswith("batches.json") for r in rows)
+    assert "records" in merged_schema(corrupt).first()["schema"]
+
+
+def test_the_build_keeps_what_fits(spark, tmp_dir):
+    bronze, silver = f"{tmp_dir}/bronze", f"{tmp_dir}/silver"
+    _land(bronze, [x for x in LINES if "broken" not in x and "not a record" not in x])
+    out = run_silver(spark, ["adzuna"], DT, bronze, silver, fail_on=None)
+    assert out["quarantine"]["adzuna"]["documents"] == 2 and out["quarantine"]["adzuna"]["values"] == 4
+    assert out["bronze"]["adzuna"]["rows"] == 3
+    rows = {r["job_id"]: r for r in lake.read_silver(spark, silver, DT).collect()}
+    assert set(rows) == {f"adzuna_{i}" for i in (1, 2, 3, 5)}
+    assert rows["adzuna_1"]["salary_min"] is None and rows["adzuna_1"]["category_label"] == "l"
+    stored = spark.read.parquet(f"{silver}_quarantine")
+    assert stored.where(f"source = 'adzuna' AND dt = '{DT}'").count() == 4
+
+
+def test_gates_are_judged_before_the_day_is_published(spark, tmp_dir):
+    bronze, silver = f"{tmp_dir}/bronze", f"{tmp_dir}/silver"
+    # the broken document has no records; nor has, to the reader, one with a text among them
+    _land(bronze, LINES)
+    with pytest.raises(BronzeCheckError, match="corrupted"):
+        run_silver(spark, ["adzuna"], DT, bronze, silver, fail_on=None)
+    with pytest.raises(FileNotFoundError):
+        lake.read_silver(spark, silver, DT)
+    assert spark.read.parquet(f"{silver}_quarantine").count() == len(WANT)
