@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.functions.salary import NOT_AVAILABLE
@@ -64,6 +64,26 @@ def facet_values(df: DataFrame, column: str) -> DataFrame:
             .orderBy(column))
 
 
+FACET_COLUMNS = ["ingestion_date", "category_label", "contract_time", "source"]
+
+
+def facet_table(silver: DataFrame) -> DataFrame:
+    """D1 for all facets in one scan: ``facet, place, value, jobs``, the non-NULL values
+    of each facet in order (``place`` from 1) with their jobs.
+
+    Summary and salary table group the same Silver, so their values are these. One
+    aggregate over grouping sets, counted map-side; the window sees a row a value.
+    """
+    which = F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in FACET_COLUMNS])
+    counted = silver.groupingSets([[F.col(c)] for c in FACET_COLUMNS],
+                                  *[F.col(c) for c in FACET_COLUMNS]).agg(
+        which.alias("facet"), F.count(F.lit(1)).alias("jobs"))
+    values = counted.select("facet", F.coalesce(*FACET_COLUMNS).alias("value"), "jobs").where(
+        "value IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("facet").orderBy("value"))
+    return values.select("facet", place.cast("long").alias("place"), "value", "jobs")
+
+
 def has_values(df: DataFrame, column: str) -> bool:
     """Whether a facet has any non-NULL value: a one-row probe (``take(1)``)."""
     return len(df.where(F.col(column).isNotNull()).select(column).take(1)) > 0

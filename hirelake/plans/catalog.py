@@ -27,7 +27,7 @@ from hirelake.plans.oracle import TS, q
 from hirelake.schemas import (COMMON_COLUMNS, JOBS_DETAIL_COLUMNS, LINEAGE_COLUMNS,
                               NESTED_RECORD)
 from hirelake.session import scratch_path, stored
-from hirelake.sources import export, lake
+from hirelake.sources import export, lake, search_index
 
 INGESTION_DATE = feeds.INGESTION_DATE
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -83,10 +83,8 @@ def gold_tables(spark, sf):
 _SERVED: dict[tuple, str] = {}
 
 
-def served_gold(spark, sf):
-    """Gold as the serving layer sees it: stored tables, read back.
-
-    Built once per session and input folder into the shared checkpoint folder,
+def served_root(spark, sf):
+    """Where Gold is stored as the serving layer sees it. Built once per session and input folder into the shared checkpoint folder,
     so serving queries read pruned Parquet instead of recomputing the chain.
     """
     key = (spark.sparkContext.applicationId, sf)
@@ -100,6 +98,12 @@ def served_gold(spark, sf):
                                                gold.jobs_detail(written))):
             lake.write_gold(df, root, name, feeds.RUN_DATE)
         _SERVED[key] = root
+    return root
+
+
+def served_gold(spark, sf):
+    """The stored Gold tables, read back."""
+    root = served_root(spark, sf)
     return tuple(lake.read_gold(spark, root, t, feeds.RUN_DATE) for t in lake.GOLD_TABLES)
 
 
@@ -291,11 +295,18 @@ UNION ALL
 SELECT 'contract_time', contract_time, count(*) FROM silver
 WHERE contract_time NOT IN ('FULL_TIME', 'PART_TIME', 'UNKNOWN') GROUP BY contract_time"""))
 def q6_offenders(spark, sf):
-    s = silver_table(spark, sf)
-    parts = [quality.offenders(s, c).select(F.lit(c).alias("field"), F.col(c).alias("value"),
-                                            "count")
-             for c in ("contract_type", "contract_time")]
-    return parts[0].unionByName(parts[1])
+    return quality.offending_values(silver_table(spark, sf), ["contract_type", "contract_time"]).groupBy(
+        "field", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("q6_top_offenders", q("""
+SELECT * FROM (SELECT field, row_number() OVER (PARTITION BY field ORDER BY count DESC, value) AS place, value, count
+FROM (SELECT 'contract_type' AS field, contract_type AS value, count(*) AS count FROM silver
+      WHERE contract_type NOT IN ('CONTRACT', 'UNKNOWN', 'PERMANENT', 'TEMPORARY') GROUP BY contract_type
+      UNION ALL SELECT 'contract_time', contract_time, count(*) FROM silver
+      WHERE contract_time NOT IN ('FULL_TIME', 'PART_TIME', 'UNKNOWN') GROUP BY contract_time)) WHERE place <= 20"""))
+def q6_top_offenders(spark, sf):
+    return quality.top_offenders(written_silver(spark, sf), ["contract_type", "contract_time"])
 
 
 @register("q7_report", q(f"""
@@ -388,6 +399,19 @@ def _in(values):
     return ", ".join(f"'{v}'" for v in values)
 
 
+@register("d1_facet_table", q("""
+SELECT facet, row_number() OVER (PARTITION BY facet ORDER BY value) AS place, value, jobs FROM (
+  SELECT 'ingestion_date' AS facet, ingestion_date AS value, count(*) AS jobs FROM silver GROUP BY ALL
+  UNION ALL SELECT 'category_label', category_label, count(*) FROM silver GROUP BY ALL
+  UNION ALL SELECT 'contract_time', contract_time, count(*) FROM silver GROUP BY ALL
+  UNION ALL SELECT 'source', source, count(*) FROM silver GROUP BY ALL) WHERE value IS NOT NULL"""))
+def d1_facet_table(spark, sf):
+    """All facets with their order and counts from one scan, as Gold stores them."""
+    root = scratch_path(spark, "facets")
+    lake.write_gold(serve.facet_table(silver_table(spark, sf)), root, lake.FACETS, feeds.RUN_DATE)
+    return lake.read_gold(spark, root, lake.FACETS, feeds.RUN_DATE)
+
+
 @register("d1_facets", q("""
 SELECT DISTINCT 'ingestion_date' AS facet, ingestion_date AS value FROM summary WHERE ingestion_date IS NOT NULL
 UNION ALL SELECT DISTINCT 'category_label', category_label FROM summary WHERE category_label IS NOT NULL
@@ -494,6 +518,19 @@ def d13_keyword_search(spark, sf):
                                                                "job_search_text")
 
 
+@register("d13_indexed_search", q(f"""
+SELECT job_id, title, category_label FROM detail
+WHERE regexp_matches(job_search_text, '{SEARCH_KEYWORD.lower()}', 'i')"""))
+def d13_indexed_search(spark, sf):
+    """D13 over the stored day by its files' signatures."""
+    root = served_root(spark, sf)
+    if ("grams", root) not in _SERVED:
+        search_index.index_search(spark, root, feeds.RUN_DATE)
+        _SERVED["grams", root] = root
+    found, _ = search_index.search_detail(spark, root, feeds.RUN_DATE, SEARCH_KEYWORD)
+    return found.select("job_id", "title", "category_label")
+
+
 @register("d14_search_fallback", q(f"""
 SELECT job_id, title FROM detail
 WHERE regexp_matches(lower(concat_ws(' ', coalesce(title, ''), coalesce(company_name, ''),

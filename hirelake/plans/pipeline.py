@@ -19,10 +19,10 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.time import to_date_path, to_dt
-from hirelake.operators import bronze, gold, quality, quarantine
+from hirelake.operators import bronze, gold, quality, quarantine, serve
 from hirelake.operators.silver import SilverMetrics, silver_transform
 from hirelake.schemas import SILVER_COLUMNS
-from hirelake.sources import jdbc, lake
+from hirelake.sources import jdbc, lake, search_index
 from hirelake.sources.registry import SOURCES, source_spec
 
 log = logging.getLogger("hirelake.pipeline")
@@ -161,36 +161,44 @@ def _checked(spark: SparkSession, staged: lake.Staged, dt: str, silver_root: str
 
 
 def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
-             exact_median: bool = True, salary_by_date: bool = False) -> dict:
-    """The three Gold tables of one day, written in the reference's order.
+             exact_median: bool = True, salary_by_date: bool = False,
+             search_signatures: bool = False) -> dict:
+    """The three Gold tables of one day, written in the reference's order, and the
+    dashboard's facets (D1).
 
     Each table reads only its columns from the Silver day (pruned Parquet
     scans), which is cheaper than caching all twenty columns. With
     ``salary_by_date`` the salary table keeps ``ingestion_date`` as a key, so
-    days stay apart when several are read or loaded together.
+    days stay apart when several are read or loaded together; ``search_signatures``
+    adds the files' signatures for keyword search.
     """
     s = lake.read_silver(spark, silver_root, dt)
     tables = {
         "jobs_summary": gold.jobs_summary(s, exact_median),
         "salary_analysis": gold.salary_analysis(s, exact_median, by_date=salary_by_date),
         "jobs_detail": gold.jobs_detail(s),
+        lake.FACETS: serve.facet_table(s),
     }
     counts = {}
     for name, df in tables.items():
         obs = Observation(f"gold_{name}")
         lake.write_gold(df.observe(obs, F.count(F.lit(1)).alias("rows")), gold_root, name, dt)
         counts[name] = obs.get["rows"]
+    if search_signatures:
+        search_index.index_search(spark, gold_root, dt)
     log.info("Gold %s: %s", dt, counts)
     return counts
 
 
 def run_pipeline(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
                  silver_root: str, gold_root: str, exact_median: bool = True,
-                 salary_by_date: bool = False, **silver_options) -> dict:
+                 salary_by_date: bool = False, search_signatures: bool = False,
+                 **silver_options) -> dict:
     """Silver with the Bronze gates on its scan, then Gold."""
     dt = to_dt(dt)
     silver_result = run_silver(spark, sources, dt, bronze_root, silver_root, **silver_options)
-    gold_counts = run_gold(spark, dt, silver_root, gold_root, exact_median, salary_by_date)
+    gold_counts = run_gold(spark, dt, silver_root, gold_root, exact_median, salary_by_date,
+                           search_signatures)
     return {"bronze": silver_result["bronze"], "silver": silver_result, "gold": gold_counts}
 
 
@@ -213,6 +221,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--fail-on", default=quality.CRITICAL, choices=["none", *quality.LEVELS],
                    help="stop, and keep the stored day, on checks of this level or above")
     p.add_argument("--salary-by-date", action="store_true")
+    p.add_argument("--search-signatures", action="store_true",
+                   help="write the signatures by which keyword searches skip files")
     p.add_argument("--jdbc-url", help="serving database, for --stage load")
     p.add_argument("--load-mode", default="append", choices=["append", "refresh"])
     p.add_argument("--approx-median", dest="exact_median", action="store_false",
@@ -241,13 +251,14 @@ def run_stage(spark: SparkSession, args: argparse.Namespace) -> dict:
                           multi_line=multi_line, **checks)
     if args.stage == "gold":
         return run_gold(spark, args.date, args.silver_root, args.gold_root, args.exact_median,
-                        args.salary_by_date)
+                        args.salary_by_date, args.search_signatures)
     if args.stage == "load":
         return jdbc.load_serving(spark, args.gold_root, args.date, args.jdbc_url,
                                  mode=args.load_mode)
     return run_pipeline(spark, args.sources, args.date, args.bronze_root, args.silver_root,
                         args.gold_root, exact_median=args.exact_median, multi_line=multi_line,
-                        salary_by_date=args.salary_by_date, **checks)
+                        salary_by_date=args.salary_by_date,
+                        search_signatures=args.search_signatures, **checks)
 
 
 def main(argv=None) -> dict:

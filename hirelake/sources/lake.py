@@ -34,14 +34,17 @@ DETAIL_CLUSTER = ("category_label", "contract_time", "source")
 # jobs_detail): a large day is split into bounded files however few tasks
 # write it.
 MAX_RECORDS_PER_FILE = 2_000_000
+# The dashboard's facet values with their counts, written beside the Gold tables.
+FACETS = "facets"
 # Gold tables small enough to store as one file: one row per group of a
 # bounded key (category x day, contract time).
-SMALL_GOLD_TABLES = ("jobs_summary", "salary_analysis")
+SMALL_GOLD_TABLES = ("jobs_summary", "salary_analysis", FACETS)
 
 
 # Order of the rows in those files (G12 for salary_analysis); NULLs last.
 GOLD_ORDER = {"jobs_summary": (("ingestion_date", True), ("category_label", True)),
-              "salary_analysis": (("avg_salary_max", False), ("contract_time", True))}
+              "salary_analysis": (("avg_salary_max", False), ("contract_time", True)),
+              FACETS: (("facet", True), ("place", True))}
 
 
 def bronze_path(root: str, source: str, dt: str | None = None) -> str:
@@ -193,7 +196,7 @@ def read_silver(spark: SparkSession, root: str, dt: str | None = None) -> DataFr
 
 
 def gold_path(root: str, table: str) -> str:
-    if table not in GOLD_TABLES:
+    if table not in (*GOLD_TABLES, FACETS):
         raise ValueError(f"unknown gold table {table}; known: {GOLD_TABLES}")
     return f"{root.rstrip('/')}/{table}"
 
@@ -208,7 +211,8 @@ def write_gold(df: DataFrame, root: str, table: str, dt: str) -> None:
         out = df.repartition(1).sortWithinPartitions(*[
             F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in GOLD_ORDER[table]])
     else:
-        out = df.sortWithinPartitions(*[c for c in DETAIL_CLUSTER if c in df.columns])
+        order = [c for c in DETAIL_CLUSTER if c in df.columns]
+        out = df.sortWithinPartitions(*order) if order else df
     after, run = versions.current(spark, path, dt), versions.new_run(dt)
     out.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(f"{path}/{run}")
     versions.publish(spark, path, dt, after, df.schema.json(), {versions.WHOLE: run})
