@@ -87,7 +87,7 @@ def main() -> None:
     timed("serve_page_of_jobs", lambda: run(serve.job_table(serve.top_jobs(
         serve.keyword_search(detail, "machinery"), serve.SORT_NEWEST, 50))))
 
-    served_gold(spark, sf_dir)      # the stored Gold that d6 reads: setup, not timed
+    timed("served_gold_build", lambda: served_gold(spark, sf_dir))   # what d6 reads
     for name in CATALOG_QUERIES:
         timed(name, lambda n=name: run(CATALOG[n].run(spark, sf_dir)))
 

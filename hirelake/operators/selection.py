@@ -48,16 +48,20 @@ def ordered_bits(value: Column) -> Column:
     return F.when(F.isnan(value), F.lit(_ABOVE)).otherwise(signed).cast("long")
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, q: float = 0.5) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, q: float = 0.5,
+                    weight: str | None = None) -> DataFrame:
     """``keys`` and ``value``: of each group the smallest value that at least a part
     ``q`` of its non-NULL values does not exceed (``percentile_disc``).
 
     Groups without a value are left out; NULL keys are a group. ``q`` is from 0 to 1.
+    A row counts ``weight`` times, if given (whole numbers above 0).
     """
     names = [f"k{i}" for i in range(len(keys))]
     one = [F.col(k).alias(n) for k, n in zip(keys, names)]
-    counted = stored(df.select(*one, F.col(value).cast("double").alias("v")).where("v IS NOT NULL")
-                     .groupBy(*names, "v").agg(F.count(F.lit(1)).alias("n"))
+    times = F.col(weight) if weight else F.lit(1)
+    counted = stored(df.select(*one, F.col(value).cast("double").alias("v"),
+                               times.cast("long").alias("w")).where("v IS NOT NULL")
+                     .groupBy(*names, "v").agg(F.sum("w").alias("n"))
                      .withColumn("b", ordered_bits(F.col("v"))), "selection-values")
     total = F.sum("n")
     state = counted.groupBy(*names).agg(

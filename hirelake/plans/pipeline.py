@@ -13,16 +13,18 @@ own; nothing is cached.
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from hirelake.functions.time import to_date_path, to_dt
-from hirelake.operators import bronze, gold, quality, quarantine, serve
+from hirelake.operators import bronze, gold, quality, quarantine, serve, states
 from hirelake.operators.silver import SilverMetrics, silver_transform
 from hirelake.schemas import SILVER_COLUMNS
-from hirelake.sources import jdbc, lake, search_index
+from hirelake.sources import jdbc, lake, search_index, versions
 from hirelake.sources.registry import SOURCES, source_spec
 
 log = logging.getLogger("hirelake.pipeline")
@@ -160,9 +162,31 @@ def _checked(spark: SparkSession, staged: lake.Staged, dt: str, silver_root: str
     return result
 
 
+def fresh_states(spark: SparkSession, dt: str, silver_root: str, root: str, build):
+    """The states (``operators/states.py``) of a Silver day, stored by bucket under
+    ``root``: those of buckets that changed since are built anew, the others carried over."""
+    silver, before = versions.current(spark, silver_root, dt), versions.current(spark, root, dt)
+    if silver is None:
+        raise FileNotFoundError(f"no stored day {dt} under {silver_root}")
+    known = before.facts if before and before.buckets == silver.buckets else {}
+    changed = [b for b, p in silver.paths.items() if known.get(b, {}).get("silver") != p]
+    run, paths = versions.new_run(dt), {b: before.paths[b] for b in silver.paths if b not in changed}
+    if changed:
+        parts = [f"{silver_root.rstrip('/')}/{silver.paths[b]}" for b in changed]
+        schema = StructType.fromJson(json.loads(silver.schema)).add("bucket", IntegerType())
+        rows = spark.read.schema(schema).option("basePath", silver_root).parquet(*parts)
+        state = build(rows)
+        state.write.partitionBy("bucket").parquet(f"{root.rstrip('/')}/{run}")
+        paths |= {b: f"{run}/bucket={b}" for b in changed}
+        versions.publish(spark, root, dt, before, state.drop("bucket").schema.json(), paths,
+                         silver.buckets, {b: {"silver": p} for b, p in silver.paths.items()})
+        versions.expire(spark, root, dt)
+    return versions.read(spark, root, dt).drop("dt"), changed
+
+
 def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
              exact_median: bool = True, salary_by_date: bool = False,
-             search_signatures: bool = False) -> dict:
+             search_signatures: bool = False, keep_states: bool = False) -> dict:
     """The three Gold tables of one day, written in the reference's order, and the
     dashboard's facets (D1).
 
@@ -170,18 +194,25 @@ def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
     scans), which is cheaper than caching all twenty columns. With
     ``salary_by_date`` the salary table keeps ``ingestion_date`` as a key, so
     days stay apart when several are read or loaded together; ``search_signatures``
-    adds the files' signatures for keyword search.
+    adds the files' signatures for keyword search. With ``keep_states`` the two
+    aggregates come from stored states by Silver bucket, of which only those of changed
+    buckets are built.
     """
     s = lake.read_silver(spark, silver_root, dt)
     tables = {
-        "jobs_summary": gold.jobs_summary(s, exact_median),
-        "salary_analysis": gold.salary_analysis(s, exact_median, by_date=salary_by_date),
-        "jobs_detail": gold.jobs_detail(s),
-        lake.FACETS: serve.facet_table(s),
+        "jobs_summary": lambda: gold.jobs_summary(s, exact_median),
+        "salary_analysis": lambda: gold.salary_analysis(s, exact_median, by_date=salary_by_date),
+        "jobs_detail": lambda: gold.jobs_detail(s),
+        lake.FACETS: lambda: serve.facet_table(s),
     }
+    if keep_states and exact_median and not salary_by_date:
+        def kept(name, build):
+            return fresh_states(spark, dt, silver_root, f"{gold_root.rstrip('/')}_states/{name}", build)[0]
+        tables["jobs_summary"] = lambda: states.summary_of(kept("jobs_summary", states.summary_state))
+        tables["salary_analysis"] = lambda: states.salary_of(kept("salary_analysis", states.salary_state))
     counts = {}
-    for name, df in tables.items():
-        obs = Observation(f"gold_{name}")
+    for name, table in tables.items():
+        obs, df = Observation(f"gold_{name}"), table()
         lake.write_gold(df.observe(obs, F.count(F.lit(1)).alias("rows")), gold_root, name, dt)
         counts[name] = obs.get["rows"]
     if search_signatures:

@@ -7,8 +7,8 @@ stopped. Each micro-batch names its new files; these alone are read, gated and
 normalised, and merged into the Silver buckets that hold their jobs
 (``lake.merge_silver``). Of each job the latest copy stays whatever the order of
 arrival, so the day is the same as after one batch run over all its files, and a
-micro-batch that is repeated after a crash changes nothing. Gold is then rebuilt
-from the day's Silver.
+micro-batch that is repeated after a crash changes nothing. Gold's aggregates are put
+together from states of Silver buckets, of which those that changed are built anew.
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def incremental_pipeline(spark: SparkSession, sources: list[str], bronze_root: s
                 check_bronze(df, raw_path=found[dt][source], multi_line=multi_line)
                 frames.append(source_spec(source).normalizer(explode_records(df), to_date_path(dt)))
             merge_batch(spark, frames, dt, silver_root, **silver_options)
-            run_gold(spark, dt, silver_root, gold_root, exact_median)
+            run_gold(spark, dt, silver_root, gold_root, exact_median, keep_states=True)
             changed.extend([dt] if dt not in changed else [])
 
     streams = [_day_stream(spark, bronze_root, s, files) for s in sources]
