@@ -17,8 +17,8 @@ shingles of one set only are skipped (a bitmap); the rest are an inverted index.
   rest are compared in one cell for each first set of a pair.
 * A longer list goes by its leader, its smallest set: all sets on lists of one
   leader are joined among themselves in cells. Cells hold one band of set sizes
-  and the next, so blocks whose sizes cannot link are skipped, and ``CELL`` sets a
-  side at most. A cell's sets are ordered by their smallest hashes (a min-wise
+  and the next, so blocks whose sizes cannot link are skipped, and about ``CELL``
+  sets or ``CELL_SHINGLES`` shingles a side. A cell's sets are ordered by their smallest hashes (a min-wise
   sketch), so similar sets follow each other. A set's overlaps with all others are
   derived from those of the set before it, by the shingles in which the two differ,
   if that is less work than counting anew. A cell returns the links that join its sets into
@@ -60,7 +60,8 @@ from hirelake.llm.components import components
 
 WORDS, PERCENT = 3, 90    # the query's; the pipeline's stage uses 5 and 80
 SHORT = 8
-CELL = 1024
+CELL = 1024               # sets of a cell's side
+CELL_SHINGLES = 1 << 19   # and their shingles, about
 LIKE = 4                  # smallest hashes by which a cell's sets are ordered
 SKETCH = 512              # bits of the smallest parity sketch; larger sets have more
 
@@ -282,9 +283,11 @@ def _cells(members: DataFrame, percent: int) -> DataFrame:
     """
     width = -log(percent / 100) * 1.001      # sizes that link differ by one band at most
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width))
-    counts = stored(members.groupBy("leader").agg(F.count("*").alias("m")), "op7-leaders")
+    counts = stored(members.groupBy("leader").agg(
+        F.greatest(F.ceil(F.count("*") / F.lit(CELL)),
+                   F.ceil(F.sum("n") / F.lit(CELL_SHINGLES))).cast("int").alias("blocks")),
+        "op7-leaders")
     sized = members.join(counts, "leader").withColumn("band", band).withColumn(
-        "blocks", F.ceil(F.col("m") / F.lit(CELL)).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     lefts = sized.withColumn("j", others).select(
