@@ -10,7 +10,8 @@ Base rules find spans of four kinds, leftmost and non-overlapping within a kind:
 A match that fails its check is dropped, without another try. A linear-chain
 conditional random field over word-shape features, trained from a small labelled
 table, adds spans of the same kinds that the rules miss (a phone number without
-a plus, an address with "(at)"); a span of it that touches a base span is
+a plus, an address with "(at)", a card with dots between its digits; shapes tell it
+whether digits pass Luhn); a span of it that touches a base span is
 dropped, so base spans stay as they are. Sequences are sentences: words up to one
 that ends in . ! or ? or at a line's end. Decoding is Viterbi over all sentences of a batch
 at once. Offsets are code points, end exclusive.
@@ -38,10 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import Words, read, small_batches
+from hirelake.llm.common import Words, parts, read, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELLED_ROWS = 20_000
+PART = 1 << 21            # bytes of texts whose words are decoded together
 
 # --- base rules --------------------------------------------------------------
 
@@ -121,8 +123,9 @@ _RANK = np.zeros(1 << 10, dtype=np.int64)      # class bit -> 0..9
 _RANK[[1 << i for i in range(10)]] = np.arange(10)
 _SIZE = np.array([0, 0, 1, 2, 3, 4, 4, 5, 5, 5, 6, 6, 6, 6, 6, 7])   # length 0..15+
 _NUM = np.array([0, 1, 2, 3, 4, 5, 5, 5, 6, 6, 6, 6, 7, 7, 7, 7, 8])  # digits 0..16+
-# templates: set of classes; digits x length; dots x digits; ends; letters of the "at" kind
-_WIDTHS = (1 << 10, 9 * 8, 4 * 9, 100, 4)
+# templates: set of classes; digits x length; dots x digits; ends; letters of the "at"
+# kind; Luhn of the word; Luhn of four words of four digits, this one among them
+_WIDTHS = (1 << 10, 9 * 8, 4 * 9, 100, 4, 3, 3)
 _STARTS = np.cumsum((0, *_WIDTHS))[:-1]
 N_FEATURES = sum(_WIDTHS)
 _END_MARKS = np.zeros(256, dtype=bool)
@@ -145,12 +148,36 @@ def _shapes(words: Words) -> np.ndarray:
                        & ((data[:-3] == 40) | (data[:-3] == 91))
                        & ((data[3:] == 41) | (data[3:] == 93)))
     at_word = np.add.reduceat(inner.astype(np.int32), starts) > 0
+    word_luhn, group_luhn = _luhn_shapes(words, kind == DIGIT, digits)
     return np.stack([
         _STARTS[0] + mask,
         _STARTS[1] + number * 8 + _SIZE[length],
         _STARTS[2] + dots * 9 + number,
         _STARTS[3] + _RANK[kind[starts]] * 10 + _RANK[kind[ends - 1]],
-        _STARTS[4] + at_word * 2 + ((mask & AT) > 0)], axis=1)
+        _STARTS[4] + at_word * 2 + ((mask & AT) > 0),
+        _STARTS[5] + word_luhn, _STARTS[6] + group_luhn], axis=1)
+
+
+def _luhn_shapes(words: Words, is_digit: np.ndarray,
+                 digits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """0: not the digits of a card, 1: they pass Luhn, 2: they fail; for each word
+    alone, and in groups of four words of four digits."""
+    at = np.flatnonzero(is_digit)
+    word = np.searchsorted(words.starts, at, side="right") - 1
+    from_right = np.cumsum(digits)[word] - 1 - np.arange(len(at))
+    value = (words.data[at] - 48).astype(np.int64) << (from_right & 1)
+    total = np.bincount(word, value - 9 * (value > 9), minlength=len(digits)).astype(np.int64)
+    alone = np.where((digits >= 12) & (digits <= 19), 1 + (total % 10 != 0), 0)
+    group = np.zeros(len(digits), dtype=np.int64)
+    four = digits == 4                     # an even count, so sums of words add up
+    k = np.arange(max(0, len(digits) - 3))
+    k = k[four[k] & four[k + 1] & four[k + 2] & four[k + 3]
+          & (words.doc[k] == words.doc[k + 3])] if len(k) else k
+    passes = (total[k] + total[k + 1] + total[k + 2] + total[k + 3]) % 10 == 0
+    for start, mark in ((k[~passes], 2), (k[passes], 1)):   # one that passes tells more
+        for i in range(4):
+            group[start + i] = mark
+    return alone, group
 
 
 def _sentences(words: Words) -> np.ndarray:
@@ -178,7 +205,9 @@ class Field(NamedTuple):
 def viterbi(field: Field, shapes: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """The best label of each word; sentences of a batch advance together."""
     n = len(shapes)
-    scores = field.weights[shapes].sum(axis=1)
+    scores = field.weights[shapes[:, 0]]
+    for c in range(1, shapes.shape[1]):    # one template at a time
+        scores += field.weights[shapes[:, c]]
     lengths = np.diff(np.append(heads, n))
     order = np.argsort(-lengths, kind="stable")
     heads, lengths = heads[order], lengths[order]
@@ -293,6 +322,8 @@ _FRAMES = (
     'hash = "{secret}" in the file', "'{secret}' was rejected", 'api_key: "{secret}"',
     "{phone} {card} were both read aloud", "{ip} {card} {phone}", "password={secret} once",
     "the {number} items (of {number}) are here", "A. B. wrote this, too",
+    "serial {serial} is on the box", "parcel {serial} left today.", "she read {serial} yesterday",
+    "id {serial}, page {number}", "card {serial} was mistyped.",
 )
 
 
@@ -316,12 +347,14 @@ def labelled_examples(seed: int = 7, rounds: int = 12) -> list[tuple[str, str]]:
         return r.choice([f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+49 {a} {c}{b}",
                          f"({a}){b}-{c}", f"+{digits(2)} {a} {b} {c}"])
 
-    def card():
-        p = [digits(4) for _ in range(4)]
-        return r.choice(["", " ", "-", "."]).join(p)
+    def card(passes=True):
+        while True:
+            number = digits(16)
+            if _luhn(number) == passes:
+                return r.choice(["", " ", "-", "."]).join(re.findall("....", number))
 
     makers = {
-        "email": email, "phone": phone, "card": card,
+        "email": email, "phone": phone, "card": card, "serial": lambda: card(False),
         "ip": lambda: ".".join(str(r.randint(1, 255)) for _ in range(4))
         + r.choice(["", "", ":8080", "/24"]),
         "number": lambda: digits(r.choice([1, 2, 3, 4, 4, 5, 6])),
@@ -381,6 +414,11 @@ def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
 
 def find_spans(field: Field, column: pa.Array) -> Iterator[tuple[list, list]]:
     """For each text its base spans and all its spans, in order."""
+    for a, b in parts(column, PART):
+        yield from _spans_of(field, column.slice(a, b - a))
+
+
+def _spans_of(field: Field, column: pa.Array) -> Iterator[tuple[list, list]]:
     words = Words(column, hashed=False)
     added: dict[int, list] = {}
     risky: set[int] = set()
