@@ -8,7 +8,7 @@ Texts are equal when identical after each run of white space
 Of equal texts the smallest id stays; a null id stays only if the group has no
 other. Repeated rows (same id, same text) are one document, of one result row, and
 ``group_size`` counts every row; with ``every_row``, as in the query, each gives a
-result row, all alike. Empty table: empty result. Extra columns are
+result row, and of those that stay the first is ``kept``. Empty table: empty result. Extra columns are
 ignored by ``exact_groups`` and kept by ``exact_dedup``, whatever their names.
 
 Plan: (id, md5) rows are pre-aggregated before they are shuffled; texts move
@@ -40,10 +40,12 @@ def _md5(text: Column) -> Column:
 
 
 def _as_often(rows: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times; in steps, so that no array is longer than ``STEP``."""
+    """Each row ``times`` times, one of them ``_first``; in steps, so that no array is
+    longer than ``STEP``."""
     steps = rows.withColumn("_from", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {STEP})")))
     return steps.withColumn("_i", F.explode(F.expr(
-        f"sequence(1L, least({STEP}L, {times} - {STEP} * _from))"))).drop("_from", "_i")
+        f"sequence(1L, least({STEP}L, {times} - {STEP} * _from))"))).withColumn(
+        "_first", F.expr("_from = 0 AND _i = 1")).drop("_from", "_i")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -89,9 +91,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
-    out = _as_often(out, "_n") if every_row else out
-    return out.select("doc_id", "keep_id", "group_size",
-                      F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256")
+    kept = F.expr("doc_id <=> keep_id")
+    if every_row:                    # of rows that repeat, one stays
+        out, kept = _as_often(out, "_n"), kept & F.col("_first")
+    return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
 def _groups(rows: DataFrame) -> DataFrame:
@@ -124,6 +127,7 @@ SQL = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS n
            FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       doc_id = min(doc_id) OVER w AS kept, sha256(n) AS text_sha256
+       doc_id IS NOT DISTINCT FROM min(doc_id) OVER w
+         AND row_number() OVER (PARTITION BY n, doc_id) = 1 AS kept, sha256(n) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY n)
 """

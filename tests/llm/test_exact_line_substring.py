@@ -37,7 +37,7 @@ def test_exact_groups(spark, name):
 
 @pytest.mark.parametrize("step", [2, 10_000])
 def test_exact_query_gives_every_row(spark, tmp_dir, monkeypatch, step):
-    """As often as the query's SQL; its ``kept`` is null where an id is, so it is left out."""
+    """As often as the query's SQL, and of each group one row stays."""
     monkeypatch.setattr(exact_dedup, "STEP", step)
     rows = [(None, "one"), (None, "one "), (None, "one"), (3, "one"), (3, "one"), (2, "one"),
             (None, "alone"), (None, "alone"), (5, "x  y"), (6, None), (6, ""), (6, "")]
@@ -46,13 +46,14 @@ def test_exact_query_gives_every_row(spark, tmp_dir, monkeypatch, step):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM "
                 f"read_parquet('{tmp_dir}/documents.parquet/*.parquet')")
-    pick = "doc_id, keep_id, group_size, text_sha256"
+    pick = "doc_id, keep_id, group_size, text_sha256, kept"
     want = con.sql(f"SELECT {pick} FROM ({exact_dedup.SQL})").fetchall()
     got = exact_dedup.run(spark, tmp_dir)
-    order = lambda r: (r[3], r[0] is None, r[0] or 0)
+    order = lambda r: (r[3], r[0] is None, r[0] or 0, r[4])
     assert sorted(map(tuple, got.select(*pick.split(", ")).collect()), key=order) == sorted(
         want, key=order)
     assert got.count() == len(rows)
+    assert got.filter("kept").count() == got.select("text_sha256").distinct().count()
 
 
 def test_exact_groups_tell_collisions_apart(spark):
