@@ -5,8 +5,8 @@ A double's bit pattern, read as a whole number (negative values turned round), i
 the order of the values. Equal values of a group are counted first; then every pass
 cuts each group's range of patterns into ``BINS`` equal intervals, counts the rows of
 each, and keeps the interval that holds the wanted rank, trimmed to the patterns that
-are there, until it holds one value. A pass shrinks a range by ``BINS`` at least, so
-any data end after eight passes; salaries take two or three.
+are there, until it holds ``FINISH`` different values or fewer, which are sorted. A pass shrinks a range by ``BINS`` at least, so
+any data end after eight passes; salaries take one, small groups none.
 
 A pass is one aggregate with map-side counts: a group that holds a third of all rows is
 ``BINS`` rows a task before the shuffle. The result depends on the values alone, not on
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from hirelake.session import stored
 
 BINS = 1 << 10
+FINISH = 1 << 12              # different values of a group that are sorted at the end
 _MANTISSA = 1 << 52
 _ABOVE = (1 << 63) - 1        # NaN, the largest value in Spark's order
 _INFINITE = _ABOVE - 1
@@ -65,30 +66,33 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, q: float = 0.5,
                      .withColumn("b", ordered_bits(F.col("v"))), "selection-values")
     total = F.sum("n")
     state = counted.groupBy(*names).agg(
-        F.min("b").alias("lo"), F.max("b").alias("hi"),
+        F.min("b").alias("lo"), F.max("b").alias("hi"), F.count(F.lit(1)).alias("d"),
         F.greatest(F.ceil(total * F.lit(q)), F.lit(1)).cast("long").alias("rank"))
     state = stored(state, "selection-ranges")
-    while not state.where("lo < hi").isEmpty():
-        opened = state.select(*[F.col(n).alias(f"_{n}") for n in names], "lo", "hi", "rank").where(
-            "lo < hi")
+    wide = (F.col("lo") < F.col("hi")) & (F.col("d") > FINISH)
+
+    def inside(ranges: DataFrame) -> DataFrame:
+        named = ranges.select(*[F.col(n).alias(f"_{n}") for n in names], "lo", "hi", "rank")
         same = F.lit(True)
         for n in names:
             same = same & F.col(n).eqNullSafe(F.col(f"_{n}"))
-        inside = counted.join(opened, same).where("b BETWEEN lo AND hi")
+        return counted.join(named, same).where("b BETWEEN lo AND hi")
+
+    while not state.where(wide).isEmpty():
         # signs are parted first: a range over both may be too wide for a long
         place = F.when(F.expr("lo < 0 AND hi >= 0"), F.when(F.col("b") < 0, 0).otherwise(1)).otherwise(
             F.expr(f"(b - lo) div ((hi - lo) div {BINS} + 1)"))
-        bins = inside.groupBy(*names, "rank", place.alias("bin"))
-        bins = bins.agg(F.sum("n").alias("n"), F.min("b").alias("lo"), F.max("b").alias("hi"))
+        bins = inside(state.where(wide)).groupBy(*names, "rank", place.alias("bin")).agg(
+            F.sum("n").alias("n"), F.min("b").alias("lo"), F.max("b").alias("hi"),
+            F.count(F.lit(1)).alias("d"))
         upto = Window.partitionBy(*names).orderBy("bin").rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         met = bins.withColumn("end", F.sum("n").over(upto)).where(
             "end >= rank AND end - n < rank").select(
-            *names, "lo", "hi", (F.col("rank") - (F.col("end") - F.col("n"))).alias("rank"))
-        state = stored(state.where("lo = hi").unionByName(met), "selection-ranges")
-    found = state.select(*[F.col(n).alias(f"_{n}") for n in names], F.col("lo").alias("_b"))
-    same = F.col("b") == F.col("_b")
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"_{n}"))
-    return counted.join(found, same).select(
+            *names, "lo", "hi", "d", (F.col("rank") - (F.col("end") - F.col("n"))).alias("rank"))
+        state = stored(state.where(~wide).unionByName(met), "selection-ranges")
+    upto = Window.partitionBy(*names).orderBy("b").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return inside(state).withColumn("end", F.sum("n").over(upto)).where(
+        "end >= rank AND end - n < rank").select(
         *[F.col(n).alias(k) for n, k in zip(names, keys)], F.col("v").alias(value))
