@@ -13,8 +13,10 @@ text. Empty texts count 0 tokens. Repeated rows give repeated results; a null id
 is passed through; an empty table gives an empty result; extra columns are
 ignored. A cache to which two runs appended the same digest is read once a digest.
 
-Plan: texts move once, to meet the cache and to become distinct; copies of one
-text are folded before that shuffle. The result joins ids to counts by digest,
+Plan: the run's distinct digests meet the cache, of which files without their prefixes
+are skipped, and what is found is written, a row a digest. Texts move once, to become distinct; copies of one
+text are folded before that shuffle. The work on the cache is a scan of two narrow columns,
+never a rewrite. The result joins ids to counts by digest,
 with a written table of one row a digest on the right, so AQE can split the digest
 of a text that very many rows share. A failed run appends nothing (Spark's commit protocol).
 """
@@ -25,20 +27,22 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from functools import reduce
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from hirelake.llm.common import read, small_batches, stored
-from hirelake.session import scratch_path
+from hirelake.session import file_system, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
 MEMO_WORDS = 400_000      # words a task remembers; then it starts anew
 ENCODE_CHARS = 1 << 20    # characters given to the library at a time
+PREFIX = 2                # leading hex digits of a run's digests by which cache files are skipped
 
 CACHE = StructType([StructField("content_digest", StringType()),
                     StructField("n_tokens", LongType())])
@@ -161,26 +165,43 @@ def _digest(text):
 
 
 def update_cache(docs: DataFrame, cache: str, tokenizer: str, text_col: str = "text") -> DataFrame:
-    """Append the counts of texts that the cache lacks; return it, one row a digest."""
+    """Append the counts of texts that the cache lacks; return those of this run's texts,
+    one row a digest.
+
+    The cache's files are ranges of sorted digests, so those without one of this run's
+    prefixes are skipped; only the rows of its digests are kept, and nothing of the cache
+    is grouped or written again.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     path = f"{cache}/tokenizer={tokenizer_version(tokenizer)}"
     texts = docs.select(_digest(F.col(text_col)).alias("content_digest"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    known = _cached(spark, path)
-    if known is not None:
-        texts = texts.join(known, "content_digest", "left_anti")
+    hits = _hits(texts.select("content_digest"), path)
+    if hits is not None:
+        texts = texts.join(hits, "content_digest", "left_anti")
     distinct = texts.groupBy("content_digest").agg(F.first("text").alias("text"))
-    distinct.mapInArrow(_count_batches(tokenizer, "text"), CACHE).write.mode("append").parquet(path)
-    return stored(_cached(spark, path), "op1-counts")
+    new = stored(distinct.mapInArrow(_count_batches(tokenizer, "text"), CACHE), "op1-counts")
+    new.repartitionByRange("content_digest").sortWithinPartitions("content_digest").write.mode(
+        "append").parquet(path)
+    return new if hits is None else new.unionByName(hits)
 
 
-def _cached(spark, path: str) -> DataFrame | None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+def _hits(digests: DataFrame, path: str) -> DataFrame | None:
+    """What the cache at ``path`` holds of these digests, one row each; None without a cache."""
+    spark = digests.sparkSession
+    fs, where = file_system(spark, path)
+    if not fs.exists(where):
         return None
-    return spark.read.schema(CACHE).parquet(path).groupBy("content_digest").agg(
-        F.max("n_tokens").alias("n_tokens"))
+    wanted = stored(digests.distinct(), "op1-digests")
+    prefixes = [r[0] for r in wanted.select(F.substring("content_digest", 1, PREFIX))
+                .distinct().collect()]                          # 16 ** PREFIX at most
+    held = spark.read.schema(CACHE).parquet(path)
+    if len(prefixes) < 16 ** PREFIX:
+        held = held.where(reduce(Column.__or__, [F.col("content_digest").startswith(x)
+                                                 for x in prefixes], F.lit(False)))
+    return stored(held.join(wanted, "content_digest", "left_semi").groupBy("content_digest").agg(
+        F.max("n_tokens").alias("n_tokens")), "op1-hits")
 
 
 def token_counts(docs: DataFrame, cache: str, tokenizer: str | None = None,

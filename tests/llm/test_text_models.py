@@ -81,6 +81,19 @@ def test_cache_is_joined_and_only_misses_are_appended(spark, tmp_dir):
     assert spark.read.parquet(files).count() == len({r.text or "" for r in docs.collect()}) + 1
 
 
+def test_run_with_few_prefixes_reads_them_alone_and_an_empty_run_nothing(spark, tmp_dir):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)], "doc_id long, text string")
+    token_counts.update_cache(docs, tmp_dir, JSON)
+    few = docs.where("doc_id IN (3, 5)")
+    counts = token_counts.update_cache(few, tmp_dir, JSON)
+    assert {r.content_digest for r in counts.collect()} == {
+        hashlib.sha256(f"text {i}".encode()).hexdigest() for i in (3, 5)}
+    assert token_counts.token_counts(few, tmp_dir).count() == 2
+    assert token_counts.update_cache(docs.limit(0), tmp_dir, JSON).count() == 0
+    files = f"{tmp_dir}/tokenizer={token_counts.tokenizer_version(JSON)}"
+    assert spark.read.parquet(files).count() == 400
+
+
 # --- 4: personal data -------------------------------------------------------------
 
 RULES = (re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
