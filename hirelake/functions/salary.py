@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +18,11 @@ SALARY_SCALE_BELOW = 1000
 SALARY_SCALE_FACTOR = 1000
 NOT_AVAILABLE = "Not available"
 
+# Decimal digits of every script and the ASCII digits of the same values.
+OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1))
+                       if unicodedata.category(c) == "Nd")
+SAME_DIGITS = "".join(str(unicodedata.decimal(c)) for c in OTHER_DIGITS)
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -23,9 +31,12 @@ def _col(c) -> Column:
 def salary_numbers(text) -> Column:
     """Every number in the text, "k" applied, in order of appearance.
 
-    A number whose digits Java cannot parse (non-ASCII digits) gives NULL.
+    Digits of other scripts count by their values; only texts that are not ASCII
+    are translated.
     """
-    cleaned = F.regexp_replace(F.lower(_col(text)), ",", "")
+    lowered = F.regexp_replace(F.lower(_col(text)), ",", "")
+    cleaned = F.when(lowered.rlike(r"[^\x00-\x7F]"),
+                     F.translate(lowered, OTHER_DIGITS, SAME_DIGITS)).otherwise(lowered)
     numbers = F.regexp_extract_all(cleaned, F.lit(SALARY_NUMBER_PATTERN), 1)
     suffixes = F.regexp_extract_all(cleaned, F.lit(SALARY_NUMBER_PATTERN), 2)
     return F.zip_with(

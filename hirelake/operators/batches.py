@@ -65,7 +65,13 @@ def build_batches(records: DataFrame, source: str, order_by: list[str],
         records.select(*[F.col(c).alias(k) for c, k in zip(order_by, keys)],
                        F.struct(*cols).alias("_rec")),
         keys)
-    batch_no = F.floor(F.col("_pos") / batch_size).cast("long")
+    return group_batches(positioned, source, ingested_at, batch_size)
+
+
+def group_batches(positioned: DataFrame, source: str, ingested_at: str, batch_size: int,
+                  first: int = 0) -> DataFrame:
+    """Envelopes of records ``_rec`` at positions ``_pos``, numbered from ``first``."""
+    batch_no = F.floor(F.col("_pos") / batch_size).cast("long") + F.lit(first).cast("long")
     grouped = (positioned.withColumn("batch_no", batch_no)
                .groupBy("batch_no")
                .agg(F.sort_array(F.collect_list(F.struct("_pos", "_rec"))).alias("_items")))

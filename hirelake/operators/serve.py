@@ -143,7 +143,8 @@ def apply_filters(summary: DataFrame, salary: DataFrame, detail: DataFrame,
     from the date-filtered summary; contract times from the salary table and
     filter salary and detail (not summary); sources from the detail only.
     """
-    summary, detail = _days(summary, dates), _days(detail, dates)
+    summary, salary, detail = (df.drop("dt") for df in (_days(summary, dates), salary,
+                                                        _days(detail, dates)))
     s = filter_facet(summary, "ingestion_date", dates)
     d = filter_facet(detail, "ingestion_date", dates, source=summary)
     s_before = s

@@ -24,10 +24,10 @@ from hirelake.operators import batches, bronze, gold, quality, quarantine, serve
 from hirelake.operators.normalize import normalize_flat, normalize_nested
 from hirelake.plans import feeds
 from hirelake.plans.oracle import TS, q
-from hirelake.schemas import (COMMON_COLUMNS, JOBS_DETAIL_COLUMNS, LINEAGE_COLUMNS,
+from hirelake.schemas import (COMMON_COLUMNS, JOBS_DETAIL_COLUMNS, LINEAGE_COLUMNS, envelope,
                               NESTED_RECORD)
 from hirelake.session import scratch_path, stored
-from hirelake.sources import export, lake, search_index
+from hirelake.sources import carry, export, file_ranges, lake, search_index
 
 INGESTION_DATE = feeds.INGESTION_DATE
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -148,6 +148,29 @@ def s3_batches(spark, sf):
                       F.element_at("records", -1)["k"].alias("last_key"), "batch_id")
 
 
+RUNS = 3    # portions in which the carried batches arrive, every record in one of them
+
+
+@register("s3_carried_batches", q(f"""
+SELECT sha256('adzuna|{feeds.FIRST_INGEST}|' || CAST(batch_no AS VARCHAR)) AS batch_id,
+  count(*) AS record_count, min_by(k, pos) AS first_key, max_by(k, pos) AS last_key
+FROM (SELECT k, pos, CAST(floor(pos / 100) AS BIGINT) AS batch_no FROM (
+  SELECT k, row_number() OVER (ORDER BY k % {RUNS}, k) - 1 AS pos FROM nested_src))
+GROUP BY batch_no"""))
+def s3_carried_batches(spark, sf):
+    """S3 over three runs, which hold all records, and the rest landed at the end."""
+    src = feeds.nested_source_rows(spark, sf).select("k", "job.*")
+    root = scratch_path(spark, "carried")
+    for run in range(RUNS):
+        carry.land(src.where(F.col("k") % RUNS == run), root, "adzuna", feeds.RUN_DATE,
+                   f"run {run}", ["k"], 100, feeds.FIRST_INGEST)
+    carry.close(spark, root, "adzuna", feeds.RUN_DATE, "end", 100, feeds.FIRST_INGEST)
+    env = carry.read_landed(spark, root, "adzuna", schema=envelope(src.schema))
+    return env.select("batch_id", "record_count",
+                      F.element_at("records", 1)["k"].alias("first_key"),
+                      F.element_at("records", -1)["k"].alias("last_key"))
+
+
 @register("b4_bronze_gate", q(f""", {ENVELOPE_SQL.strip()}
 SELECT count(DISTINCT batch_no) AS rows, CAST(0 AS BIGINT) AS null_records,
   count(DISTINCT batch_no) AS nonnull_records, count(DISTINCT batch_no) AS nonnull_batch_id,
@@ -577,7 +600,10 @@ def d16_no_salaries(spark, sf):
 
 
 def _ranked_top(detail, how, n=10):
-    top = serve.top_jobs(detail, how, n).select("job_id", "posted_date", "salary_avg")
+    return _ranked(serve.top_jobs(detail, how, n), how)
+
+
+def _ranked(top, how):
     order = {serve.SORT_NEWEST: [F.desc_nulls_last("posted_date")],
              serve.SORT_HIGHEST: [F.desc_nulls_last("salary_avg")],
              serve.SORT_LOWEST: [F.asc_nulls_last("salary_avg")]}[how]
@@ -604,6 +630,30 @@ def d18_d19_top_jobs(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _ranged_root(spark, sf):
+    """The stored Gold with the ranges of its detail files."""
+    root = served_root(spark, sf)
+    if ("ranges", root) not in _SERVED:
+        file_ranges.index_ranges(spark, root, feeds.RUN_DATE)
+        _SERVED["ranges", root] = root
+    return root
+
+
+@register("d15_stored_bounds", CATALOG["d15_salary_bounds"].sql)
+def d15_stored_bounds(spark, sf):
+    """D15 from the files' ranges; no file of the day is opened."""
+    return file_ranges.salary_bounds(spark, _ranged_root(spark, sf), feeds.RUN_DATE)
+
+
+@register("d18_d19_stored_top_jobs", CATALOG["d18_d19_top_jobs"].sql)
+def d18_d19_stored_top_jobs(spark, sf):
+    """D18 and D19 over the stored day, by its files' ranges."""
+    root = _ranged_root(spark, sf)
+    parts = [_ranked(file_ranges.top_jobs(spark, root, feeds.RUN_DATE, how)[0], how) for how in
+             (serve.SORT_NEWEST, serve.SORT_HIGHEST, serve.SORT_LOWEST)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("d22_salary_melt", q("""
 SELECT contract_time, 'avg_salary_min' AS salary_type, avg_salary_min AS salary FROM salary_an
 UNION ALL SELECT contract_time, 'avg_salary_max', avg_salary_max FROM salary_an"""))

@@ -24,7 +24,8 @@ from hirelake.functions.time import to_date_path, to_dt
 from hirelake.operators import bronze, gold, quality, quarantine, serve, states
 from hirelake.operators.silver import SilverMetrics, silver_transform
 from hirelake.schemas import SILVER_COLUMNS
-from hirelake.sources import jdbc, lake, search_index, versions
+from hirelake.plans import serving
+from hirelake.sources import file_ranges, jdbc, lake, search_index, versions
 from hirelake.sources.registry import SOURCES, source_spec
 
 log = logging.getLogger("hirelake.pipeline")
@@ -186,7 +187,8 @@ def fresh_states(spark: SparkSession, dt: str, silver_root: str, root: str, buil
 
 def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
              exact_median: bool = True, salary_by_date: bool = False,
-             search_signatures: bool = False, keep_states: bool = False) -> dict:
+             search_signatures: bool = False, keep_states: bool = False,
+             ranges: bool = False) -> dict:
     """The three Gold tables of one day, written in the reference's order, and the
     dashboard's facets (D1).
 
@@ -217,6 +219,8 @@ def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
         counts[name] = obs.get["rows"]
     if search_signatures:
         search_index.index_search(spark, gold_root, dt)
+    if ranges:
+        file_ranges.index_ranges(spark, gold_root, dt)
     log.info("Gold %s: %s", dt, counts)
     return counts
 
@@ -224,12 +228,12 @@ def run_gold(spark: SparkSession, dt: str, silver_root: str, gold_root: str,
 def run_pipeline(spark: SparkSession, sources: list[str], dt: str, bronze_root: str,
                  silver_root: str, gold_root: str, exact_median: bool = True,
                  salary_by_date: bool = False, search_signatures: bool = False,
-                 **silver_options) -> dict:
+                 ranges: bool = False, **silver_options) -> dict:
     """Silver with the Bronze gates on its scan, then Gold."""
     dt = to_dt(dt)
     silver_result = run_silver(spark, sources, dt, bronze_root, silver_root, **silver_options)
     gold_counts = run_gold(spark, dt, silver_root, gold_root, exact_median, salary_by_date,
-                           search_signatures)
+                           search_signatures, ranges=ranges)
     return {"bronze": silver_result["bronze"], "silver": silver_result, "gold": gold_counts}
 
 
@@ -239,8 +243,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--date", required=True, type=to_dt,
                    help="run date, YYYY-MM-DD (YYYY/MM/DD accepted)")
     p.add_argument("--sources", nargs="+", default=list(SOURCES), choices=list(SOURCES))
-    p.add_argument("--stage", default="all", choices=["all", "bronze", "silver", "gold", "load"],
-                   help="one stage alone; load copies Gold into the serving database")
+    p.add_argument("--stage", default="all", choices=["all", "bronze", "silver", "gold", "load", "export"],
+                   help="one stage alone; load copies Gold into the serving database, "
+                        "export writes the dashboard's views over all days as CSV")
     p.add_argument("--bronze-root")
     p.add_argument("--silver-root")
     p.add_argument("--gold-root")
@@ -254,6 +259,13 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--salary-by-date", action="store_true")
     p.add_argument("--search-signatures", action="store_true",
                    help="write the signatures by which keyword searches skip files")
+    p.add_argument("--file-ranges", action="store_true",
+                   help="write the ranges by which bounds and first jobs skip files")
+    p.add_argument("--export-root", help="folder of the CSV views, for --stage export")
+    for name in ("dates", "categories", "contract-times", "job-sources"):
+        p.add_argument(f"--{name}", nargs="*", default=None,
+                       help="the dashboard's filter: all known values unless given, none if empty")
+    p.add_argument("--keyword", help="the explorer's keyword, for --stage export")
     p.add_argument("--jdbc-url", help="serving database, for --stage load")
     p.add_argument("--load-mode", default="append", choices=["append", "refresh"])
     p.add_argument("--approx-median", dest="exact_median", action="store_false",
@@ -261,7 +273,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     args = p.parse_args(argv)
     needs = {"all": ["bronze_root", "silver_root", "gold_root"], "bronze": ["bronze_root"],
              "silver": ["bronze_root", "silver_root"], "gold": ["silver_root", "gold_root"],
-             "load": ["gold_root", "jdbc_url"]}[args.stage]
+             "load": ["gold_root", "jdbc_url"], "export": ["gold_root", "export_root"]}[args.stage]
     missing = [f"--{n.replace('_', '-')}" for n in needs if not getattr(args, n)]
     bad = [s for s in args.severity if s.partition("=")[2] not in quality.LEVELS]
     if missing or bad:
@@ -282,14 +294,19 @@ def run_stage(spark: SparkSession, args: argparse.Namespace) -> dict:
                           multi_line=multi_line, **checks)
     if args.stage == "gold":
         return run_gold(spark, args.date, args.silver_root, args.gold_root, args.exact_median,
-                        args.salary_by_date, args.search_signatures)
+                        args.salary_by_date, args.search_signatures, ranges=args.file_ranges)
     if args.stage == "load":
         return jdbc.load_serving(spark, args.gold_root, args.date, args.jdbc_url,
                                  mode=args.load_mode)
+    if args.stage == "export":
+        return serving.export_dashboard(
+            spark, args.gold_root, args.export_root, dates=args.dates, categories=args.categories,
+            contract_times=args.contract_times, sources=args.job_sources, keyword=args.keyword)
     return run_pipeline(spark, args.sources, args.date, args.bronze_root, args.silver_root,
                         args.gold_root, exact_median=args.exact_median, multi_line=multi_line,
                         salary_by_date=args.salary_by_date,
-                        search_signatures=args.search_signatures, **checks)
+                        search_signatures=args.search_signatures, ranges=args.file_ranges,
+                        **checks)
 
 
 def main(argv=None) -> dict:

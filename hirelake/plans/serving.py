@@ -6,12 +6,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelake.operators import serve
-from hirelake.sources import lake
+from hirelake.sources import export, lake
 
 
 def gold_views(spark: SparkSession, gold_root: str, dt: str | None = None):
-    """(summary, salary, detail) of one day, or of all days."""
-    return tuple(lake.read_gold(spark, gold_root, t, dt) for t in lake.GOLD_TABLES)
+    """(summary, salary, detail) of one day, or of all days with the partition column
+    ``dt``, by which ``serve.apply_filters`` opens only the chosen days' folders."""
+    return tuple(lake.read_gold(spark, gold_root, t, dt, keep_dt=dt is None)
+                 for t in lake.GOLD_TABLES)
+
+
+def export_dashboard(spark: SparkSession, gold_root: str, folder: str, **choice) -> dict[str, str]:
+    """Every dashboard view for one selection as a folder of CSV files (the three
+    downloads under their fixed names); returns view -> path."""
+    views = dashboard(*gold_views(spark, gold_root), **choice)
+    paths = {}
+    for name, df in views.items():
+        paths[name] = f"{folder.rstrip('/')}/{export.VIEW_FILES.get(name, name)}"
+        export.write_csv(df, paths[name])
+    return paths
 
 
 def dashboard(summary: DataFrame, salary: DataFrame, detail: DataFrame, *,

@@ -97,3 +97,10 @@ def test_run_dates():
     assert to_dt("2026/05/20") == "2026-05-20"
     with pytest.raises(ValueError):
         to_dt("2026-13-01")
+
+
+def test_salary_digits_of_other_scripts(spark):
+    texts = ["\u0663\u0660\u0660\u0660 - \u0664\u0665\u0660\u0660.\u0665", "\uff15\uff10k", "\U0001d7d9\U0001d7d8k a year", "\u4e09"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_salary_text("t").alias("p"))
+    assert [tuple(r.p) for r in got.collect()] == [(3000.0, 4500.5), (50000.0, 50000.0), (10000.0, 10000.0),
+                                                   (None, None)]
