@@ -39,8 +39,13 @@ def deduplicate_latest(df: DataFrame, key: str = "job_id") -> DataFrame:
     then the remaining columns as a total tie-break, so a retried task can never
     pick another survivor. Implemented as ``max(struct(order..., row...))`` per
     key: an aggregate with map-side partial aggregation, so a key that holds a
-    third of all rows is folded to one row per input partition before the
-    shuffle (a window would send it whole to one task).
+    third of all rows is folded to one row per partition before the shuffle (a
+    window would send it whole to one task).
+
+    That fold sorts whole rows, as many as a task holds; an input file's split may
+    hold millions. So rows are dealt first to partitions of bounded size, whatever
+    the input's splits are, and each is sorted in memory. They are dealt by
+    key and lineage: a hot key's copies are spread, and a retry deals them alike.
     """
     lineage = [c for c in LINEAGE_COLUMNS if c in df.columns]
     rest = [c for c in df.columns if c != key and c not in lineage]
@@ -50,7 +55,7 @@ def deduplicate_latest(df: DataFrame, key: str = "job_id") -> DataFrame:
     if "batch_id" in lineage:
         order.append(F.col("batch_id").alias("_o_batch"))
     best = F.max(F.struct(*order, *[F.col(c) for c in lineage + rest])).alias("_best")
-    return (df.groupBy(key).agg(best)
+    return (df.hint("rebalance", *[F.col(c) for c in [key, *(lineage or rest[:1])]]).groupBy(key).agg(best)
             .select(key, *[F.col(f"_best.{c}").alias(c) for c in lineage + rest]))
 
 

@@ -13,6 +13,9 @@ touches (``merge_silver``).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
@@ -34,6 +37,8 @@ DETAIL_CLUSTER = ("category_label", "contract_time", "source")
 # jobs_detail): a large day is split into bounded files however few tasks
 # write it.
 MAX_RECORDS_PER_FILE = 2_000_000
+# Bytes of files that a task of jobs_detail reads at most: it sorts their rows in memory.
+DETAIL_SPLIT = 32 << 20
 # The dashboard's facet values with their counts, written beside the Gold tables.
 FACETS = "facets"
 # Gold tables small enough to store as one file: one row per group of a
@@ -201,6 +206,19 @@ def gold_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+@contextmanager
+def _split_at(spark: SparkSession, size: int) -> Iterator[None]:
+    """Scans that run inside take ``size`` bytes of files a task, or what is set if less."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    least = min(size, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    spark.conf.set(name, str(least))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_gold(df: DataFrame, root: str, table: str, dt: str) -> None:
     """Overwrite one day of a Gold table. The two aggregates go to one
     file; jobs_detail, one row per job, is written by as many tasks as it has
@@ -214,7 +232,8 @@ def write_gold(df: DataFrame, root: str, table: str, dt: str) -> None:
         order = [c for c in DETAIL_CLUSTER if c in df.columns]
         out = df.sortWithinPartitions(*order) if order else df
     after, run = versions.current(spark, path, dt), versions.new_run(dt)
-    out.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(f"{path}/{run}")
+    with _split_at(spark, DETAIL_SPLIT):
+        out.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(f"{path}/{run}")
     versions.publish(spark, path, dt, after, df.schema.json(), {versions.WHOLE: run})
     versions.expire(spark, path, dt)
 

@@ -123,3 +123,13 @@ def test_union_widens_numeric(spark):
     a = spark.createDataFrame([(1,)], "x long")
     b = spark.createDataFrame([(1.5,)], "x double")
     assert dict(silver.union_sources([a, b]).dtypes)["x"] == "double"
+
+
+def test_dedup_sorts_bounded_partitions(spark):
+    """Rows are dealt to partitions of bounded size before the fold that sorts them,
+    and the fold comes before the shuffle by key."""
+    df = _common(spark, [{"job_id": "a", "ingested_at": "t", "batch_id": "1"}])
+    plan = silver.deduplicate_latest(df)._jdf.queryExecution().executedPlan().toString()
+    final, fold, dealt = plan.index("ENSURE_REQUIREMENTS"), plan.index("partial_max"), \
+        plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert final < fold < dealt

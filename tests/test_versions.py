@@ -134,3 +134,19 @@ def test_carried_figures_add_up(spark, tmp_dir):
     merged = lake.merge_silver(_jobs(spark, [("j0", "now", "y", "c"), ("new", None, "y", "c")]), tmp_dir, DT)
     got = merged.measure(quality.check_aggregates(merged.rows()))
     assert (got["rows"], got["required_field:title"]) == (101, 20)
+
+
+def test_detail_is_sorted_in_bounded_splits(spark, tmp_dir, monkeypatch):
+    import glob
+    rows = spark.range(20000).selectExpr("cast(id AS string) AS job_id", "uuid() AS category_label",
+                                         "'x' AS contract_time", "'s' AS source")
+    rows.coalesce(1).write.option("parquet.block.size", 1 << 16).parquet(f"{tmp_dir}/rows")
+    monkeypatch.setattr(lake, "DETAIL_SPLIT", 1 << 17)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    opened = spark.conf.get("spark.sql.files.openCostInBytes")
+    lake.write_gold(spark.read.parquet(f"{tmp_dir}/rows"), f"{tmp_dir}/gold", "jobs_detail", "2026-05-20")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == opened
+    assert len(glob.glob(f"{tmp_dir}/gold/jobs_detail/dt=2026-05-20/*/*.parquet")) > 1
+    back = lake.read_gold(spark, f"{tmp_dir}/gold", "jobs_detail", "2026-05-20")
+    assert back.count() == 20000 and back.select("job_id").distinct().count() == 20000
