@@ -12,6 +12,8 @@ VIEW_FILES = {"detail": "jobs_detail_filtered", "summary": "jobs_summary_filtere
 CSV_QUOTING = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false", "emptyValue": "",
                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+# Fields may span lines, so a reader takes each file whole in one task: rows of a file.
+FILE_ROWS = 200_000
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
@@ -19,9 +21,11 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 
     Written in parallel by the frame's tasks; NULL and the empty text are both an
     empty field (read back as NULL), as pandas writes them. A quote inside a field is doubled, and a field with a
-    quote, comma or line break is quoted, so any CSV reader gets it back.
+    quote, comma or line break is quoted, so any CSV reader gets it back. A task writes
+    a file for every ``FILE_ROWS`` rows, since ``read_csv`` cannot split files.
     """
-    df.write.mode(mode).options(**CSV_QUOTING).option("header", header).csv(path)
+    (df.write.mode(mode).options(**CSV_QUOTING).option("header", header)
+     .option("maxRecordsPerFile", FILE_ROWS).csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:

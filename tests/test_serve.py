@@ -211,3 +211,14 @@ def test_csv_keeps_quotes_commas_and_line_breaks(spark, tmp_dir):
         got = export.read_csv(spark, path, df.schema).collect()
         want = [(a or None, b, n) for a, b, n in rows]     # empty text and NULL are one
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_csv_files_hold_bounded_rows(spark, tmp_dir, monkeypatch):
+    import glob
+    from hirelake.sources import export
+    monkeypatch.setattr(export, "FILE_ROWS", 10)
+    df = spark.range(35).selectExpr("id", "concat('a\n', id) AS title").coalesce(1)
+    export.write_csv(df, f"{tmp_dir}/bounded")
+    assert len(glob.glob(f"{tmp_dir}/bounded/*.csv")) == 4
+    back = export.read_csv(spark, f"{tmp_dir}/bounded", df.schema)
+    assert sorted(map(tuple, back.collect())) == [(i, f"a\n{i}") for i in range(35)]
