@@ -44,14 +44,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import Bits, Words, mix, parts, read, ship, stored
+from hirelake.llm.common import Bits, Words, mix, parts, read, ship, stored, tidy
 
 LEAST = 30                # occurrences of a candidate
 TOP = 2000
 DEPTH = 4
 INSIDE = 80               # percent of occurrences inside a longer phrase that drop one
 BUDGET = 1 << 18          # suffix rows of a group
-HELD = 1 << 19            # words counted together in a task
+HELD = 1 << 18            # words counted together in a task
 BITS = 25                 # size of the bitmaps, a power of two
 BUCKETS = 64              # salted buckets of a language's first top
 _KEY = [f"h{i + 1}" for i in range(DEPTH)]
@@ -90,7 +90,7 @@ class _Tokens:
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[_Tokens]:
     for batch in batches:
         text = batch.column("text")
-        for a, b in parts(text, 1 << 21):
+        for a, b in parts(text, 1 << 20):
             yield _Tokens(text.slice(a, b - a), batch.column("lang").slice(a, b - a))
 
 
@@ -256,15 +256,15 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     ship(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
-    words = stored(texts.mapInArrow(_word_rows, "h long, lang string, word string, c long").groupBy(
+    words = stored(texts.mapInArrow(tidy(_word_rows), "h long, lang string, word string, c long").groupBy(
         "h", "lang", "word").agg(F.sum("c").alias("f")), "op11-words")
     often = Bits(words.filter(F.col("f") >= least), "h", size=BITS)
     pairs = stored(texts.mapInArrow(
-        _counted(["h1", "h2"], _pair_rows(often)), "h1 long, h2 long, c long").groupBy(
+        tidy(_counted(["h1", "h2"], _pair_rows(often))), "h1 long, h2 long, c long").groupBy(
         "h1", "h2").agg(F.sum("c").alias("f")).filter(F.col("f") >= least), "op11-pairs")
-    linked = Bits(pairs.mapInArrow(_pair_keys, "key long"), "key", size=BITS)
+    linked = Bits(pairs.mapInArrow(tidy(_pair_keys), "key long"), "key", size=BITS)
     suffixes = stored(texts.mapInArrow(
-        _counted(_KEY, _suffix_rows(often, linked)),
+        tidy(_counted(_KEY, _suffix_rows(often, linked))),
         ", ".join(f"{c} long" for c in [*_KEY, "c"])), "op11-suffixes")
     nodes = _grouped(suffixes, budget).groupBy("part").applyInArrow(
         _subtree(least), ", ".join(f"{c} long" for c in [*_KEY, "f"]))

@@ -54,7 +54,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import (Bits, Words, mix, numbered, read, small_batches, stored,
+from hirelake.llm.common import (Bits, Words, mix, numbered, read, small_batches, stored, tidy,
                                  window_hash)
 from hirelake.llm.components import components
 
@@ -322,12 +322,12 @@ def _links(texts: DataFrame, sets: DataFrame, words: int, percent: int,
     classes that ``a`` links with."""
     n = max(sets.count(), 1)
     chosen = Bits(sets, "key", size=min(27, max(16, (8 * n).bit_length())))
-    heads = texts.mapInArrow(_head_rows(words, percent, chosen), "shingle long")
+    heads = texts.mapInArrow(tidy(_head_rows(words, percent, chosen)), "shingle long")
     common = Bits(heads.groupBy("shingle").count().filter(F.col("count") >= SHORT), "shingle")
-    firsts = texts.mapInArrow(_prefix_rows(words, percent, chosen, common), "shingle long")
+    firsts = texts.mapInArrow(tidy(_prefix_rows(words, percent, chosen, common)), "shingle long")
     shared = Bits(firsts.groupBy("shingle").count().filter("count > 1"), "shingle", size=25)
     postings = stored(texts.mapInArrow(
-        _posting_rows(words, percent, chosen, common, shared),
+        tidy(_posting_rows(words, percent, chosen, common, shared)),
         "shingle long, key long, n int, at int"), "op7-postings")
     counts = stored(postings.groupBy("shingle").agg(
         F.count("*").alias("m"), F.min("key").alias("leader")).filter("m > 1"), "op7-counts")
@@ -361,7 +361,7 @@ def _links(texts: DataFrame, sets: DataFrame, words: int, percent: int,
              for c in ("a", "b")]
     cells = stored(_cells(members, percent).unionByName(stars[0].distinct()).unionByName(stars[1]),
                    "op7-compared")
-    fetched = texts.mapInArrow(_fetch_rows(words, Bits(cells, "key")),
+    fetched = texts.mapInArrow(tidy(_fetch_rows(words, Bits(cells, "key"))),
                                "key long, shingles array<long>")
     if repeats:                       # rows that repeat id and text: one set
         fetched = fetched.dropDuplicates(["key"])
@@ -383,7 +383,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
     rows = _rows(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     each = stored(rows.mapInArrow(
-        _set_rows(words), f"doc_id {kind}, key long, key2 long, n long, d1 long, d2 long, "
+        tidy(_set_rows(words)), f"doc_id {kind}, key long, key2 long, n long, d1 long, d2 long, "
                           "sketch array<long>"), "op7-documents")
     repeats = not each.groupBy("key").count().filter("count > 1").isEmpty()
     classes = each.filter("n > 0").groupBy("d1", "d2").agg(

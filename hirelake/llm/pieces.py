@@ -34,6 +34,7 @@ given; remembered chunks and pairs are bounded and then forgotten.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -44,13 +45,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from hirelake.llm.common import mix, read, small_batches
+from hirelake.llm.common import mix, read, small_batches, tidy
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 MEMO_CHUNKS = 600_000
 MEMO_PAIRS = 21           # places for remembered pairs, a power of two
-GROUP = 500_000           # characters of chunks that advance together, at most
+GROUP = 250_000           # characters of chunks that advance together, at most
 _BASE = np.uint64(0xD1342543DE82EF95)
 _LEAD = 18                # leading bits of a hash by which pieces are found
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -96,8 +97,8 @@ class Pieces:
         self.whole = np.zeros(n, dtype=bool)            # do merges give the piece at all?
         self.first = n                      # state codes: n = start, n + 1 = unknown
         self.width = n + 2
-        self.pair_codes = np.full(1 << MEMO_PAIRS, -1, dtype=np.int64)
-        self.pair_fits = np.zeros(1 << MEMO_PAIRS, dtype=bool)
+        self.pair_codes: np.ndarray | None = None       # decoding needs no pairs
+        self.pair_fits: np.ndarray | None = None
         self.memo: dict[str, bytes] = {}
         probe = "Ａ ﬁ  x \t\ny "
         self.plain_text = model.normalize(probe) == SPACE + probe.replace(" ", SPACE)
@@ -198,6 +199,9 @@ class Pieces:
 
     def _fits(self, codes: np.ndarray) -> np.ndarray:
         """May the piece follow the state? For each code state * width + piece."""
+        if self.pair_codes is None:
+            self.pair_codes = np.full(1 << MEMO_PAIRS, -1, dtype=np.int64)
+            self.pair_fits = np.zeros(1 << MEMO_PAIRS, dtype=bool)
         slot = (codes.astype(np.uint64) * _BASE >> np.uint64(64 - MEMO_PAIRS)).astype(np.int64)
         out = self.pair_fits[slot]
         missed = np.flatnonzero(self.pair_codes[slot] != codes)
@@ -306,26 +310,29 @@ class Pieces:
                 part = group[i:i + step]
                 self.memo.update(zip(part, self._spelt(*self._segment(part))))
 
+    def _cut(self, text: str) -> list[str]:
+        """The chunks of a text."""
+        if not text:
+            return []
+        if not self.plain_text:
+            return _CHUNK.findall(self.normalize(text))
+        words = text.split(" ")
+        if "" in words or SPACE in text:
+            return _CHUNK.findall(SPACE + text.replace(" ", SPACE))
+        return [SPACE + w for w in words]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
+        """The ids of each text. Texts are cut twice, so that the chunks of one are held
+        at a time, and of all only those to learn."""
         if len(self.memo) > MEMO_CHUNKS:
             self.memo.clear()
-        cut = []
+        new: set[str] = set()
         for t in texts:
-            if not t:
-                cut.append([])
-                continue
-            if not self.plain_text:
-                cut.append(_CHUNK.findall(self.normalize(t)))
-                continue
-            words = t.split(" ")
-            if "" in words or SPACE in t:
-                cut.append(_CHUNK.findall(SPACE + t.replace(" ", SPACE)))
-            else:
-                cut.append([SPACE + w for w in words])
-        self._learn(set().union(*cut))
+            new.update(itertools.filterfalse(self.memo.__contains__, self._cut(t)))
+        self._learn(new)
+        new.clear()
         get = self.memo.__getitem__
-        return [np.frombuffer(b"".join(map(get, c)), dtype="<i4") for c in cut]
+        return [np.frombuffer(b"".join(map(get, self._cut(t))), dtype="<i4") for t in texts]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -373,7 +380,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text",
         model.memo.clear()         # the worker may live on, idle
 
     schema = StructType([*rest.schema.fields, StructField(ids_col, ArrayType(IntegerType()))])
-    return rest.mapInArrow(run, schema)
+    return rest.mapInArrow(tidy(run), schema)
 
 
 def decode(rows: DataFrame, path: str | None = None, ids_col: str = "token_ids",
@@ -393,7 +400,7 @@ def decode(rows: DataFrame, path: str | None = None, ids_col: str = "token_ids",
                                              names=[*batch.schema.names, out_col])
 
     schema = StructType([*rest.schema.fields, StructField(out_col, StringType())])
-    return rest.mapInArrow(run, schema)
+    return rest.mapInArrow(tidy(run), schema)
 
 
 def run(spark, sf_dir) -> DataFrame:

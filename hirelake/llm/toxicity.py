@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import mix, read, small_batches, stored
+from hirelake.llm.common import mix, read, small_batches, stored, tidy
 
 GRAMS = (4, 5)
 BUCKETS = 1 << 18
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     nothing = Model(np.zeros(0, np.int64), np.zeros(0), float(prior))
     if not n0 or not n1:
         return nothing
-    sums = rows.mapInArrow(_count, "bucket long, n0 long, n1 long").groupBy("bucket").agg(
+    sums = rows.mapInArrow(tidy(_count), "bucket long, n0 long, n1 long").groupBy("bucket").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).filter(
         F.col("n0") + F.col("n1") >= MIN_DOCS).orderBy("bucket").toArrow()
     bucket, c0, c1 = (sums.column(i).to_numpy().astype(float) for i in range(3))
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     best = np.sort(np.argsort(-chi, kind="stable")[:FEATURES])
     features = bucket[best].astype(np.int64)
     ratio = np.log((c1[best] + 1) / (n1 + 2)) - np.log((c0[best] + 1) / (n0 + 2))
-    held = rows.mapInArrow(_selected(features), "doc_id long, toxic int, held array<int>") \
+    held = rows.mapInArrow(tidy(_selected(features)), "doc_id long, toxic int, held array<int>") \
         .orderBy("doc_id").toArrow()
     lists = held.column("held").combine_chunks()
     weights, bias = _logistic(lists.offsets.to_numpy(), lists.values.to_numpy(),
@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
                 names=["doc_id", "held_out", "score", "predicted"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5,
@@ -204,7 +204,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5,
             keep = _probabilities(model, batch.column(place)) < threshold
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def run(spark, sf_dir) -> DataFrame:
