@@ -28,7 +28,9 @@ not UTF-8 decode to U+FFFD. Rows, repeated or with null ids, pass through one to
 one, extra columns too; an empty table gives an empty result.
 
 Plan: one pass without a shuffle. Each task reads the model file at the path
-given; remembered chunks and pairs are bounded and then forgotten.
+given; remembered chunks and pairs are bounded and then forgotten. ``encode`` and
+``decode`` one after the other would need two Python workers a task, each with the
+model; ``encode_decode`` does both in one.
 """
 
 from __future__ import annotations
@@ -49,9 +51,9 @@ from hirelake.llm.common import mix, read, small_batches, tidy
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 200_000
 MEMO_PAIRS = 21           # places for remembered pairs, a power of two
-GROUP = 250_000           # characters of chunks that advance together, at most
+GROUP = 1 << 16           # characters of chunks that advance together, at most
 _BASE = np.uint64(0xD1342543DE82EF95)
 _LEAD = 18                # leading bits of a hash by which pieces are found
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -360,14 +362,11 @@ def _parts(texts: list[str | None], chars: int = 1 << 22) -> Iterator[list[str]]
         yield part
 
 
-def encode(docs: DataFrame, path: str | None = None, text_col: str = "text",
-           ids_col: str = "token_ids", kind: str = "bpe") -> DataFrame:
-    """``docs`` with the ids of its texts as an array column (replaced if there)."""
-    path = path or public_tokenizers.path(MODEL)
-    small_batches(docs.sparkSession, 1000)
-    rest = docs.drop(ids_col)
-    place = rest.columns.index(text_col)
+_IDS, _TEXT = ArrayType(IntegerType()), StringType()
 
+
+def _encoder(path: str, kind: str, place: int, name: str):
+    """Batches with the ids of their texts as one column more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path, kind)
         for batch in batches:
@@ -375,12 +374,33 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text",
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+            del ids, ends, flat
             yield pa.RecordBatch.from_arrays([*batch.columns, lists],
-                                             names=[*batch.schema.names, ids_col])
+                                             names=[*batch.schema.names, name])
         model.memo.clear()         # the worker may live on, idle
+    return run
+
+
+def _decoder(path: str, kind: str, place: int, name: str):
+    """Batches with the text of their ids as one column more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pieces(path, kind)
+        for batch in batches:
+            texts = [model.decode(np.array(x.values.to_numpy() if x.is_valid else [], dtype=int))
+                     for x in batch.column(place)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
+                                             names=[*batch.schema.names, name])
+    return run
 
-    schema = StructType([*rest.schema.fields, StructField(ids_col, ArrayType(IntegerType()))])
-    return rest.mapInArrow(tidy(run), schema)
+
+def encode(docs: DataFrame, path: str | None = None, text_col: str = "text",
+           ids_col: str = "token_ids", kind: str = "bpe") -> DataFrame:
+    """``docs`` with the ids of its texts as an array column (replaced if there)."""
+    path = path or public_tokenizers.path(MODEL)
+    small_batches(docs.sparkSession, 1000)
+    rest = docs.drop(ids_col)
+    task = _encoder(path, kind, rest.columns.index(text_col), ids_col)
+    return rest.mapInArrow(tidy(task), StructType([*rest.schema.fields, StructField(ids_col, _IDS)]))
 
 
 def decode(rows: DataFrame, path: str | None = None, ids_col: str = "token_ids",
@@ -389,25 +409,29 @@ def decode(rows: DataFrame, path: str | None = None, ids_col: str = "token_ids",
     path = path or public_tokenizers.path(MODEL)
     small_batches(rows.sparkSession, 1000)
     rest = rows.drop(out_col)
-    place = rest.columns.index(ids_col)
+    task = _decoder(path, kind, rest.columns.index(ids_col), out_col)
+    return rest.mapInArrow(tidy(task), StructType([*rest.schema.fields, StructField(out_col, _TEXT)]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(path, kind)
-        for batch in batches:
-            texts = [model.decode(np.array(x.values.to_numpy() if x.is_valid else [], dtype=int))
-                     for x in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, out_col])
 
-    schema = StructType([*rest.schema.fields, StructField(out_col, StringType())])
-    return rest.mapInArrow(tidy(run), schema)
+def encode_decode(docs: DataFrame, path: str | None = None, text_col: str = "text",
+                  ids_col: str = "token_ids", out_col: str = "decoded",
+                  kind: str = "bpe") -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker a task: each batch is encoded, and
+    the ids it gets are decoded."""
+    path = path or public_tokenizers.path(MODEL)
+    small_batches(docs.sparkSession, 1000)
+    rest = docs.drop(ids_col, out_col)
+    encoder = _encoder(path, kind, rest.columns.index(text_col), ids_col)
+    decoder = _decoder(path, kind, len(rest.columns), out_col)
+    schema = StructType([*rest.schema.fields, StructField(ids_col, _IDS), StructField(out_col, _TEXT)])
+    return rest.mapInArrow(tidy(lambda batches: decoder(encoder(batches))), schema)
 
 
 def run(spark, sf_dir) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256`` (ids as text, comma-joined),
     ``decoded_sha256, round_trip`` of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode(encode(docs))
+    back = encode_decode(docs)
     return back.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
