@@ -32,7 +32,7 @@ def drop_null_ids(df: DataFrame, observation: Observation | None = None) -> Data
     return df.where(F.col("job_id").isNotNull())
 
 
-def deduplicate_latest(df: DataFrame, key: str = "job_id") -> DataFrame:
+def deduplicate_latest(df: DataFrame, key: str = "job_id", bounded: bool = False) -> DataFrame:
     """One row per key, deterministically the latest copy.
 
     Order: latest ``ingested_at`` (as a timestamp), then highest ``batch_id``,
@@ -46,6 +46,8 @@ def deduplicate_latest(df: DataFrame, key: str = "job_id") -> DataFrame:
     hold millions. So rows are dealt first to partitions of bounded size, whatever
     the input's splits are, and each is sorted in memory. They are dealt by
     key and lineage: a hot key's copies are spread, and a retry deals them alike.
+    ``bounded``: the caller sees to it that each task's rows are few enough to be sorted
+    in memory, as those of a scan in small splits; this saves one shuffle of all rows.
     """
     lineage = [c for c in LINEAGE_COLUMNS if c in df.columns]
     rest = [c for c in df.columns if c != key and c not in lineage]
@@ -55,7 +57,8 @@ def deduplicate_latest(df: DataFrame, key: str = "job_id") -> DataFrame:
     if "batch_id" in lineage:
         order.append(F.col("batch_id").alias("_o_batch"))
     best = F.max(F.struct(*order, *[F.col(c) for c in lineage + rest])).alias("_best")
-    return (df.hint("rebalance", *[F.col(c) for c in [key, *(lineage or rest[:1])]]).groupBy(key).agg(best)
+    dealt = df if bounded else df.hint("rebalance", *[F.col(c) for c in [key, *(lineage or rest[:1])]])
+    return (dealt.groupBy(key).agg(best)
             .select(key, *[F.col(f"_best.{c}").alias(c) for c in lineage + rest]))
 
 
@@ -96,15 +99,16 @@ class SilverMetrics:
 
 def silver_transform(frames: DataFrame | Iterable[DataFrame],
                      metrics: SilverMetrics | None = None,
-                     keep_lineage: bool = False) -> DataFrame:
+                     keep_lineage: bool = False, bounded: bool = False) -> DataFrame:
     """Union -> NULL ids -> dedup -> contract codes -> salary scale -> keys.
 
     One lazy plan; with ``metrics`` the removed counts are observed during the
-    first action instead of costing counts of their own.
+    first action instead of costing counts of their own. ``bounded`` as in
+    ``deduplicate_latest``.
     """
     df = frames if isinstance(frames, DataFrame) else union_sources(frames)
     df = drop_null_ids(df, metrics.ids if metrics else None)
-    df = deduplicate_latest(df)
+    df = deduplicate_latest(df, bounded=bounded)
     df = standardize_contract_fields(df)
     df = scale_salaries(df)
     df = add_entity_ids(df)

@@ -195,6 +195,7 @@ def land_feeds(spark: SparkSession, sf_dir: str, bronze_root: str,
     """
     from hirelake.operators.batches import build_batches
     from hirelake.schemas import FLAT_RECORD, NESTED_RECORD
+    from hirelake.session import passing
     from hirelake.sources.lake import write_bronze
 
     nested = nested_source_rows(spark, sf_dir).select("k", "job.*")
@@ -209,6 +210,7 @@ def land_feeds(spark: SparkSession, sf_dir: str, bronze_root: str,
             (NESTED_SOURCE, updates, nested_cols, UPDATE_INGEST),
             (FLAT_SOURCE, flat, flat_cols, FIRST_INGEST)]
     for source, df, cols, ingested_at in runs:
-        env = build_batches(df, source, ["k"], FEED_BATCH_ROWS, ingested_at, cols)
-        write_bronze(env.drop("batch_no"), bronze_root, source, RUN_DATE,
-                     one_document_per_file=one_document_per_file)
+        with passing(spark):
+            env = build_batches(df, source, ["k"], FEED_BATCH_ROWS, ingested_at, cols)
+            write_bronze(env.drop("batch_no"), bronze_root, source, RUN_DATE,
+                         one_document_per_file=one_document_per_file)

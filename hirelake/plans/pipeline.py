@@ -124,10 +124,11 @@ def merge_batch(spark: SparkSession, frames: list, dt: str, silver_root: str,
     """N9/N15 incrementally: normalised rows of new batches merged into the stored day.
 
     Only the Silver buckets that hold one of their jobs are rewritten; the checks cover
-    the whole day, those of other buckets from the day's log.
+    the whole day, those of other buckets from the day's log. Frames are scans of Bronze.
     """
     metrics = SilverMetrics()
-    staged = lake.merge_silver(silver_transform(frames, metrics, keep_lineage=True), silver_root, dt)
+    staged = lake.merge_silver(silver_transform(frames, metrics, keep_lineage=True, bounded=True),
+                               silver_root, dt, dealt=True)
     return _checked(spark, staged, dt, silver_root, {"metrics": metrics.as_dict()}, severities,
                     fail_on, offenders, show_offenders)
 

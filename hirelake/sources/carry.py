@@ -27,9 +27,11 @@ from pyspark.sql.types import StructType
 
 from hirelake.functions.time import to_dt
 from hirelake.operators.batches import DEFAULT_BATCH_SIZE, group_batches, with_positions
+from hirelake.session import passing, released, split_at
 from hirelake.sources import versions
 from hirelake.sources.registry import source_spec
 
+SPLIT = 16 << 20      # bytes of positioned records that a task reads at most
 EVER = "1970-01-01"   # the log's label: a source's state belongs to no day of its own
 
 
@@ -74,30 +76,31 @@ def land(records: DataFrame, root: str, source: str, dt: str, token: str, order_
     fields = [c for c in rows.columns if c.startswith("r_")]
     if not fields:      # nothing to close
         return {"batches": 0, "carried": 0}
-    placed = with_positions(
-        rows.select("_run", "_at", *keys,
-                    F.struct(*[F.col(c).alias(c[2:]) for c in fields]).alias("_rec")),
-        ["_run", "_at", *keys])
-    total = placed.count()
-    n = -(-total // batch_size) if close else total // batch_size
-    left = max(total - n * batch_size, 0)
-
-    run, paths = versions.new_run(EVER), dict(after.paths) if after else {}
-    paths.pop("rest", None)
-    keep = placed.where(F.col("_pos") >= n * batch_size).select(
-        (F.col("_pos") - n * batch_size).alias("_at"), "_rec")
-    if n:
-        group_batches(placed.where(F.col("_pos") < n * batch_size), source,
-                      ingested_at or _dt.datetime.now(_dt.timezone.utc).isoformat(), batch_size,
-                      last["next"]).drop("batch_no").write.json(f"{path}/{run}/bucket=batches")
-        paths[f"{to_dt(dt)} {last['next']}"] = f"{run}/bucket=batches"
-    if left:            # fewer than batch_size records
-        keep.repartition(1).write.parquet(f"{path}/{run}/bucket=rest")
-        paths["rest"] = f"{run}/bucket=rest"
-    fact = {"token": token, "next": last["next"] + n, "batches": n, "carried": left}
-    versions.publish(spark, path, EVER, after, keep.schema.json(), paths, facts={"run": fact})
-    versions.expire(spark, path, EVER)
-    return {"batches": n, "carried": left}
+    with passing(spark), split_at(spark, SPLIT), released(spark):
+        placed = with_positions(
+            rows.select("_run", "_at", *keys,
+                        F.struct(*[F.col(c).alias(c[2:]) for c in fields]).alias("_rec")),
+            ["_run", "_at", *keys])
+        total = placed.count()
+        n = -(-total // batch_size) if close else total // batch_size
+        left = max(total - n * batch_size, 0)
+
+        run, paths = versions.new_run(EVER), dict(after.paths) if after else {}
+        paths.pop("rest", None)
+        keep = placed.where(F.col("_pos") >= n * batch_size).select(
+            (F.col("_pos") - n * batch_size).alias("_at"), "_rec")
+        if n:
+            group_batches(placed.where(F.col("_pos") < n * batch_size), source,
+                          ingested_at or _dt.datetime.now(_dt.timezone.utc).isoformat(), batch_size,
+                          last["next"]).drop("batch_no").write.json(f"{path}/{run}/bucket=batches")
+            paths[f"{to_dt(dt)} {last['next']}"] = f"{run}/bucket=batches"
+        if left:            # fewer than batch_size records
+            keep.repartition(1).write.parquet(f"{path}/{run}/bucket=rest")
+            paths["rest"] = f"{run}/bucket=rest"
+        fact = {"token": token, "next": last["next"] + n, "batches": n, "carried": left}
+        versions.publish(spark, path, EVER, after, keep.schema.json(), paths, facts={"run": fact})
+        versions.expire(spark, path, EVER)
+        return {"batches": n, "carried": left}
 
 
 def close(spark: SparkSession, root: str, source: str, dt: str, token: str,

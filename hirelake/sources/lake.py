@@ -1,6 +1,6 @@
 """Lake layout: Bronze JSON (S1, S2), Silver (S8, S9) and Gold (S10, S11) Parquet.
 
-    <bronze>/source=<name>/dt=YYYY-MM-DD/part-*.json
+    <bronze>/source=<name>/dt=YYYY-MM-DD/part-*.json[.gz]
     <silver>/dt=YYYY-MM-DD/run=<id>/bucket=<n>/part-*.parquet
     <gold>/<table>/dt=YYYY-MM-DD/run=<id>/part-*.parquet
 
@@ -13,9 +13,6 @@ touches (``merge_silver``).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
@@ -24,7 +21,7 @@ from hirelake.functions.time import to_dt
 from hirelake.operators.quarantine import CORRUPT
 from hirelake.operators.silver import deduplicate_latest
 from hirelake.schemas import LINEAGE_COLUMNS
-from hirelake.session import file_system, stored
+from hirelake.session import file_system, passing, released, split_at, stored
 from hirelake.sources import versions
 from hirelake.sources.registry import source_spec
 
@@ -39,6 +36,10 @@ DETAIL_CLUSTER = ("category_label", "contract_time", "source")
 MAX_RECORDS_PER_FILE = 2_000_000
 # Bytes of files that a task of jobs_detail reads at most: it sorts their rows in memory.
 DETAIL_SPLIT = 32 << 20
+# The same for Bronze and Silver, whose rows are sorted by job or bucket.
+SILVER_SPLIT = 16 << 20
+# Documents in a compressed Bronze file at most: one task reads it whole.
+DOCUMENTS_PER_FILE = 1000
 # The dashboard's facet values with their counts, written beside the Gold tables.
 FACETS = "facets"
 # Gold tables small enough to store as one file: one row per group of a
@@ -60,15 +61,20 @@ def bronze_path(root: str, source: str, dt: str | None = None) -> str:
 def write_bronze(envelopes: DataFrame, root: str, source: str, dt: str,
                  one_document_per_file: bool = False, mode: str = "append") -> None:
     """Land batch envelopes as JSON Lines under source and day, many batches
-    a file (``one_document_per_file``: one batch a file).
+    a file (``one_document_per_file``: one batch a file). JSON Lines are gzipped,
+    in files small enough for a task each.
 
     The source goes into the path, not ``partitionBy``: the documents keep
     their ``source`` key, which the Bronze gate requires.
     """
+    spark = envelopes.sparkSession
     writer = envelopes.withColumn("dt", F.lit(to_dt(dt))).write.mode(mode).partitionBy("dt")
     if one_document_per_file:
         writer = writer.option("maxRecordsPerFile", 1)
-    writer.json(bronze_path(root, source))
+    else:
+        writer = writer.option("maxRecordsPerFile", DOCUMENTS_PER_FILE).option("compression", "gzip")
+    with split_at(spark, SILVER_SPLIT), released(spark):
+        writer.json(bronze_path(root, source))
 
 
 def read_bronze(spark: SparkSession, root: str, source: str, dt: str,
@@ -96,14 +102,22 @@ def read_bronze(spark: SparkSession, root: str, source: str, dt: str,
 BUCKETS = 16      # hash buckets of job_id in a Silver day; an entry says how many it has
 
 
-def _bucket(buckets: int):
-    return F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int")
+# The hash of a day's buckets; days that were begun with another keep it. Spark's shuffles
+# deal by this one: with a multiple of BUCKETS partitions, each has rows of one bucket.
+HASHED = "hash"
+
+
+def _bucket(buckets: int, hashed: str = HASHED):
+    return F.pmod(F.call_function(hashed, F.col("job_id")), F.lit(buckets)).cast("int")
 
 
-def _write_buckets(df: DataFrame, path: str, buckets: int) -> list[int]:
-    """Write rows by bucket, each by few tasks; the buckets that have rows."""
-    (df.withColumn("bucket", _bucket(buckets)).hint("rebalance", F.col("bucket"))
-     .write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("bucket").parquet(path))
+def _write_buckets(df: DataFrame, path: str, dealt: bool = False) -> list[int]:
+    """Write rows by their ``bucket``; the buckets that have rows. Unless they are
+    ``dealt`` already they are shuffled, so that few tasks write each bucket."""
+    out = df if dealt else df.hint("rebalance", F.col("bucket"))
+    with split_at(df.sparkSession, SILVER_SPLIT), released(df.sparkSession):
+        (out.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("bucket")
+         .parquet(path))
     return [int(n.split("=")[1]) for n in versions._names(df.sparkSession, path)
             if n.startswith("bucket=")]
 
@@ -112,9 +126,11 @@ class Staged:
     """A Silver day that is written but not yet what readers see."""
 
     def __init__(self, spark: SparkSession, root: str, dt: str, run: str, schema: StructType,
-                 paths: dict[str, str], buckets: int, after: versions.Entry | None):
+                 paths: dict[str, str], buckets: int, after: versions.Entry | None,
+                 hashed: str = HASHED):
         self.spark, self.root, self.dt, self.run = spark, root, dt, run
         self.schema, self.paths, self.buckets, self.after = schema, paths, buckets, after
+        self.hashed = hashed
         self.facts: dict[str, dict] = {}
 
     def written(self) -> DataFrame:
@@ -145,7 +161,7 @@ class Staged:
 
     def publish(self) -> versions.Entry:
         entry = versions.publish(self.spark, self.root, self.dt, self.after, self.schema.json(),
-                                 self.paths, self.buckets, self.facts)
+                                 self.paths, self.buckets, self.facts, self.hashed)
         versions.expire(self.spark, self.root, self.dt)
         return entry
 
@@ -153,45 +169,79 @@ class Staged:
         versions.remove(self.spark, f"{self.root.rstrip('/')}/{self.run}")
 
 
-def stage_silver(df: DataFrame, root: str, dt: str, buckets: int | None = None) -> Staged:
-    """Write a whole day of Silver; ``Staged.publish`` makes it the day."""
+def stage_silver(df: DataFrame, root: str, dt: str, buckets: int | None = None,
+                 dealt: bool = False) -> Staged:
+    """Write a whole day of Silver; ``Staged.publish`` makes it the day.
+
+    ``dealt``: the rows come out of ``deduplicate_latest``, whose shuffle by job has
+    brought those of a bucket together, so they are not shuffled for the write.
+    """
     spark = df.sparkSession
     after = versions.current(spark, root, dt)
     buckets = buckets or (after.buckets if after else BUCKETS)
     run = versions.new_run(dt)
-    held = _write_buckets(df, f"{root.rstrip('/')}/{run}", buckets)
+    held = _write_buckets(df.withColumn("bucket", _bucket(buckets)), f"{root.rstrip('/')}/{run}", dealt)
     return Staged(spark, root, dt, run, df.schema, {str(b): f"{run}/bucket={b}" for b in held},
                   buckets, after)
 
 
-def merge_silver(batch: DataFrame, root: str, dt: str) -> Staged:
+BROADCAST_JOBS = 2_000_000    # 64-bit hashes of jobs that a merge sends to the stored rows at most
+
+
+def _contested(rows: DataFrame, batch: DataFrame, old: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Of a batch and the stored rows of its buckets: those that deduplication must see, and
+    the stored rows that stay as they are (None if all must be seen).
+
+    A stored row stays when no other row has its job's hash. The hashes that repeat, or
+    are the batch's, are sent to the stored rows, so that these need no shuffle; there
+    may be ``BROADCAST_JOBS`` of them.
+    """
+    named = F.xxhash64("job_id").alias("_job")
+    seen = batch.select(named, F.lit(True).alias("_new")).unionByName(
+        old.select(named, F.lit(False).alias("_new"))).groupBy("_job").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_new").alias("_new"))
+    jobs = stored(seen.where("_new OR n > 1").select("_job"), "merge-jobs")
+    if jobs.count() > BROADCAST_JOBS:
+        return rows.unionByName(old.select(*rows.columns)), None
+    known, jobs = old.withColumn("_job", named), F.broadcast(jobs)
+    again = known.join(jobs, "_job", "left_semi").select(*rows.columns)
+    return rows.unionByName(again), known.join(jobs, "_job", "left_anti").drop("_job")
+
+
+def merge_silver(batch: DataFrame, root: str, dt: str, dealt: bool = False) -> Staged:
     """N9 across runs: merge a batch of finished Silver rows (with lineage) into a day.
 
     Only the hash buckets that the batch touches are read and written; of each job the
     latest copy stays, as in one deduplication over everything. Batch ids are unique, so
     copies that tie in ``ingested_at`` and ``batch_id`` come in one batch. Merging a
-    batch twice changes nothing, so a repeated micro-batch is harmless.
+    batch twice changes nothing, so a repeated micro-batch is harmless. Stored rows that
+    no row of the batch contests are copied to the new files without a shuffle. ``dealt``
+    as in ``stage_silver``, for a day that is not stored yet.
     """
     spark = batch.sparkSession
     after = versions.current(spark, root, dt)
     if after is None:
-        return stage_silver(batch, root, dt)
-    held = stored(batch.withColumn("bucket", _bucket(after.buckets)), "merge-batch")
-    touched = [str(r["bucket"]) for r in held.select("bucket").distinct().collect()]  # <= buckets
-    old = [f"{root.rstrip('/')}/{after.paths[b]}" for b in touched if b in after.paths]
-    rows = held.drop("bucket")
-    if old:
-        rows = rows.unionByName(spark.read.schema(batch.schema).parquet(*old))
-    run = versions.new_run(dt)
-    fresh = deduplicate_latest(rows).select(*batch.columns)
-    written = _write_buckets(fresh, f"{root.rstrip('/')}/{run}", after.buckets) if touched else []
+        return stage_silver(batch, root, dt, dealt=dealt)
+    bucket, run, written = _bucket(after.buckets, after.hashed), versions.new_run(dt), []
+    with passing(spark), split_at(spark, SILVER_SPLIT):
+        held = stored(batch.withColumn("bucket", bucket), "merge-batch")
+        touched = [str(r["bucket"]) for r in held.select("bucket").distinct().collect()]  # <= buckets
+        old = [f"{root.rstrip('/')}/{after.paths[b]}" for b in touched if b in after.paths]
+        rows, stay = held.drop("bucket"), None
+        if old:
+            rows, stay = _contested(rows, held, spark.read.schema(batch.schema).parquet(*old))
+        fresh = deduplicate_latest(rows).select(*batch.columns, bucket.alias("bucket"))
+        if stay is not None:
+            fresh = fresh.unionByName(stay.withColumn("bucket", bucket))
+        if touched:
+            written = _write_buckets(fresh, f"{root.rstrip('/')}/{run}", dealt=True)
     paths = after.paths | {str(b): f"{run}/bucket={b}" for b in written}
-    return Staged(spark, root, dt, run, batch.schema, paths, after.buckets, after)
+    return Staged(spark, root, dt, run, batch.schema, paths, after.buckets, after, after.hashed)
 
 
-def write_silver(df: DataFrame, root: str, dt: str) -> None:
+def write_silver(df: DataFrame, root: str, dt: str, dealt: bool = False) -> None:
     """Overwrite one day of Silver."""
-    stage_silver(df, root, dt).publish()
+    stage_silver(df, root, dt, dealt=dealt).publish()
 
 
 def read_silver(spark: SparkSession, root: str, dt: str | None = None) -> DataFrame:
@@ -206,19 +256,6 @@ def gold_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-@contextmanager
-def _split_at(spark: SparkSession, size: int) -> Iterator[None]:
-    """Scans that run inside take ``size`` bytes of files a task, or what is set if less."""
-    name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    least = min(size, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    spark.conf.set(name, str(least))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def write_gold(df: DataFrame, root: str, table: str, dt: str) -> None:
     """Overwrite one day of a Gold table. The two aggregates go to one
     file; jobs_detail, one row per job, is written by as many tasks as it has
@@ -232,7 +269,7 @@ def write_gold(df: DataFrame, root: str, table: str, dt: str) -> None:
         order = [c for c in DETAIL_CLUSTER if c in df.columns]
         out = df.sortWithinPartitions(*order) if order else df
     after, run = versions.current(spark, path, dt), versions.new_run(dt)
-    with _split_at(spark, DETAIL_SPLIT):
+    with split_at(spark, DETAIL_SPLIT), released(spark):
         out.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(f"{path}/{run}")
     versions.publish(spark, path, dt, after, df.schema.json(), {versions.WHOLE: run})
     versions.expire(spark, path, dt)

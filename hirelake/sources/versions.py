@@ -44,6 +44,7 @@ class Entry:
     paths: dict[str, str]
     buckets: int = 0                                    # 0: not bucketed
     facts: dict[str, dict] = field(default_factory=dict)  # figures of each bucket
+    hashed: str = "xxhash64"                            # the hash by which rows have buckets
 
 
 def _log(root: str, dt: str = "") -> str:
@@ -97,7 +98,8 @@ def new_run(dt: str) -> str:
 
 
 def publish(spark: SparkSession, root: str, dt: str, after: Entry | None, schema: str,
-            paths: dict[str, str], buckets: int = 0, facts: dict | None = None) -> Entry:
+            paths: dict[str, str], buckets: int = 0, facts: dict | None = None,
+            hashed: str = Entry.hashed) -> Entry:
     """Add the entry that follows ``after``; from then on readers see it."""
     names = [n for n in _names(spark, _log(root, dt)) if n.endswith(".json")]
     newest = current(spark, root, dt)
@@ -105,7 +107,7 @@ def publish(spark: SparkSession, root: str, dt: str, after: Entry | None, schema
         raise PublishError(f"{root} {dt}: entry {newest.number} came in between")
     # numbers of files cut short are not used again
     number = max([after.number if after else 0, *(int(n.split(".")[0]) for n in names)]) + 1
-    entry = Entry(number, schema, paths, buckets, facts or {})
+    entry = Entry(number, schema, paths, buckets, facts or {}, hashed)
     fs, where = file_system(spark, f"{_log(root, dt)}/{number:012d}.json")
     try:
         stream = fs.create(where, False)
