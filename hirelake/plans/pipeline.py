@@ -94,8 +94,8 @@ def run_silver(spark: SparkSession, sources: list[str], dt: str, bronze_root: st
         frames.append(build_source(spark, s, dt, bronze_root, multi_line, gates[s]).observe(
             per_source[s], F.count(F.lit(1)).alias("rows")))
     metrics = SilverMetrics()
-    staged = lake.stage_silver(silver_transform(frames, metrics, keep_lineage=True),
-                               silver_root, dt)
+    staged = lake.stage_silver(silver_transform(frames, metrics, keep_lineage=True, bounded=True),
+                               silver_root, dt, dealt=True)
     result = {"metrics": metrics.as_dict(), "bronze": {}, "quarantine": {},
               "sources": {s: o.get["rows"] for s, o in per_source.items()}}
     try:
