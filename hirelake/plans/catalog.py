@@ -26,7 +26,7 @@ from hirelake.plans import feeds
 from hirelake.plans.oracle import TS, q
 from hirelake.schemas import (COMMON_COLUMNS, JOBS_DETAIL_COLUMNS, LINEAGE_COLUMNS, envelope,
                               NESTED_RECORD)
-from hirelake.session import scratch_path, stored
+from hirelake.session import passing, scratch_path, stored
 from hirelake.sources import carry, export, file_ranges, lake, search_index
 
 INGESTION_DATE = feeds.INGESTION_DATE
@@ -742,15 +742,20 @@ def s8_silver_round_trip(spark, sf):
     return _ts(lake.read_silver(spark, root, feeds.RUN_DATE))
 
 
+NORMALISED_ROWS = 100_000    # rows of a stored file; a task reads few files and sorts their rows
+
+
 @register("n15_keyed_merge", q(f"SELECT {SILVER_SQL} FROM silver"))
 def n15_keyed_merge(spark, sf):
     """The morning's batches stored as a day, then the evening's merged into the buckets
     that hold their jobs: the same Silver as from all batches at once."""
-    root, rows = scratch_path(spark, "merged"), stored(all_norm(spark, sf), "catalog-normalised")
-    late = F.col("ingested_at") == feeds.UPDATE_INGEST
-    for part in (rows.where(~late), rows.where(late)):
-        lake.merge_silver(silver.silver_transform(part, keep_lineage=True), root,
-                          feeds.RUN_DATE).publish()
+    root = scratch_path(spark, "merged")
+    with passing(spark):
+        rows = stored(all_norm(spark, sf), "catalog-normalised", NORMALISED_ROWS)
+        late = F.col("ingested_at") == feeds.UPDATE_INGEST
+        for part in (rows.where(~late), rows.where(late)):
+            lake.merge_silver(silver.silver_transform(part, keep_lineage=True, bounded=True), root,
+                              feeds.RUN_DATE, dealt=True).publish()
     return _ts(lake.read_silver(spark, root, feeds.RUN_DATE))
 
 
