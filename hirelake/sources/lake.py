@@ -21,7 +21,8 @@ from hirelake.functions.time import to_dt
 from hirelake.operators.quarantine import CORRUPT
 from hirelake.operators.silver import deduplicate_latest
 from hirelake.schemas import LINEAGE_COLUMNS
-from hirelake.session import file_system, passing, released, split_at, stored
+from hirelake.session import (dealt_at, file_system, passing, released, split_at, stored,
+                              unsorted)
 from hirelake.sources import versions
 from hirelake.sources.registry import source_spec
 
@@ -113,12 +114,14 @@ def _bucket(buckets: int, hashed: str = HASHED):
 
 def _write_buckets(df: DataFrame, path: str, dealt: bool = False) -> list[int]:
     """Write rows by their ``bucket``; the buckets that have rows. Unless they are
-    ``dealt`` already they are shuffled, so that few tasks write each bucket."""
-    out = df if dealt else df.hint("rebalance", F.col("bucket"))
-    with split_at(df.sparkSession, SILVER_SPLIT), released(df.sparkSession):
+    ``dealt`` already they are shuffled, so that few tasks write each bucket. Dealt rows
+    have been sorted by job in the same task: they are not sorted again."""
+    spark, out = df.sparkSession, df if dealt else df.hint("rebalance", F.col("bucket"))
+    with (split_at(spark, SILVER_SPLIT), dealt_at(spark, DETAIL_SPLIT), released(spark),
+          unsorted(spark, BUCKETS if dealt else 0)):
         (out.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("bucket")
          .parquet(path))
-    return [int(n.split("=")[1]) for n in versions._names(df.sparkSession, path)
+    return [int(n.split("=")[1]) for n in versions._names(spark, path)
             if n.startswith("bucket=")]
 
 

@@ -34,10 +34,10 @@ def _scratch(spark, name):
 
 def test_landing_leaves_only_its_documents(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(lake, "DOCUMENTS_PER_FILE", 4)
-    rdds = _scratch(spark, "rdd")
+    rdds, positions = _scratch(spark, "rdd"), _scratch(spark, "positions")
     blocks = _shuffled(spark)
     feeds.land_feeds(spark, SF_SMALL, tmp_dir)
-    assert _scratch(spark, "rdd") == rdds and not _scratch(spark, "positions")
+    assert _scratch(spark, "rdd") == rdds and _scratch(spark, "positions") == positions
     assert not _shuffled(spark) - blocks
     files = glob.glob(f"{tmp_dir}/source=*/dt={DT}/part-*")
     assert files and all(f.endswith(".json.gz") for f in files)
@@ -103,7 +103,7 @@ def test_merge_moves_only_contested_rows(spark, tmp_dir, monkeypatch, few):
     assert rows_of(lake.read_silver(spark, tmp_dir, DT)) == rows_of(whole)
     # the batch, the stored copies of its jobs, and the job that is stored twice
     assert sizes == [104 + 102 + 2 if few else 104 + 303]
-    assert not _scratch(spark, "merge")
+    assert not _scratch(spark, "merge-batch") and not _scratch(spark, "merge-jobs")
 
 
 def test_days_keep_the_hash_of_their_buckets(spark, tmp_dir):
